@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from tidemark.llm.decontaminate import op9_decontamination
+from tidemark.llm.pii import op5_pii
 from tidemark.llm.simhash import op4_simhash
 
 QUERIES = {
     "op4_simhash": op4_simhash,
+    "op5_pii": op5_pii,
+    "op9_decontamination": op9_decontamination,
 }
 ORACLES: dict[str, str] = {}
