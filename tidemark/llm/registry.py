@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from tidemark.llm import warc
 from tidemark.llm.bpe import op2_bpe
 from tidemark.llm.decontaminate import op9_decontamination
+from tidemark.llm.html import op3_html
 from tidemark.llm.pii import op5_pii
 from tidemark.llm.quality import op8_quality
 from tidemark.llm.simhash import op4_simhash
 
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op3_html": op3_html,
     "op4_simhash": op4_simhash,
     "op5_pii": op5_pii,
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
+    "op10_warc": warc.op10_warc,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_warc": warc.ORACLE}
