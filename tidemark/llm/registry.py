@@ -6,15 +6,19 @@ from tidemark.llm import warc
 from tidemark.llm.bpe import op2_bpe
 from tidemark.llm.decontaminate import op9_decontamination
 from tidemark.llm.html import op3_html
+from tidemark.llm.neighbours import op1_neighbours
 from tidemark.llm.pii import op5_pii
 from tidemark.llm.quality import op8_quality
 from tidemark.llm.simhash import op4_simhash
+from tidemark.llm.toxicity import op7_toxicity
 
 QUERIES = {
+    "op1_neighbours": op1_neighbours,
     "op2_bpe": op2_bpe,
     "op3_html": op3_html,
     "op4_simhash": op4_simhash,
     "op5_pii": op5_pii,
+    "op7_toxicity": op7_toxicity,
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_warc": warc.op10_warc,
