@@ -6,6 +6,7 @@ from tidemark.llm import warc
 from tidemark.llm.bpe import op2_bpe
 from tidemark.llm.decontaminate import op9_decontamination
 from tidemark.llm.html import op3_html
+from tidemark.llm.language_model import op6_language_model
 from tidemark.llm.neighbours import op1_neighbours
 from tidemark.llm.pii import op5_pii
 from tidemark.llm.quality import op8_quality
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_html": op3_html,
     "op4_simhash": op4_simhash,
     "op5_pii": op5_pii,
+    "op6_language_model": op6_language_model,
     "op7_toxicity": op7_toxicity,
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
