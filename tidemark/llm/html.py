@@ -107,7 +107,7 @@ def default_weight(kind: str) -> float:
     if name in MAIN or name in ("body", "html"):
         return -60.0
     if kind[0] == "<":
-        return -6.0
+        return -0.5
     return -0.2 if name in INLINE or name == "br" else -0.5 if name in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre") else -1.5
 
 
@@ -168,7 +168,7 @@ def learn(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
         elif kind != SKIPPED:
             weights[kind] = min(x * (10 if kind in never and kind[0] != "<" else 1), default_weight(kind) if kind in never else -0.05)
             if kind[0] == "<":
-                weights[kind] = max(weights[kind], -20.0)  # skipped elements lie within articles too
+                weights[kind] = max(weights[kind], -0.5)  # skipped elements lie within articles too
     return weights
 
 
