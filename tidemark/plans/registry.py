@@ -19,3 +19,7 @@ def register(name: str, oracle: str | None = None):
         return fn
 
     return keep
+
+
+# Modules that register their queries when they are imported.
+from tidemark.plans import gold_gamma  # noqa: E402,F401
