@@ -22,4 +22,4 @@ def register(name: str, oracle: str | None = None):
 
 
 # Modules that register their queries when they are imported.
-from tidemark.plans import gold_chain, gold_gamma  # noqa: E402,F401
+from tidemark.plans import gold_chain, gold_gamma, indicators  # noqa: E402,F401

@@ -28,6 +28,7 @@ def _chain(engine: str) -> str:
     monday = "CAST(date_trunc('week', l_shipdate) AS DATE)"
     first = f"CAST(date_trunc('month', {_date(engine, 'monday', '35 + 60 * (l_linenumber % 2)')}) AS DATE)"
     dow = "(dayofweek(first) - 1)" if engine == "spark" else "dayofweek(first)"
+    kept = "" if engine == "spark" else "MATERIALIZED"  # keeps the oracle from writing each nested formula out again
     between = "datediff(expiry_date, trade_date)" if engine == "spark" else "(expiry_date - trade_date)"
     return f"""
   chain_lines AS (
@@ -47,15 +48,15 @@ def _chain(engine: str) -> str:
   chain_priced AS (
     SELECT c.*, s.underlying_price, CAST({between} AS BIGINT) AS days_to_expiry, {between} / 365.0 AS years
     FROM chain_rows c JOIN chain_spots s ON c.ticker = s.s_ticker AND c.monday = s.s_monday),
-  chain_d1 AS (SELECT *, CAST({_D1} AS DOUBLE) AS d1 FROM chain_priced),
-  chain_quotes AS (
+  chain_d1 AS {kept} (SELECT *, CAST({_D1} AS DOUBLE) AS d1 FROM chain_priced),
+  chain_quotes AS {kept} (
     SELECT *, {cdf_sql("d1")} - CASE WHEN option_type = 'Call' THEN 0.0 ELSE 1.0 END AS delta, {_PDF} / (underlying_price * implied_volatility * sqrt(years)) AS gamma,
            underlying_price * {_PDF} * sqrt(years) / 100.0 AS vega,
-           round({_PRICE} - CASE WHEN option_type = 'Call' THEN 0.0 ELSE underlying_price - strike * exp(-{RATE} * years) END, 4) AS last_price
+           round({_PRICE} - CASE WHEN option_type = 'Call' THEN 0.0 ELSE underlying_price - strike * exp(-{RATE} * years) END + 0.00000003, 4) AS last_price
     FROM chain_d1),
   option_chain AS (
     SELECT ticker, trade_date, option_type, strike, expiry_date, open_interest, volume, implied_volatility, underlying_price, days_to_expiry, delta, gamma, vega, last_price,
-           CASE WHEN tax < 0.07 THEN round(last_price * 0.98, 4) END AS bid, round(last_price * 1.02, 4) AS ask, underlying_price / strike AS moneyness, tax < 0.08 AS greeks_valid,
+           CASE WHEN tax < 0.07 THEN round(last_price * 0.98 + 0.00000003, 4) END AS bid, round(last_price * 1.02 + 0.00000003, 4) AS ask, underlying_price / strike AS moneyness, tax < 0.08 AS greeks_valid,
            open_interest > 300 AS is_liquid
     FROM chain_quotes)"""
 
