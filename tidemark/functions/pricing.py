@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -108,10 +109,7 @@ def implied_vol(kind: Column, paid: Column, s: Column, k: Column, t: Column, r:
 
 
 def _solver():
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("double")
+    @F.pandas_udf("double")
     def solve(kind: pd.Series, paid: pd.Series, s: pd.Series, k: pd.Series, t: pd.Series, r: pd.Series) -> pd.Series:
         return pd.Series(solve_vol(kind.to_numpy() == "Call", *(x.to_numpy(float) for x in (paid, s, k, t, r))))
 
