@@ -37,13 +37,18 @@ def d1(s: Column, k: Column, t: Column, r: Column, sigma: Column) -> Column:
     return F.when((t <= EPS) | (sigma <= EPS), F.when(s > k, 1000.0).otherwise(-1000.0)).otherwise(F.least(F.greatest(raw, F.lit(-10.0)), F.lit(10.0)))
 
 
-def d2(s: Column, k: Column, t: Column, r: Column, sigma: Column) -> Column:
-    return d1(s, k, t, r, sigma) - sigma * F.sqrt(t)
+def d2(s: Column, k: Column, t: Column, r: Column, sigma: Column, ready: Column | None = None) -> Column:
+    return _d1(ready, s, k, t, r, sigma) - sigma * F.sqrt(t)
 
 
-def price(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Column) -> Column:
+def _d1(ready: Column | None, *args: Column) -> Column:
+    """The formulas below take a ready d1, so that a plan can hold it in one column."""
+    return d1(*args) if ready is None else ready
+
+
+def price(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Column, ready: Column | None = None) -> Column:
     """Price of a call or put, never under its intrinsic value. Far from the strike (ten times) only parity counts."""
-    a, b, disc = d1(s, k, t, r, sigma), d2(s, k, t, r, sigma), F.exp(-r * t)
+    a, b, disc = _d1(ready, s, k, t, r, sigma), d2(s, k, t, r, sigma, ready), F.exp(-r * t)
     call_in, put_in = F.greatest(s - k, F.lit(0.0)), F.greatest(k - s, F.lit(0.0))
     call = F.when(s / k > 10, s - k * disc).when(k / s > 10, F.lit(0.0)).otherwise(s * norm_cdf(a) - k * disc * norm_cdf(b))
     put = F.when(k / s > 10, k * disc - s).when(s / k > 10, F.lit(0.0)).otherwise(k * disc * norm_cdf(-b) - s * norm_cdf(-a))
@@ -51,54 +56,54 @@ def price(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Colum
     return F.when(kind == "Call", F.when(dead, call_in).otherwise(F.greatest(call, call_in))).when(kind == "Put", F.when(dead, put_in).otherwise(F.greatest(put, put_in)))
 
 
-def delta(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Column) -> Column:
-    n = norm_cdf(d1(s, k, t, r, sigma))
+def delta(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Column, ready: Column | None = None) -> Column:
+    n = norm_cdf(_d1(ready, s, k, t, r, sigma))
     step = F.when(s > k, 1.0).when(s < k, 0.0).otherwise(0.5)
     call = F.when(t <= EPS, step).otherwise(n)
     return F.when(kind == "Call", call).when(kind == "Put", call - 1)
 
 
-def gamma(s: Column, k: Column, t: Column, r: Column, sigma: Column) -> Column:
-    g = norm_pdf(d1(s, k, t, r, sigma)) / (s * sigma * F.sqrt(t))
+def gamma(s: Column, k: Column, t: Column, r: Column, sigma: Column, ready: Column | None = None) -> Column:
+    g = norm_pdf(_d1(ready, s, k, t, r, sigma)) / (s * sigma * F.sqrt(t))
     off = (t <= EPS) | (sigma <= EPS) | (s / k > 5) | (k / s > 5)
     return F.when(off, 0.0).otherwise(F.when(g > 1, 0.0).otherwise(g))
 
 
-def vega(s: Column, k: Column, t: Column, r: Column, sigma: Column) -> Column:
+def vega(s: Column, k: Column, t: Column, r: Column, sigma: Column, ready: Column | None = None) -> Column:
     """For a change of one volatility point."""
-    v = s * norm_pdf(d1(s, k, t, r, sigma)) * F.sqrt(t) / 100
+    v = s * norm_pdf(_d1(ready, s, k, t, r, sigma)) * F.sqrt(t) / 100
     return F.when((t <= EPS) | (s / k > 5) | (k / s > 5) | (v > s), 0.0).otherwise(v)
 
 
-def theta(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Column) -> Column:
+def theta(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Column, ready: Column | None = None) -> Column:
     """For one calendar day."""
-    b, disc = d2(s, k, t, r, sigma), F.exp(-r * t)
-    decay = -s * norm_pdf(d1(s, k, t, r, sigma)) * sigma / (2 * F.sqrt(t))
+    b, disc = d2(s, k, t, r, sigma, ready), F.exp(-r * t)
+    decay = -s * norm_pdf(_d1(ready, s, k, t, r, sigma)) * sigma / (2 * F.sqrt(t))
     th = F.when(kind == "Call", decay - r * k * disc * norm_cdf(b)).otherwise(decay + r * k * disc * norm_cdf(-b)) / 365
-    return F.when((t <= EPS) | (sigma <= EPS), 0.0).otherwise(F.when(F.abs(th) > price(kind, s, k, t, r, sigma), 0.0).otherwise(th))
+    return F.when((t <= EPS) | (sigma <= EPS), 0.0).otherwise(F.when(F.abs(th) > price(kind, s, k, t, r, sigma, ready), 0.0).otherwise(th))
 
 
-def rho(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Column) -> Column:
+def rho(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Column, ready: Column | None = None) -> Column:
     """For a change of one percentage point of the rate."""
-    b, x = d2(s, k, t, r, sigma), k * t * F.exp(-r * t) / 100
+    b, x = d2(s, k, t, r, sigma, ready), k * t * F.exp(-r * t) / 100
     return F.when(t <= EPS, 0.0).when(kind == "Call", x * norm_cdf(b)).otherwise(-x * norm_cdf(-b))
 
 
-def vanna(s: Column, k: Column, t: Column, r: Column, sigma: Column) -> Column:
-    return F.when((t <= EPS) | (sigma <= EPS), 0.0).otherwise(-norm_pdf(d1(s, k, t, r, sigma)) * d2(s, k, t, r, sigma) / sigma / 100)
+def vanna(s: Column, k: Column, t: Column, r: Column, sigma: Column, ready: Column | None = None) -> Column:
+    return F.when((t <= EPS) | (sigma <= EPS), 0.0).otherwise(-norm_pdf(_d1(ready, s, k, t, r, sigma)) * d2(s, k, t, r, sigma, ready) / sigma / 100)
 
 
-def charm(s: Column, k: Column, t: Column, r: Column, sigma: Column) -> Column:
+def charm(s: Column, k: Column, t: Column, r: Column, sigma: Column, ready: Column | None = None) -> Column:
     """Per day, the same for calls and puts."""
-    a, b = d1(s, k, t, r, sigma), d2(s, k, t, r, sigma)
+    a, b = _d1(ready, s, k, t, r, sigma), d2(s, k, t, r, sigma, ready)
     root = sigma * F.sqrt(t)
     return F.when((t <= EPS) | (sigma <= EPS), 0.0).otherwise(-norm_pdf(a) * (2 * r * t - b * root) / (2 * t * root) / 365)
 
 
-def greeks(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Column) -> Column:
+def greeks(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Column, ready: Column | None = None) -> Column:
     return F.struct(
-        delta(kind, s, k, t, r, sigma).alias("delta"), gamma(s, k, t, r, sigma).alias("gamma"), theta(kind, s, k, t, r, sigma).alias("theta"), vega(s, k, t, r, sigma).alias("vega"),
-        rho(kind, s, k, t, r, sigma).alias("rho"), vanna(s, k, t, r, sigma).alias("vanna"), charm(s, k, t, r, sigma).alias("charm"),
+        delta(kind, s, k, t, r, sigma, ready).alias("delta"), gamma(s, k, t, r, sigma, ready).alias("gamma"), theta(kind, s, k, t, r, sigma, ready).alias("theta"), vega(s, k, t, r, sigma, ready).alias("vega"),
+        rho(kind, s, k, t, r, sigma, ready).alias("rho"), vanna(s, k, t, r, sigma, ready).alias("vanna"), charm(s, k, t, r, sigma, ready).alias("charm"),
     )
 
 

@@ -148,7 +148,8 @@ def priced(chain: DataFrame, rate: float = adapters.RATE) -> DataFrame:
     some = chain.where((F.col("days_to_expiry") > 0) & s.between(0.3 * k, 5 * k) & (F.col("last_price") > 0.01))
     iv = some.withColumns({"iv": F.nanvl(pricing.implied_vol(kind, F.col("last_price"), s, k, t, r), F.lit(None).cast("double")), "inner": inner})
     v = F.col("iv")
-    out = iv.withColumns({"repriced": pricing.price(kind, s, k, t, r, v), "g": pricing.greeks(kind, s, k, t, r, v)})
+    d = F.col("d1")
+    out = iv.withColumn("d1", pricing.d1(s, k, t, r, v)).withColumns({"repriced": pricing.price(kind, s, k, t, r, v, d), "g": pricing.greeks(kind, s, k, t, r, v, d)})
     good = v.between(0.05, 2.0) & (F.abs(F.col("repriced") - F.col("last_price")) <= 0.01 * F.col("last_price")) & (F.col("last_price") - F.col("inner") >= -0.05)
     return out.withColumns({"iv_ok": F.coalesce(good, F.lit(False)), **{n: F.when(good, F.col(f"g.{n}")) for n in ("delta", "gamma", "theta", "vega", "rho", "vanna", "charm")}})
 
