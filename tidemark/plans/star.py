@@ -185,3 +185,62 @@ def model_prices(spark, sf_dir):
     gap = (s * n1 - k * disc * n2) - (k * disc * (1 - n2) - s * (1 - n1)) - (s - k * disc)
     out = chain_of(spark, sf_dir).where("days_to_expiry > 0").withColumns({"model_price": pricing.price(kind, s, k, t, r, v), "model_delta": pricing.delta(kind, s, k, t, r, v), "model_gamma": pricing.gamma(s, k, t, r, v), "model_vega": pricing.vega(s, k, t, r, v), "parity_gap": gap})
     return select_rounded(out, MODEL)
+
+
+# Underlyings and the market overview
+
+
+@register("dim_underlying", f"WITH {CHAIN} SELECT md5(ticker) AS underlying_id, ticker, min(trade_date) AS first_seen, max(trade_date) AS last_seen, arg_max(underlying_price, trade_date) AS last_price FROM option_chain GROUP BY ticker")
+def dim_underlying(spark, sf_dir):
+    return chain_of(spark, sf_dir).groupBy("ticker").agg(F.min("trade_date").alias("first_seen"), F.max("trade_date").alias("last_seen"), F.max_by("underlying_price", "trade_date").alias("last_price")).withColumn("underlying_id", F.md5("ticker"))
+
+
+def market_overview(second: DataFrame) -> DataFrame:
+    """Newest scrape of each contract summed per ticker and day; the previous day's price stands in for the open."""
+    day = fact_eod(second).groupBy("ticker", "trade_date").agg(
+        F.max("underlying_price").alias("close"), F.sum(F.when(F.col("option_type") == "Call", F.col("open_interest")).otherwise(0)).alias("total_oi_calls"), F.sum(F.when(F.col("option_type") == "Put", F.col("open_interest")).otherwise(0)).alias("total_oi_puts")
+    )
+    before = F.lag("close").over(Window.partitionBy("ticker").orderBy("trade_date"))
+    return day.withColumns({"underlying_id": F.md5("ticker"), "open": before, "change_pct": safe_div(F.col("close") - before, before) * 100, "call_put_ratio": safe_div(F.col("total_oi_calls"), F.col("total_oi_puts"))})
+
+
+OVERVIEW = dict.fromkeys(["underlying_id", "ticker", "trade_date", "open", "close", "total_oi_calls", "total_oi_puts"]) | {"change_pct": 6, "call_put_ratio": 6}
+
+
+@register(
+    "fact_market_overview",
+    f"""
+WITH {CHAIN},{SOURCES_CTE},
+e AS (SELECT * FROM src2 QUALIFY row_number() OVER (PARTITION BY ticker, option_type, strike, expiry_date, trade_date ORDER BY scrape DESC) = 1),
+d AS (SELECT ticker, trade_date, max(underlying_price) AS close, CAST(coalesce(sum(open_interest) FILTER (option_type = 'Call'), 0) AS BIGINT) AS total_oi_calls, CAST(coalesce(sum(open_interest) FILTER (option_type = 'Put'), 0) AS BIGINT) AS total_oi_puts FROM e GROUP BY 1, 2),
+o AS (SELECT *, md5(ticker) AS underlying_id, lag(close) OVER w AS open, (close - lag(close) OVER w) / nullif(lag(close) OVER w, 0) * 100 AS change_pct, total_oi_calls / nullif(total_oi_puts, 0) AS call_put_ratio FROM d WINDOW w AS (PARTITION BY ticker ORDER BY trade_date))
+SELECT {sql_rounded(OVERVIEW)} FROM o""",
+)
+def fact_market_overview(spark, sf_dir):
+    return select_rounded(market_overview(two_sources(chain_of(spark, sf_dir))[1]), OVERVIEW)
+
+
+def timeseries(first: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of the first source that are newer than what is known of their ticker, with intrinsic and time value."""
+    high = known.groupBy("ticker").agg(F.max("trade_date").alias("known_to"))
+    s, k = F.col("underlying_price"), F.col("strike")
+    inner = F.greatest(F.when(F.col("option_type") == "Call", s - k).otherwise(k - s), F.lit(0.0))
+    new = first.join(high, "ticker", "left").where(F.col("known_to").isNull() | (F.col("trade_date") > F.col("known_to")))
+    return new.withColumns({"option_id": contract_id(*CONTRACT), "intrinsic_value": inner, "time_value": F.greatest(F.col("last_price") - inner, F.lit(0.0)), "mid_price": (F.col("bid") + F.col("ask")) / 2})
+
+
+SERIES = dict.fromkeys(["option_id", "ticker", "trade_date"]) | {"intrinsic_value": 4, "time_value": 4, "mid_price": 6}
+
+
+@register(
+    "fact_option_timeseries",
+    f"""
+WITH {CHAIN},{SOURCES_CTE},
+n AS (SELECT *, greatest(CASE option_type WHEN 'Call' THEN underlying_price - strike ELSE strike - underlying_price END, 0) AS intrinsic_value FROM src1 a WHERE NOT EXISTS (SELECT 1 FROM src2 k WHERE k.ticker = a.ticker AND k.trade_date >= a.trade_date AND k.trade_date < DATE '1997-01-01')),
+s AS (SELECT {_ID} AS option_id, ticker, trade_date, intrinsic_value, greatest(last_price - intrinsic_value, 0) AS time_value, (bid + ask) / 2 AS mid_price FROM n)
+SELECT {sql_rounded(SERIES)} FROM s""",
+)
+def fact_option_timeseries(spark, sf_dir):
+    """What a run after 1996 would append, the rows up to then being known."""
+    first, second = two_sources(chain_of(spark, sf_dir))
+    return select_rounded(timeseries(first, second.where("trade_date < date'1997-01-01'")), SERIES)
