@@ -298,7 +298,7 @@ def test_base_scores_and_normalisation(spark):
     texts = [*EDGES, *(" ".join(words[i : i + 80]) for i in range(0, 4000, 80)), "Never SEEN words"]
     docs = documents(spark, texts).withColumn("row", F.lit("clash"))
     rows = {r["doc_id"]: r for r in language_model.score(docs).collect()}
-    tokens = {i: re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(language_model.LOWER)) + ["<end>"] for i, t in enumerate(texts)}
+    tokens = {i: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + ["<end>"] for i, t in enumerate(texts)}
     held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
     c = Counter(w for i, ws in tokens.items() if not held(i) for w in ws)
     n, v = sum(c.values()), len(c)
@@ -314,7 +314,7 @@ def test_base_scores_and_normalisation(spark):
 def test_language_model_probabilities_sum_to_one():
     import numpy as np
 
-    words = [language_model.END] + ["w%d" % i for i in range(3000)]
+    words = [language_model.END] + [b"w%d" % i for i in range(3000)]
     counts = [3001 - i for i in range(3001)]
     tails = {}
     for w, c in zip(words, counts):
@@ -323,7 +323,7 @@ def test_language_model_probabilities_sum_to_one():
     vocab = language_model.Vocabulary(words, counts, sum(counts), len(counts), tails)
     rng = np.random.default_rng(1)
     w1, w2 = rng.normal(0, 0.3, (language_model.ROWS1, language_model.CLASSES)).astype(np.float32), rng.normal(0, 0.3, (language_model.ROWS2, language_model.SLOTS)).astype(np.float32)
-    before = [np.array([123], np.uint64), np.array([45], np.uint64), np.array([6], np.uint64)]
+    before = [np.array([123]), np.array([45]), np.array([6])]
     p = language_model.softmax(w1, language_model.class_features(before), vocab.class_bias)[0]
     total = 0.0
     for k in range(language_model.HEADS):
@@ -384,7 +384,7 @@ def test_toxicity_on_held_out_labels_with_spans(spark):
             for _ in range(rng.randint(1, 3)):
                 w[rng.randrange(len(w))] = rng.choice(["Idiot!!", "SCUM", "vileness", "vilely"])
         texts.append(" ".join(w))
-    docs = documents(spark, [*texts, "", None])
+    docs = documents(spark, [*texts, "", None]).withColumn("y", F.lit("clash")).withColumn("l_id", F.lit(0))
     labels = spark.createDataFrame([(i, 1, int(y)) for i, y in enumerate(truth)], "doc_id long, quality int, toxic int")
     chain = toxicity.learn(docs, labels)
     rows = {r["doc_id"]: r for r in toxicity.tag(docs, chain).collect()}
@@ -415,4 +415,6 @@ def test_forward_backward_against_all_paths():
     assert np.allclose(p[0], [sum(w for t, w in weight.items() if t[i]) / z for i in range(6)])
     chain = toxicity.Chain()
     chain.trans = np.array([a, b, c])
-    assert np.allclose(toxicity.scores([np.stack([e, 0 * e, 0 * e], 1), np.zeros((0, 3))], chain), [-math.log(z), 0])
+    pot = np.stack([e, 0 * e, 0 * e], 1)
+    assert np.allclose(toxicity.scores([pot, np.zeros((0, 3))], chain), [-math.log(z), 0])
+    assert np.allclose(toxicity.places(pot, chain), p[0])

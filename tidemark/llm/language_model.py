@@ -2,9 +2,10 @@
 
 Words are counted over all training documents. The most frequent ones fill head classes of SLOTS words each; every other
 word belongs to one of TAILS classes by its ending. The probability of a word is that of its class, a softmax over hashed
-features of the words before (the last word, the last two, and skips to the second and third last), times that of the
-word in its class: a second softmax over features of class and earlier words for head classes, the smoothed unigram within
-the class for the others, where each class keeps room for one unknown word. So every context's probabilities sum to one.
+features of the words before (the last word, and skips to the second and third last), times that of the word in its class:
+a second softmax over features of the class with the last word and the one before it for head classes, the smoothed unigram
+within the class for the others, where each class keeps room for one unknown word. As a context, a word outside the head
+classes stands for its tail class. So every context's probabilities sum to one.
 
 Weights are trained by distributed gradient updates: each shard runs adaptive gradient steps over its documents in sparse
 batches (only the rows that a batch's features hash to are touched), the shards' rows are averaged by how often they were
@@ -17,7 +18,6 @@ of rarer words are joined by word. Null texts are empty ones, which hold the end
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections import Counter
 from itertools import chain
@@ -38,20 +38,19 @@ ROWS1, ROWS2 = 1 << 14, 1 << 15  # hashed feature rows of the class softmax and
 ROUNDS, RATE, BATCH, SHARD_TOKENS, LEXICON, FLUSH = 2, 0.08, 8192, 4_000_000, 250_000, 200_000
 BLOCK = 256
 DELTA = 0.1
-END = ""
-LOWER = {i: i + 32 for i in range(65, 91)}
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
+END = b""
+LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def words_of(text: str | None) -> list[str]:
-    """Words with A to Z lower-cased, then the end token."""
-    out = WORD.findall((text or "").translate(LOWER))
+def words_of(text: str | None) -> list[bytes]:
+    """Words in UTF-8 with A to Z lower-cased, then the end token. bytes.split() cuts at blanks and \\x09 to \\x0D alone."""
+    out = (text or "").encode("utf-8", "replace").translate(LOWER).split()
     out.append(END)
     return out
 
 
-def tail_class(word: str) -> int:
-    return zlib.crc32(word[-3:].encode("utf-8", "replace")) % TAILS
+def tail_class(word: bytes) -> int:
+    return zlib.crc32(word[-4:]) % TAILS
 
 
 def training(docs: DataFrame) -> DataFrame:
@@ -59,7 +58,7 @@ def training(docs: DataFrame) -> DataFrame:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """Rows (word, c) over all documents, counted within tasks first."""
+    """Rows (word, k, c) over all documents, k the tail class of the word, counted within tasks first."""
 
     def run(batches):
         counts: Counter = Counter()
@@ -71,17 +70,18 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     counts = Counter()
         yield _counted(counts)
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "word string, k int, c long").groupBy("word", "k").agg(F.sum("c").alias("c"))
 
 
 def _counted(counts: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"])
+    words = list(counts)
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array(map(tail_class, words), pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["word", "k", "c"])
 
 
 class Vocabulary:
     """The head words in order of frequency, with the sums that the formulas need."""
 
-    def __init__(self, words: list[str], counts: list[int], total: int, distinct: int, tails: dict[int, tuple[int, int]]):
+    def __init__(self, words: list[bytes], counts: list[int], total: int, distinct: int, tails: dict[int, tuple[int, int]]):
         self.words, self.counts, self.total, self.distinct = words, np.array(counts, np.int64), total, distinct
         n, v = np.zeros(TAILS, np.int64), np.zeros(TAILS, np.int64)
         for k, (c, d) in tails.items():
@@ -95,8 +95,9 @@ class Vocabulary:
         self.word_bias = soft.reshape(HEADS, SLOTS)
         top = self.word_bias.max(1, initial=-np.inf)
         mass = np.where(np.isfinite(top), np.exp(self.word_bias).sum(1), 0)
-        with np.errstate(divide="ignore"):
-            self.class_bias = np.log(np.concatenate([mass, self.tail_mass])).astype(np.float32)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            self.class_bias = np.log(np.concatenate([mass, self.tail_mass]) / (mass.sum() + self.tail_mass.sum()))
+            self.word_bias = self.word_bias - np.log(mass)[:, None]
         self.word_bias = np.where(np.isfinite(self.word_bias), self.word_bias, -1e9).astype(np.float32)
         self.class_bias = np.where(np.isfinite(self.class_bias), self.class_bias, -1e9).astype(np.float32)
         self.base = math.log10(total + DELTA * (distinct + 1)) if total else math.log10(DELTA)
@@ -105,13 +106,12 @@ class Vocabulary:
 def vocabulary(counts: DataFrame) -> Vocabulary:
     top = counts.orderBy(F.desc("c"), "word").limit(HEAD).toArrow()
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    kind = F.crc32(F.right("word", F.lit(3)).cast("binary")) % TAILS
-    tails = {r[0]: (r[1], r[2]) for r in counts.groupBy(kind.alias("k")).agg(F.sum("c"), F.count("*")).collect()}
-    return Vocabulary(top["word"].to_pylist(), top["c"].to_pylist(), total, distinct, tails)
+    tails = {r[0]: (r[1], r[2]) for r in counts.groupBy("k").agg(F.sum("c"), F.count("*")).collect()}
+    return Vocabulary(top["word"].cast(pa.binary()).to_pylist(), top["c"].to_pylist(), total, distinct, tails)
 
 
 class Lexicon(dict):
-    """Word to row: hash, class, slot (-1 in tail classes) and count (-1 for words that the head does not hold)."""
+    """Word to row: kind as a context, class, slot (-1 in tail classes) and count (-1 for words that the head does not hold)."""
 
     def __init__(self, vocab: Vocabulary):
         super().__init__()
@@ -122,12 +122,12 @@ class Lexicon(dict):
         self.clear()
         self.new, self.names, self.cols = [], [], np.zeros((0, 4), np.int64)
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self)
         self.new.append(word)
         return n
 
-    def look(self, docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    def look(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Rows of all tokens, and the number of tokens of each document."""
         if len(self) > LEXICON:
             self.forget()
@@ -137,50 +137,46 @@ class Lexicon(dict):
             rows = []
             for w in self.new:
                 i = self.rank.get(w, -1)
-                at = (i // SLOTS, i % SLOTS) if 0 <= i < SOFT else (HEADS + tail_class(w), -1)
-                rows.append((zlib.crc32(w.encode("utf-8", "replace")), *at, self.vocab.counts[i] if i >= 0 else -1))
+                k = tail_class(w)
+                at = (i, i // SLOTS, i % SLOTS) if 0 <= i < SOFT else (SOFT + k, HEADS + k, -1)
+                rows.append((*at, self.vocab.counts[i] if i >= 0 else -1))
             self.cols = np.concatenate([self.cols, np.array(rows, np.int64)])
             self.names += self.new
             self.new = []
         return ids, sizes
 
 
-def mix(*parts) -> np.ndarray:
-    """32-bit hash of integer columns."""
-    h = np.uint64(0x9E3779B9)
-    for p in parts:
-        h = ((h ^ np.asarray(p, np.uint64)) * np.uint64(0xFF51AFD7ED558CCD)) & np.uint64(0xFFFFFFFFFFFFFFFF)
-        h = h ^ (h >> np.uint64(32))
-    return h
-
-
-def contexts(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    """Hashes of the words one, two and three before each token, 0 before a document's start."""
-    place = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+def contexts(kinds: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Kinds of the words one, two and three before each token: their place among the head classes' words, or their tail
+    class after those; the last number before a document's start."""
+    place = np.arange(len(kinds)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     out = []
     for k in (1, 2, 3):
-        w = np.zeros(len(hashes), np.uint64)
-        w[k:] = hashes[:-k] if len(hashes) > k else hashes[:0]
-        out.append(np.where(place >= k, w, np.uint64(0)))
+        w = np.full(len(kinds), SOFT + TAILS, np.int64)
+        w[k:] = kinds[:-k] if len(kinds) > k else kinds[:0]
+        out.append(np.where(place >= k, w, SOFT + TAILS))
     return out
 
 
-def class_features(before) -> np.ndarray:
-    a, b, c = before
-    return np.stack([mix(a, 1), mix(b, 2), mix(c, 3), mix(a, b, 4)], 1).astype(np.int64) % ROWS1
+def hashed(seed: int, rows: int, kinds: np.ndarray, classes=0) -> np.ndarray:
+    h = (kinds + 4099 * classes + 1_000_003 * seed) * 0x9E3779B1 & 0xFFFFFFFF
+    return (((h ^ h >> 15) * 0x85EBCA6B & 0xFFFFFFFF) >> 13).astype(np.uint16) % rows
+
+
+def class_features(before) -> list[np.ndarray]:
+    return [hashed(k, ROWS1, w) for k, w in enumerate(before)]
 
 
-def word_features(before, classes: np.ndarray) -> np.ndarray:
-    a, b, _ = before
-    return np.stack([mix(a, classes, 5), mix(b, classes, 6)], 1).astype(np.int64) % ROWS2
+def word_features(before, classes: np.ndarray) -> list[np.ndarray]:
+    return [hashed(7 + k, ROWS2, w, classes) for k, w in enumerate(before[:2])]
 
 
-def softmax(table_: np.ndarray, feats: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    z = table_[feats[:, 0]]
-    for k in range(1, feats.shape[1]):
-        z += table_[feats[:, k]]
+def softmax(table_: np.ndarray, feats: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
+    """Probabilities; the biases are log-probabilities, so the sums stay far from overflow."""
+    z = np.take(table_, feats[0], axis=0)
+    for f in feats[1:]:
+        z += np.take(table_, f, axis=0)
     z += bias
-    z -= z.max(1, keepdims=True)
     np.exp(z, out=z)
     z /= z.sum(1, keepdims=True)
     return z
@@ -192,14 +188,14 @@ class Learner:
     def __init__(self, start: np.ndarray):
         self.w, self.used, self.sums = start.astype(np.float32).copy(), np.zeros(len(start)), np.full(len(start), 1e-2, np.float32)
 
-    def step(self, feats: np.ndarray, bias: np.ndarray, target: np.ndarray) -> None:
+    def step(self, feats: list[np.ndarray], bias: np.ndarray, target: np.ndarray) -> None:
         g = softmax(self.w, feats, bias)
         g[np.arange(len(g)), target] -= 1
-        for k in range(feats.shape[1]):
-            order = np.argsort(feats[:, k], kind="stable")
-            rows = feats[order, k]
+        for f in feats:
+            order = np.argsort(f, kind="stable")
+            rows = f[order]
             starts = np.concatenate([[0], np.nonzero(rows[1:] != rows[:-1])[0] + 1])
-            add, rows = np.add.reduceat(g[order], starts, axis=0), rows[starts]
+            add, rows = np.add.reduceat(np.take(g, order, axis=0), starts, axis=0), rows[starts]
             self.used[rows] += np.diff(np.append(starts, len(order)))
             self.sums[rows] += np.einsum("ij,ij->i", add, add) / SLOTS
             self.w[rows] -= RATE * add / np.sqrt(self.sums[rows])[:, None]
@@ -227,8 +223,8 @@ def train_round(docs: DataFrame, vocab, weights) -> tuple[np.ndarray, np.ndarray
         for b in batches:
             for _, texts in parts(b, 0):
                 ids, sizes = lex.look([words_of(t) for t in texts])
-                hashes, classes, slots, _ = lex.cols[ids].T
-                before = contexts(hashes.astype(np.uint64), sizes)
+                kinds, classes, slots, _ = lex.cols[ids].T
+                before = contexts(kinds, sizes)
                 for a in range(0, len(ids), BATCH):
                     near, c, s = [x[a : a + BATCH] for x in before], classes[a : a + BATCH], slots[a : a + BATCH]
                     learners[0].step(class_features(near), bias1, c)
@@ -294,8 +290,8 @@ def scored_rows(docs: DataFrame, vocab, weights) -> DataFrame:
             for at, texts in parts(b, 1):
                 ids, sizes = lex.look([words_of(t) for t in texts])
                 cols = lex.cols[ids]
-                hashes, classes, slots, counts = cols.T
-                before = contexts(hashes.astype(np.uint64), sizes)
+                kinds, classes, slots, counts = cols.T
+                before = contexts(kinds, sizes)
                 log_p = np.empty(len(ids))
                 for a in range(0, len(ids), BATCH):
                     near, c, s = [x[a : a + BATCH] for x in before], classes[a : a + BATCH], slots[a : a + BATCH]
@@ -316,7 +312,7 @@ def scored_rows(docs: DataFrame, vocab, weights) -> DataFrame:
                 for x, y in zip(starts.tolist(), ends.tolist()):
                     odd = ids[x:y][~known[x:y]]
                     u, n = np.unique(odd, return_counts=True)
-                    rest.append([{"word": lex.names[i], "k": k, "n": m} for i, k, m in zip(u.tolist(), (lex.cols[u, 1] - HEADS).tolist(), n.tolist())])
+                    rest.append([{"word": lex.names[i].decode(), "k": k, "n": m} for i, k, m in zip(u.tolist(), (lex.cols[u, 1] - HEADS).tolist(), n.tolist())])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + len(texts))), b.column(0).slice(at, len(texts)), pa.array(sizes), pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(log_p, starts)), pa.array(rest, REST)],
                     names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "rest"],
@@ -334,8 +330,8 @@ def score(docs: DataFrame) -> DataFrame:
     weights = sc.broadcast(train(known, vocab))
     rows = stored(scored_rows(docs, sc.broadcast(vocab), weights))
     # words that the head does not hold: their counts by a join, their share of each sum by row
-    last_word, last_count = (vocab.words[-1], int(vocab.counts[-1])) if vocab.words else ("", 0)
-    rarer = counts.where((F.col("c") < last_count) | ((F.col("c") == last_count) & (F.col("word") > last_word)))
+    last_word, last_count = (vocab.words[-1].decode(), int(vocab.counts[-1])) if vocab.words else ("", 0)
+    rarer = counts.drop("k").where((F.col("c") < last_count) | ((F.col("c") == last_count) & (F.col("word") > last_word)))
     masses = F.array(*[F.lit(float(m)) for m in vocab.tail_mass])
     c = F.coalesce("c", F.lit(0))
     rest = rows.select("row", F.inline("rest")).join(rarer, "word", "left")
