@@ -51,24 +51,31 @@ def seed_marks(docs: list[list[str]], toxic: np.ndarray) -> set[str]:
     """Words and stems that explain the toxic documents: each the one of the highest share of toxic documents
     not yet explained by others less twice the share of clean ones that hold it, the longest of equals."""
     vocab: dict[str, int] = {}
-    held = [set(m for w in set(d) for m in marks(w)) for d in docs]
-    for s, t in zip(held, toxic):
-        if t:
-            for m in s:
-                vocab.setdefault(m, len(vocab))
-    names = list(vocab)
-    clean = np.zeros(len(vocab))
-    for s, t in zip(held, toxic):
+    known: dict[str, list[int]] = {}  # marks by word, as numbers: a word's marks are spelled out once
+
+    def held(words: list[str]) -> np.ndarray:
+        out: set[int] = set()
+        for w in set(words):
+            if w not in known:
+                known[w] = [vocab.setdefault(m, len(vocab)) for m in marks(w)]
+            out.update(known[w])
+        return np.fromiter(out, np.int32, len(out))
+
+    left = [held(d) for d, t in zip(docs, toxic) if t]
+    size = len(vocab)  # marks of toxic documents; those of clean ones alone come after and cannot be seeds
+    clean = np.zeros(size)
+    for d, t in zip(docs, toxic):
         if not t:
-            clean[[vocab[m] for m in s if m in vocab]] += 1
-    left = [np.array([vocab[m] for m in s], np.int64) for s, t in zip(held, toxic) if t]
+            x = held(d)
+            clean[x[x < size]] += 1
+    names = list(vocab)[:size]
     whole = max(1, len(left))
-    size, cost = np.array([len(m) for m in names]) * 1e-6, 2 * clean / max(1, len(docs) - len(left))
+    longer, cost = np.array([len(m) for m in names]) * 1e-6, 2 * clean / max(1, len(docs) - len(left))
     least = max(3 / whole, 0.004)
     seeds: set[str] = set()
     while left and len(seeds) < SEEDS:
-        gain = np.bincount(np.concatenate(left), minlength=len(vocab)) / whole - cost
-        best = int(np.argmax(gain + size))
+        gain = np.bincount(np.concatenate(left), minlength=size) / whole - cost
+        best = int(np.argmax(gain + longer))
         if gain[best] < least:
             break
         seeds.add(names[best])
@@ -245,19 +252,36 @@ class Lexicon(dict):
         return [self.rows[i] for i in ids]
 
 
-def spans(text: str, pot: np.ndarray, chain: Chain, least: float = 0.5) -> list[dict]:
-    """Runs of tokens whose marginal is at least `least`, by their places in the text."""
+def places(pot: np.ndarray, chain: Chain) -> list[float]:
+    """Marginals of one document's tokens, by two passes over plain numbers."""
+    A, B, C = np.exp(chain.trans).tolist()
     e = pot[:, 0].astype(np.float64)
     e[1:] += pot[:-1, 1]
     e[:-1] += pot[1:, 2]
-    p = marginals(e[None, :], np.ones((1, len(e)), bool), *chain.trans)[0][0]
+    xs = np.exp(np.clip(e, -40, 40)).tolist()
+    ratios, r = [], 0.0
+    for x in xs:
+        r = (A + r * C) * x / (1 + r * B)
+        ratios.append(r)
+    q, out = 1.0, []
+    for x, r in zip(reversed(xs), reversed(ratios)):
+        top = r * q
+        out.append(top / (1 + top))
+        xq = x * q
+        q = (B + C * xq) / (1 + A * xq)
+    return out[::-1]
+
+
+def spans(text: str, pot: np.ndarray, chain: Chain, least: float = 0.5) -> list[dict]:
+    """Runs of tokens whose marginal is at least `least`, by their places in the text."""
     out, last = [], -2
-    for i, m in enumerate(WORD.finditer(text.lower())):
-        if p[i] >= least:
+    marked = {i: x for i, x in enumerate(places(pot, chain)) if x >= least}
+    for i, m in enumerate(WORD.finditer(text.lower())) if marked else ():
+        if i in marked:
             if i == last + 1:
-                out[-1]["end"], out[-1]["p"] = m.end(), max(out[-1]["p"], float(p[i]))
+                out[-1]["end"], out[-1]["p"] = m.end(), max(out[-1]["p"], marked[i])
             else:
-                out.append({"start": m.start(), "end": m.end(), "p": float(p[i])})
+                out.append({"start": m.start(), "end": m.end(), "p": marked[i]})
             last = i
     return out
 
