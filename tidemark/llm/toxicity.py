@@ -291,7 +291,8 @@ def learn(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Chain
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), HELD_MOD) != HELD)).groupBy(F.col("doc_id").alias("l_id")).agg(F.max("toxic").alias("y"))
     ranked = [known.where(F.col("y") == y).orderBy(F.xxhash64("l_id"), "l_id").limit(fit_docs) for y in (0, 1)]
     chosen = ranked[0].unionByName(ranked[1])
-    rows = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["l_id"]).select(F.col("text").cast("string").alias("text"), "y", "l_id").orderBy(F.xxhash64("l_id"), "l_id").toArrow()
+    texts = docs.select(F.col("doc_id").alias("d_id"), F.col("text").cast("string").alias("text"))
+    rows = texts.join(F.broadcast(chosen), F.col("d_id") == F.col("l_id")).select("text", "y", "l_id").orderBy(F.xxhash64("l_id"), "l_id").toArrow()
     texts, y = rows["text"].to_pylist(), np.array(rows["y"].to_pylist())
     size = np.cumsum([len(t or "") for t in texts])
     n = max(1, int(np.searchsorted(size, FIT_CHARS))) if len(texts) else 0
