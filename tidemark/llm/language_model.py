@@ -35,7 +35,7 @@ SLOTS, HEADS, TAILS = 64, 32, 32
 CLASSES, SOFT = HEADS + TAILS, HEADS * SLOTS
 HEAD = 131_072  # words whose counts every task holds
 ROWS1, ROWS2 = 1 << 14, 1 << 15  # hashed feature rows of the class softmax and of the word softmax
-ROUNDS, RATE, BATCH, SHARD_TOKENS, LEXICON, FLUSH = 2, 0.08, 8192, 4_000_000, 250_000, 200_000
+ROUNDS, RATE, BATCH, SHARD_TOKENS, LEXICON, FLUSH = 2, 0.08, 8192, 4_000_000, 200_000, 150_000
 BLOCK = 256
 DELTA = 0.1
 END = b""
@@ -201,17 +201,18 @@ class Learner:
             self.w[rows] -= RATE * add / np.sqrt(self.sums[rows])[:, None]
 
 
-def parts(b: pa.RecordBatch, column: int, chars: int = 1_500_000):
-    """(first row, texts) of runs of whole texts of about so many characters."""
-    run, at, size = [], 0, 0
-    for i, t in enumerate(b.column(column).to_pylist()):
-        run.append(t)
-        size += len(t or "")
-        if size >= chars:
+def parts(b: pa.RecordBatch, column: int, chars: int = 1_500_000, rows: int = 500):
+    """(first row, texts) of runs of whole texts, of about so many characters and at most so many rows."""
+    for first in range(0, b.num_rows, rows):
+        run, at, size = [], first, 0
+        for i, t in enumerate(b.column(column).slice(first, rows).to_pylist(), first):
+            run.append(t)
+            size += len(t or "")
+            if size >= chars:
+                yield at, run
+                run, at, size = [], i + 1, 0
+        if run:
             yield at, run
-            run, at, size = [], i + 1, 0
-    if run:
-        yield at, run
 
 
 def train_round(docs: DataFrame, vocab, weights) -> tuple[np.ndarray, np.ndarray]:
@@ -308,13 +309,14 @@ def scored_rows(docs: DataFrame, vocab, weights) -> DataFrame:
                 base = np.where(known, local - v.base, 0.0)
                 ends = np.cumsum(sizes)
                 starts = ends - sizes
-                rest = []
-                for x, y in zip(starts.tolist(), ends.tolist()):
-                    odd = ids[x:y][~known[x:y]]
-                    u, n = np.unique(odd, return_counts=True)
-                    rest.append([{"word": lex.names[i].decode(), "k": k, "n": m} for i, k, m in zip(u.tolist(), (lex.cols[u, 1] - HEADS).tolist(), n.tolist())])
+                odd = np.nonzero(~known)[0]
+                pairs, times = np.unique((np.repeat(np.arange(len(sizes)), sizes)[odd] << 32) + ids[odd], return_counts=True)
+                owner, word = pairs >> 32, pairs & 0xFFFFFFFF
+                names = pa.array([lex.names[i] for i in word.tolist()], pa.binary()).cast(pa.string())
+                items = pa.StructArray.from_arrays([names, pa.array(lex.cols[word, 1] - HEADS, pa.int32()), pa.array(times, pa.int32())], fields=list(REST.value_type))
+                rest = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(len(sizes) + 1)), pa.int32()), items)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + len(texts))), b.column(0).slice(at, len(texts)), pa.array(sizes), pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(log_p, starts)), pa.array(rest, REST)],
+                    [pa.array(np.arange(row, row + len(texts))), b.column(0).slice(at, len(texts)), pa.array(sizes), pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(log_p, starts)), rest],
                     names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "rest"],
                 )
                 row += len(texts)
