@@ -335,6 +335,23 @@ def test_language_model_probabilities_sum_to_one():
     assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_language_model_contexts_tell_rare_words_and_word_pairs_apart():
+    import numpy as np
+
+    end = language_model.END
+    lex = language_model.Lexicon(language_model.Vocabulary([end], [1], 1, 1, {language_model.tail_class(end): (1, 1)}))
+
+    def last_features(*docs):
+        ids, sizes = lex.look([[*d, end] for d in docs])
+        before = language_model.contexts(lex.cols[ids][:, 0], sizes)
+        return np.stack(language_model.class_features(before), 1)[np.cumsum(sizes) - 1]
+
+    a, b = last_features([b"one-same"], [b"two-same"])  # words of one tail class
+    assert a[0] != b[0]
+    both, first, second = last_features([b"one", b"two"], [b"six", b"two"], [b"one", b"six"])
+    assert ((both != first) & (both != second)).any()  # a feature of the last two words together
+
+
 def test_language_model_beats_the_unigram_on_held_out_texts(spark):
     rng = random.Random(8)
     chains = [[f"{c}{i}" for i in range(12)] for c in "abcd"]

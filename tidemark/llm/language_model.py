@@ -2,10 +2,10 @@
 
 Words are counted over all training documents. The most frequent ones fill head classes of SLOTS words each; every other
 word belongs to one of TAILS classes by its ending. The probability of a word is that of its class, a softmax over hashed
-features of the words before (the last word, and skips to the second and third last), times that of the word in its class:
-a second softmax over features of the class with the last word and the one before it for head classes, the smoothed unigram
-within the class for the others, where each class keeps room for one unknown word. As a context, a word outside the head
-classes stands for its tail class. So every context's probabilities sum to one.
+features of the words before (the last word, the last two, and skips to the second and third last), times that of the
+word in its class: a second softmax over features of the class with the last word and the one before it for head classes,
+the smoothed unigram within the class for the others, where each class keeps room for one unknown word. As a context, every
+word counts as itself, by its hash. So every context's probabilities sum to one.
 
 Weights are trained by distributed gradient updates: each shard runs adaptive gradient steps over its documents in sparse
 batches (only the rows that a batch's features hash to are touched), the shards' rows are averaged by how often they were
@@ -111,7 +111,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 
 
 class Lexicon(dict):
-    """Word to row: kind as a context, class, slot (-1 in tail classes) and count (-1 for words that the head does not hold)."""
+    """Word to row: hash as a context, class, slot (-1 in tail classes) and count (-1 for words that the head does not hold)."""
 
     def __init__(self, vocab: Vocabulary):
         super().__init__()
@@ -138,37 +138,41 @@ class Lexicon(dict):
             for w in self.new:
                 i = self.rank.get(w, -1)
                 k = tail_class(w)
-                at = (i, i // SLOTS, i % SLOTS) if 0 <= i < SOFT else (SOFT + k, HEADS + k, -1)
-                rows.append((*at, self.vocab.counts[i] if i >= 0 else -1))
+                at = (i // SLOTS, i % SLOTS) if 0 <= i < SOFT else (HEADS + k, -1)
+                rows.append((zlib.crc32(w), *at, self.vocab.counts[i] if i >= 0 else -1))
             self.cols = np.concatenate([self.cols, np.array(rows, np.int64)])
             self.names += self.new
             self.new = []
         return ids, sizes
 
 
-def contexts(kinds: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    """Kinds of the words one, two and three before each token: their place among the head classes' words, or their tail
-    class after those; the last number before a document's start."""
-    place = np.arange(len(kinds)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+def contexts(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the words one, two and three before each token, 0 before a document's start."""
+    place = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     out = []
     for k in (1, 2, 3):
-        w = np.full(len(kinds), SOFT + TAILS, np.int64)
-        w[k:] = kinds[:-k] if len(kinds) > k else kinds[:0]
-        out.append(np.where(place >= k, w, SOFT + TAILS))
+        w = np.zeros(len(hashes), np.int64)
+        w[k:] = hashes[:-k] if len(hashes) > k else hashes[:0]
+        out.append(np.where(place >= k, w, 0))
     return out
 
 
-def hashed(seed: int, rows: int, kinds: np.ndarray, classes=0) -> np.ndarray:
-    h = (kinds + 4099 * classes + 1_000_003 * seed) * 0x9E3779B1 & 0xFFFFFFFF
-    return (((h ^ h >> 15) * 0x85EBCA6B & 0xFFFFFFFF) >> 13).astype(np.uint16) % rows
+def hashed(seed: int, rows: int, *columns: np.ndarray) -> np.ndarray:
+    """Rows that integer columns hash to together."""
+    h = np.uint64(0x9E3779B9 + seed)
+    for c in columns:
+        h = (h ^ c.astype(np.uint64)) * np.uint64(0xFF51AFD7ED558CCD)
+        h ^= h >> np.uint64(32)
+    return h.astype(np.uint16) % rows
 
 
 def class_features(before) -> list[np.ndarray]:
-    return [hashed(k, ROWS1, w) for k, w in enumerate(before)]
+    a, b, c = before
+    return [hashed(1, ROWS1, a), hashed(2, ROWS1, b), hashed(3, ROWS1, c), hashed(4, ROWS1, a, b)]
 
 
 def word_features(before, classes: np.ndarray) -> list[np.ndarray]:
-    return [hashed(7 + k, ROWS2, w, classes) for k, w in enumerate(before[:2])]
+    return [hashed(5 + k, ROWS2, w, classes) for k, w in enumerate(before[:2])]
 
 
 def softmax(table_: np.ndarray, feats: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
@@ -224,8 +228,8 @@ def train_round(docs: DataFrame, vocab, weights) -> tuple[np.ndarray, np.ndarray
         for b in batches:
             for _, texts in parts(b, 0):
                 ids, sizes = lex.look([words_of(t) for t in texts])
-                kinds, classes, slots, _ = lex.cols[ids].T
-                before = contexts(kinds, sizes)
+                hashes, classes, slots, _ = lex.cols[ids].T
+                before = contexts(hashes, sizes)
                 for a in range(0, len(ids), BATCH):
                     near, c, s = [x[a : a + BATCH] for x in before], classes[a : a + BATCH], slots[a : a + BATCH]
                     learners[0].step(class_features(near), bias1, c)
@@ -291,8 +295,8 @@ def scored_rows(docs: DataFrame, vocab, weights) -> DataFrame:
             for at, texts in parts(b, 1):
                 ids, sizes = lex.look([words_of(t) for t in texts])
                 cols = lex.cols[ids]
-                kinds, classes, slots, counts = cols.T
-                before = contexts(kinds, sizes)
+                hashes, classes, slots, counts = cols.T
+                before = contexts(hashes, sizes)
                 log_p = np.empty(len(ids))
                 for a in range(0, len(ids), BATCH):
                     near, c, s = [x[a : a + BATCH] for x in before], classes[a : a + BATCH], slots[a : a + BATCH]
