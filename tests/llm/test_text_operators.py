@@ -289,6 +289,23 @@ def test_decontamination_against_brute_force(spark):
     assert decontaminate.leaks(df, it.limit(0)).count() == 0 and decontaminate.leaks(df.limit(0), it).count() == 0
 
 
+def test_decontamination_finds_copies_cut_short(spark):
+    rng = random.Random(10)
+    words = ["w%d" % i for i in range(400)]
+    items = {i: " ".join(rng.choices(words, k=rng.randint(15, 59))) for i in range(40)}
+    docs = {}
+    for d in range(240):
+        leak = items[d % 40].split()
+        keep = math.ceil(rng.uniform(0.8, 0.9) * (len(leak) - 4)) + 4  # words that hold so many of the shingles
+        leak = leak[:keep] if d % 2 else leak[-keep:]
+        docs[d] = " ".join(rng.choices(words, k=30) + leak + rng.choices(words, k=rng.choice((0, 60))))
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    it = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.leaks(df, it).collect()}
+    expected = plain_leaks(docs, items)
+    assert len(expected) > 200 and found == pytest.approx(expected, abs=2e-6)
+
+
 # Language model
 
 

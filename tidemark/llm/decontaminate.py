@@ -3,9 +3,8 @@
 A document leaks an item if some window of the item's number of words holds at least 0.8 of the item's five-word
 shingles, each weighted by its rarity among the items. Such a window shares a shingle with its item, so every shingle of
 every document is looked up among the items' shingles; a hit at word p of the document and word q of the item fixes the
-window that starts at p - q. The window's words are fingerprinted, cut into radius + 1 blocks, and joined on (item, block,
-value) with the items' blocks: at most radius differing bits leave one block equal, so no fingerprint within the radius is
-missed. Survivors are verified on the exact weighted shingles.
+window that starts at p - q. Every such window is verified on the exact weighted shingles. Its words are fingerprinted too,
+for its distance from the item; no window is dropped by it, since windows at 0.8 can differ in any number of bits.
 
 Items go out in passes of at most PASS_SHINGLES shingles, so what is broadcast has a fixed bound whatever the benchmark's
 size. Items shorter than five words are matched as one shingle of their length; items without words match nothing.
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut
 
-SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 14
+SHINGLE, SIMILARITY = 5, 0.8
 PASS_SHINGLES = 200_000
 
 
@@ -46,17 +45,7 @@ def simhash(words: Column) -> Column:
     return F.element_at(F.transform(F.array(hashes), lambda h: F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), lambda s, b: s.bitwiseOR(bit(h, b)))), 1)
 
 
-def blocks(fp: Column, radius: int) -> Column:
-    """radius + 1 values that together hold every bit of the fingerprint."""
-    n, at, out = radius + 1, 0, []
-    for i in range(n):
-        width = 64 // n + (i < 64 % n)
-        out.append(F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << width) - 1)).alias("value")))
-        at += width
-    return F.array(*out)
-
-
-def prepared_items(items: DataFrame, id_col: str, text_col: str, radius: int) -> DataFrame:
+def prepared_items(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per item with words: item_id, size, k, words, hashes, fp."""
     base = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("item_id"), words_of(F.col(text_col)).alias("words")).where(F.size("words") > 0).dropDuplicates(["item_id"])
     k = F.least(F.size("words"), F.lit(SHINGLE))
@@ -64,36 +53,34 @@ def prepared_items(items: DataFrame, id_col: str, text_col: str, radius: int) ->
     return base.select("item_id", F.size("words").alias("size"), k.alias("k"), hashed.alias("hashes"), simhash(F.col("words")).alias("fp"))
 
 
-def leaks(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """Rows (doc_id, item_id, start, words, distance, similarity): for each document and item that it leaks, the best
     window, the earliest of equals. Null ids, null and empty texts match nothing; repeated rows count once."""
-    known = cut(prepared_items(items, item_col, item_text, radius))
+    known = cut(prepared_items(items, item_col, item_text))
     n, total = known.agg(F.count("*"), F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()
     lengths = sorted(r[0] for r in known.select("k").distinct().collect())  # at most five values
     passes = max(1, math.ceil(total / PASS_SHINGLES))
-    grams = known.select("item_id", "size", "k", F.posexplode("hashes").alias("q", "h"))
+    grams = known.select("item_id", "size", "k", "fp", F.posexplode("hashes").alias("q", "h"))
     rarity = grams.groupBy("h").agg(F.log1p(F.lit(float(n)) / F.count_distinct("item_id")).alias("weight"))
     found = None
     for p in range(passes):
         mine = F.pmod(F.xxhash64("item_id"), F.lit(passes)) == p if passes > 1 else F.lit(True)
         for k in lengths:
-            some = F.broadcast(grams.where(mine & (F.col("k") == k)).select("h", "q", "size", "item_id"))
+            some = F.broadcast(grams.where(mine & (F.col("k") == k)).select("h", "q", "size", "item_id", "fp"))
             read = docs.where(F.col(doc_col).isNotNull()).select(F.col(doc_col).alias("doc_id"), words_of(F.col(text_col)).alias("w")).where(F.size("w") >= k)
             hits = read.select("doc_id", "w", F.posexplode(shingles(F.col("w"), k)).alias("p", "h")).join(some, "h")
             start = F.greatest(F.col("p") - F.col("q"), F.lit(0))
-            part = hits.select("doc_id", "item_id", F.lit(k).alias("k"), start.alias("start"), F.slice("w", start + 1, F.col("size")).alias("window"))
+            part = hits.select("doc_id", "item_id", F.lit(k).alias("k"), start.alias("start"), "fp", F.slice("w", start + 1, F.col("size")).alias("window"))
             found = part if found is None else found.unionByName(part)
     if found is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, start int, words int, distance int, similarity double")
-    windows = cut(found.groupBy("doc_id", "item_id", "k", "start").agg(F.min("window").alias("window")).withColumn("fp", simhash(F.col("window"))))
-    table = known.select("item_id", F.col("fp").alias("i_fp"), F.inline(blocks(F.col("fp"), radius)))
-    probes = windows.select("doc_id", "item_id", "start", "fp", F.inline(blocks(F.col("fp"), radius)))
-    near = probes.join(table, ["item_id", "block", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("i_fp"))) <= radius).groupBy("doc_id", "item_id", "start").agg(F.first(F.bit_count(F.col("fp").bitwiseXOR(F.col("i_fp")))).alias("distance"))
+    distance = F.bit_count(simhash(F.col("window")).bitwiseXOR(F.col("fp")))
+    windows = cut(found.groupBy("doc_id", "item_id", "k", "start").agg(F.min("window").alias("window"), F.min("fp").alias("fp")).withColumn("distance", distance))
     # exact verification: for each shingle of the item the smaller of both counts, weighted
     wanted = grams.groupBy("item_id", "h").agg(F.count("*").alias("n")).join(rarity, "h")
     whole = wanted.groupBy("item_id").agg(F.sum(F.col("n") * F.col("weight")).alias("whole"))
     hashed = F.coalesce(*[F.when(F.col("k") == n, shingles(F.col("window"), n)) for n in range(1, SHINGLE + 1)])
-    held = windows.join(near, ["doc_id", "item_id", "start"]).select("doc_id", "item_id", "start", "distance", F.size("window").alias("words"), F.explode(hashed).alias("h"))
+    held = windows.select("doc_id", "item_id", "start", "distance", F.size("window").alias("words"), F.explode(hashed).alias("h"))
     counted = held.groupBy("doc_id", "item_id", "start", "distance", "words", "h").agg(F.count("*").alias("m"))
     scored = (
         counted.join(wanted, ["item_id", "h"])
