@@ -216,6 +216,17 @@ def test_pseudonyms_keep_formats_and_link_equal_values(spark):
     assert out[10].split() == [b.strip()] * 400
 
 
+def test_secrets_of_any_length_are_replaced_whole(spark):
+    plain = ["token=" + "Zq" * (n // 2) + " end" for n in (200, 300, 5000)]
+    web = "eyJ" + "Zq" * 20 + "." + "Zq" * 225 + "." + "Zq" * 400
+    keys = ["ghp_" + "Zq" * 60, "sk-" + "Zq" * 60]
+    mail = ["Zq" * 40 + "@mail.example.com", "Zq@" + "Zq." * 12 + "com"]
+    out = protect(spark, [*plain, *(f"a {x} end" for x in (web, *keys, *mail))])
+    assert not any("Zq" in x or not x.endswith(" end") for x in out)
+    assert all(re.fullmatch("token=[0-9a-f]+ end", y) and len(x) == len(y) for x, y in zip(plain, out))
+    assert all(re.fullmatch("a [0-9a-f]+ end", y) and len(y) == len(x) + 6 for x, y in zip((web, *keys), out[3:]))
+
+
 def test_feistel_is_the_stated_permutation(spark):
     for left, right in ((10, 10), (10, 100), (271, 270)):
         rows = spark.range(left * right).select("id", pii.feistel(F.col("id"), F.lit(left).cast("long"), F.lit(right).cast("long"), F.lit("t")).alias("f")).collect()

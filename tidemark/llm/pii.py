@@ -21,9 +21,9 @@ ROUNDS = 10
 FIRST_DAY, DAYS = "1900-01-01", 73049  # pseudonymous dates lie in 1900-01-01 .. 2099-12-31
 
 # Fixed patterns, in the order in which they are tried at a place.
-SECRET = r"(?<![A-Za-z0-9_])(?i:api[_-]?key|access[_-]?key|auth[_-]?token|token|secret|password|passwd|pwd)\s{0,3}[:=]\s{0,3}[\"']?[A-Za-z0-9_+/=.\-]{8,200}"
-BEARER = r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,80}|sk-[A-Za-z0-9_-]{20,80}|eyJ[A-Za-z0-9_-]{8,400}\.[A-Za-z0-9_-]{8,400}\.[A-Za-z0-9_-]{8,400})"
-EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){1,8}"
+SECRET = r"(?<![A-Za-z0-9_])(?i:api[_-]?key|access[_-]?key|auth[_-]?token|token|secret|password|passwd|pwd)\s{0,3}[:=]\s{0,3}[\"']?[A-Za-z0-9_+/=.\-]{8,}+"
+BEARER = r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9_-]{20,}+|eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)"
+EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)++"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 DATE = r"(?<![0-9./\-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./\-][0-9]{2}[./\-][0-9]{4})(?![0-9])"
 ADDRESS = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
@@ -31,7 +31,7 @@ PHONE = r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .\-]?\([0-9]{1,4}\)[ .\-]?[0-9]{3,4}[
 SSN = r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"
 NUMBER = r"(?<![0-9A-Za-z.])(?:[0-9]{11,19}|[0-9]{4}(?:[ \-][0-9]{4}){3}(?:[ \-][0-9]{3})?|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9A-Za-z])"
 PATTERN = "|".join(f"(?:{p})" for p in (SECRET, BEARER, EMAIL, IBAN, DATE, ADDRESS, PHONE, SSN, NUMBER))
-HINT = "[0-9@:=]|sk-|gh[pousr]_"  # every candidate holds one of these
+HINT = "[0-9@:=]|sk-|gh[pousr]_|eyJ|AKIA"  # every candidate holds one of these
 
 
 def let(value: Column, body) -> Column:
@@ -183,9 +183,9 @@ def new_iban(m: Column, key: str) -> Column:
 
 
 def digest_text(m: Column, kind: str, key: str, n: Column) -> Column:
-    """n lower-case hex digits, n up to 256."""
+    """n lower-case hex digits; beyond 256 they repeat."""
     wide = F.concat(*[F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), F.lit(str(i)), m), 256) for i in range(4)])
-    return F.substring(wide, F.lit(1), n)
+    return F.substring(F.repeat(wide, F.ceil(n / 256).cast("int")), F.lit(1), n)
 
 
 def new_email(m: Column, key: str) -> Column:
@@ -199,7 +199,7 @@ def new_secret(m: Column, key: str) -> Column:
     """What stands before the value stays, the value becomes hex digits of its length."""
     head = F.regexp_extract(m, r"^(?i:[a-z_\-]+)\s*[:=]\s*[\"']?", 0)
     value = F.substring(m, F.length(head) + 1, F.length(m))
-    return F.concat(head, digest_text(value, "secret", key, F.least(F.length(value), F.lit(256))))
+    return F.concat(head, digest_text(value, "secret", key, F.length(value)))
 
 
 def whole(pattern: str) -> str:
@@ -208,7 +208,7 @@ def whole(pattern: str) -> str:
 
 def pseudonym(m: Column, key: str = KEY) -> Column:
     """The pseudonym of one match, by the first kind that it is."""
-    bearer = digest_text(m, "bearer", key, F.least(F.length(m), F.lit(256)))
+    bearer = digest_text(m, "bearer", key, F.length(m))
     return (
         F.when(m.rlike(whole(SECRET)), new_secret(m, key))
         .when(m.rlike(whole(BEARER)), bearer)
