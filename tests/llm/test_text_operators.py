@@ -442,6 +442,23 @@ def test_toxicity_on_held_out_labels_with_spans(spark):
     assert toxicity.tag(docs.limit(0), chain).count() == 0
 
 
+def test_toxicity_fit_skips_long_documents_and_counts_each_once(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_CHARS", 4000)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y: seen.append((texts, list(y))))
+    order = [r[0] for r in spark.range(40).where(F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 0).orderBy(F.xxhash64("id")).collect()]
+    short = {i: ("idiot " if i % 2 else "fine ") + "w" * 20 for i in order}
+    texts = short | {order[0]: "long " * 1000, order[1]: "long " * 1000}
+    rows = [(i, t) for i, t in texts.items()] + [(order[2], texts[order[2]])] * 300 + [(order[3], "long " * 700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    toxicity.learn(docs, spark.createDataFrame([(i, i % 2) for i in order], "doc_id long, toxic int"))
+    assert seen == [([short[i] for i in order[2:]], [i % 2 for i in order[2:]])]
+    row = lambda y, size: {"y": y, "key": {"size": size}}
+    rows = [row(1, 900), row(0, 30), row(1, 800), row(0, 40), row(0, 20)]
+    assert toxicity.within(rows, 100) == [rows[1], rows[2], rows[4]]  # a label's shortest stays, or nothing could be learned
+    assert toxicity.within(rows, 2000) == rows and toxicity.within([], 100) == []
+
+
 def test_forward_backward_against_all_paths():
     import itertools
 

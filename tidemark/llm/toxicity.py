@@ -6,8 +6,9 @@ has two tags; a token's potential comes from hashed features of its word and its
 probability that the chain tags at least one token as toxic (one minus that of the all-clean path, from the forward pass),
 calibrated on the training documents. Where a document scores toxic, forward-backward marginals give the spans.
 
-The fit takes at most FIT_DOCS labelled documents of each label, those with the smallest hashed ids, each read up to its end;
-scoring covers all rows and whole texts. Null and empty texts have no tokens and score the calibrated floor. Without both
+The fit takes at most FIT_DOCS labelled documents of each label, those with the smallest hashed ids, each once and up to its
+end (the shortest row where an id repeats). Each label has half of FIT_CHARS and what the other leaves; documents that would
+pass that are skipped, but the shortest of a label is always taken. Scoring covers all rows and whole texts. Null and empty texts have no tokens and score the calibrated floor. Without both
 labels every score is the share of toxic labels, 0 if there are none.
 """
 
@@ -286,17 +287,38 @@ def spans(text: str, pot: np.ndarray, chain: Chain, least: float = 0.5) -> list[
     return out
 
 
+def within(rows: list, chars: int | None = None) -> list:
+    """The rows (y, key.size) that fit into so many characters, in order, those too long skipped. Each label has half of
+    them and what the other leaves; its shortest row is always taken."""
+    chars = FIT_CHARS if chars is None else chars
+    whole = {y: sum(r["key"]["size"] for r in rows if r["y"] == y) for y in (0, 1)}
+    left = {y: max(chars // 2, chars - whole[1 - y]) for y in (0, 1)}
+    least = {y: min((i for i, r in enumerate(rows) if r["y"] == y), key=lambda i: rows[i]["key"]["size"], default=None) for y in (0, 1)}
+    for y, i in least.items():
+        left[y] -= rows[i]["key"]["size"] if i is not None else 0
+    out = []
+    for i, r in enumerate(rows):
+        y, size = r["y"], r["key"]["size"]
+        if i == least[y]:
+            out.append(r)
+        elif size <= left[y]:
+            left[y] -= size
+            out.append(r)
+    return out
+
+
 def learn(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Chain | float:
     """A chain from docs and labels (doc_id, toxic) outside the held-out part, or the share of toxic labels if it is 0 or 1."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), HELD_MOD) != HELD)).groupBy(F.col("doc_id").alias("l_id")).agg(F.max("toxic").alias("y"))
     ranked = [known.where(F.col("y") == y).orderBy(F.xxhash64("l_id"), "l_id").limit(fit_docs) for y in (0, 1)]
     chosen = ranked[0].unionByName(ranked[1])
-    texts = docs.select(F.col("doc_id").alias("d_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), F.col("d_id") == F.col("l_id")).select("text", "y", "l_id").orderBy(F.xxhash64("l_id"), "l_id").toArrow()
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select(F.col("doc_id").alias("d_id"), text.alias("text"), F.struct(F.length(text).alias("size"), F.xxhash64(text).alias("hash")).alias("key"))
+    sizes = texts.join(F.broadcast(chosen), F.col("d_id") == F.col("l_id")).groupBy("l_id", "y").agg(F.min("key").alias("key")).orderBy(F.xxhash64("l_id"), "l_id")
+    picked = docs.sparkSession.createDataFrame(within(sizes.collect()), sizes.schema)
+    mine = texts.join(F.broadcast(picked.withColumnRenamed("key", "l_key")), (F.col("d_id") == F.col("l_id")) & (F.col("key") == F.col("l_key")))
+    rows = mine.groupBy("l_id", "y").agg(F.min("text").alias("text")).orderBy(F.xxhash64("l_id"), "l_id").toArrow()
     texts, y = rows["text"].to_pylist(), np.array(rows["y"].to_pylist())
-    size = np.cumsum([len(t or "") for t in texts])
-    n = max(1, int(np.searchsorted(size, FIT_CHARS))) if len(texts) else 0
-    texts, y = texts[:n], y[:n]
     if not len(y) or y.min() == y.max():
         return float(y.mean()) if len(y) else 0.0
     return fit(texts, y)
