@@ -146,6 +146,16 @@ def test_html_edges(page, text):
     assert html.extract(page) == text
 
 
+@pytest.mark.parametrize("q", "\"'")
+def test_html_reads_attribute_values_of_any_length(q):
+    value = "=" + q + "a>b <i class=ad hidden> " * 4200 + q
+    assert html.extract(f"<article><div data-x{value} id=x><p>One two three four</p></div><p title = {value[1:]}>five six seven eight</p></article>") == "One two three four\nfive six seven eight"
+    stray = "word " * 2000
+    texts = [t for _, t in html.tokens(f"<article><p id=x {q}>{stray}</p><p>it{q}s</p><p title={q}a>end</p></article>") if t]
+    assert texts == [stray, f"it{q}s", "end"]
+    assert html.extract(f"<p x={q}>" + f"<b ={q}{q} {q}>w</b> " * 20000).count("w") == 20000
+
+
 def test_html_over_a_table(spark):
     pages = spark.createDataFrame([(1, "u", PAGE), (2, None, None), (2, None, None)], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     rows = html.main_text(pages).orderBy("page_id").collect()

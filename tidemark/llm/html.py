@@ -40,7 +40,10 @@ NOISE = (
 NOISY = re.compile(r"(?<![a-z])(?:" + "|".join(NOISE) + r")(?![a-z])")
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-LEX = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,5000}+\"|'[^']{0,5000}+'|[\"'])*+)(?:>|\Z)", re.S)
+#: A quote opens a value after = alone, and one that is never closed is a plain character: only the page's last quote of
+#: each sort can be unclosed, so the scan stays linear.
+LEX = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)(?:>|\Z)", re.S)
+MARKUP = re.compile(r"=\s*+(?:\"[^\"<>]*+[<>][^\"]*+\"|'[^'<>]*+[<>][^']*+')")  # values that hold pages of their own
 ENDS = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*+(?:>|\Z)", re.I) for name in RAW}
 WORD, LINK_WORD, SKIPPED = "w", "w a", "skip"
 
@@ -65,7 +68,7 @@ def tokens(page: str):
         name = (m.group(2) or "").lower()
         if not name:
             continue
-        closes, attrs = bool(m.group(1)), m.group(3)
+        closes, attrs = bool(m.group(1)), MARKUP.sub("=''", m.group(3))
         if skip:
             if name == skip:
                 depth += -1 if closes else (name not in CLOSED_BY_BLOCK and not attrs.endswith("/"))
