@@ -349,28 +349,77 @@ def test_base_scores_and_normalisation(spark):
     assert language_model.score(docs.limit(0)).count() == 0
 
 
-def test_language_model_probabilities_sum_to_one():
+def model_by_hand(words, counts, seed):
+    """A vocabulary, random weights, and a plain function for the probability of a word after three others."""
     import numpy as np
 
-    words = [language_model.END] + [b"w%d" % i for i in range(3000)]
-    counts = [3001 - i for i in range(3001)]
+    lm = language_model
     tails = {}
     for w, c in zip(words, counts):
-        a, b = tails.get(language_model.tail_class(w), (0, 0))
-        tails[language_model.tail_class(w)] = (a + c, b + 1)
-    vocab = language_model.Vocabulary(words, counts, sum(counts), len(counts), tails)
-    rng = np.random.default_rng(1)
-    w1, w2 = rng.normal(0, 0.3, (language_model.ROWS1, language_model.CLASSES)).astype(np.float32), rng.normal(0, 0.3, (language_model.ROWS2, language_model.SLOTS)).astype(np.float32)
-    before = [np.array([123]), np.array([45]), np.array([6])]
-    p = language_model.softmax(w1, language_model.class_features(before), vocab.class_bias)[0]
-    total = 0.0
-    for k in range(language_model.HEADS):
-        q = language_model.softmax(w2, language_model.word_features(before, np.array([k])), vocab.word_bias[k][None, :])[0]
-        total += p[k] * q.sum()
-    for k in range(language_model.TAILS):
-        own = [c for w, c in list(zip(words, counts))[language_model.SOFT :] if language_model.tail_class(w) == k]
-        total += p[language_model.HEADS + k] * (sum(c + 0.1 for c in own) + 0.1) / vocab.tail_mass[k]
-    assert total == pytest.approx(1, abs=1e-4)
+        a, b = tails.get(lm.tail_class(w), (0, 0))
+        tails[lm.tail_class(w)] = (a + c, b + 1)
+    vocab = lm.Vocabulary(words, counts, sum(counts), len(counts), tails)
+    rng = np.random.default_rng(seed)
+    weights = [rng.normal(0, 0.3, (k, lm.ROWS, lm.WAYS)).astype(np.float32) for k in lm.FEATURES]
+    rank = {w: i for i, w in enumerate(words)}
+
+    def probability(word, before):
+        i = rank.get(word, -1)
+        soft = 0 <= i < lm.SOFT
+        k = i // 64 if soft else 32 + zlib.crc32(word[-4:]) % 32
+        path = [(0, k // 8), (k // 8, k % 8)] + ([(k, i % 64 // 8), (k * 8 + i % 64 // 8, i % 8)] if soft else [])
+        head = lambda a, b: [c + 0.1 for c in counts[a : min(b, lm.SOFT)]] + [0.0] * (b - a - len(counts[a : min(b, lm.SOFT)]))
+        own = [sum(head(64 * c, 64 * c + 64)) for c in range(32)]
+        rest = [[c for w, c in zip(words[lm.SOFT :], counts[lm.SOFT :]) if zlib.crc32(w[-4:]) % 32 == t] for t in range(32)]
+        own += [sum(c + 0.1 for c in r) + 0.1 for r in rest]
+        shares = [[sum(own[8 * g : 8 * g + 8]) for g in range(8)], own[k // 8 * 8 : k // 8 * 8 + 8]]
+        if soft:
+            shares += [[sum(head(64 * k + 8 * g, 64 * k + 8 * g + 8)) for g in range(8)], head(i // 8 * 8, i // 8 * 8 + 8)]
+        p = 1.0
+        for level, ((node, pick), share) in enumerate(zip(path, shares)):
+            near = lm.contexts_of([np.array([zlib.crc32(b) if b is not None else 0]) for b in before])
+            rows = [int(f[0]) for f in lm.features(level, near, np.array([node]))]
+            z = [math.exp(sum(float(weights[level][k, r, j]) for k, r in enumerate(rows))) * s for j, s in enumerate(share)]
+            p *= z[pick] / sum(z)
+        if not soft:
+            p *= ((counts[i] if i >= 0 else 0) + 0.1) / own[k]
+        return p
+
+    return vocab, weights, probability
+
+
+def test_language_model_probabilities_sum_to_one():
+    end = language_model.END
+    words, counts = [end] + [b"w%d" % i for i in range(2300)], [2301 - i for i in range(2301)]
+    _, _, probability = model_by_hand(words, counts, 1)
+    before = (b"w7", b"not seen", None)
+    unseen = {language_model.tail_class(b"u%d" % i): b"u%d" % i for i in range(2000)}  # each tail class keeps room for one
+    assert len(unseen) == 32
+    assert sum(probability(w, before) for w in [*words, *unseen.values()]) == pytest.approx(1, abs=1e-6)
+
+
+def test_language_model_scores_like_plain_sums(spark):
+    rng = random.Random(14)
+    words, counts = [language_model.END] + [b"w%d" % i for i in range(2300)], [2301 - i for i in range(2301)]
+    vocab, weights, probability = model_by_hand(words, counts, 2)
+    texts = ["", None, "W1 unknown w2300 w0", *(" ".join(f"w{int(rng.paretovariate(0.3)) % 2600}" for _ in range(rng.randint(1, 60))) for _ in range(12))]
+    sc = spark.sparkContext
+    rows = language_model.scored_rows(documents(spark, texts), sc.broadcast(vocab), sc.broadcast(weights)).collect()
+    known, total = set(words), sum(counts)
+    for r in rows:
+        tokens = language_model.words_of(texts[r["doc_id"]])
+        before = [None, None, None, *tokens]
+        want, base = 0.0, 0.0
+        for i, w in enumerate(tokens):
+            if w in known:
+                want += math.log10(probability(w, before[i : i + 3][::-1]))
+                base += math.log10((counts[words.index(w)] + 0.1) / (total + 0.1 * (len(words) + 1)))
+            else:  # its share of the class is joined later
+                i_, k = i, language_model.tail_class(w)
+                want += math.log10(probability(w, before[i_ : i_ + 3][::-1]) * vocab.tail_mass[k] / 0.1)
+        assert r["score"] == pytest.approx(want, rel=1e-4) and r["base"] == pytest.approx(base, rel=1e-9)
+        assert (r["n_tokens"], r["n_known"]) == (len(tokens), sum(w in known for w in tokens))
+        assert sorted((x["word"].encode(), x["n"]) for x in r["rest"]) == sorted(Counter(w for w in tokens if w not in known).items())
 
 
 def test_language_model_contexts_tell_rare_words_and_word_pairs_apart():
@@ -381,8 +430,8 @@ def test_language_model_contexts_tell_rare_words_and_word_pairs_apart():
 
     def last_features(*docs):
         ids, sizes = lex.look([[*d, end] for d in docs])
-        before = language_model.contexts(lex.cols[ids][:, 0], sizes)
-        return np.stack(language_model.class_features(before), 1)[np.cumsum(sizes) - 1]
+        near = language_model.contexts_of(language_model.contexts(lex.cols[ids][:, 0], sizes))
+        return np.stack(language_model.features(0, near, np.zeros(len(ids), np.int64)), 1)[np.cumsum(sizes) - 1]
 
     a, b = last_features([b"one-same"], [b"two-same"])  # words of one tail class
     assert a[0] != b[0]

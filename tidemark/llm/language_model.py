@@ -1,18 +1,20 @@
 """Scores of a hashed maximum-entropy language model beside those of the unigram model.
 
 Words are counted over all training documents. The most frequent ones fill head classes of SLOTS words each; every other
-word belongs to one of TAILS classes by its ending. The probability of a word is that of its class, a softmax over hashed
-features of the words before (the last word, the last two, and skips to the second and third last), times that of the
-word in its class: a second softmax over features of the class with the last word and the one before it for head classes,
-the smoothed unigram within the class for the others, where each class keeps room for one unknown word. As a context, every
-word counts as itself, by its hash. So every context's probabilities sum to one.
+word belongs to one of TAILS classes by its ending. Classes lie in groups of WAYS, and so do the words of a head class, so
+a word is found by two choices among WAYS (its group, its class) and a head word by two more (its group of slots, its slot).
+Each choice is a softmax of its own over hashed features of the node that it is made at and the words before: the last word,
+the last two, and skips to the second and third last. Words of tail classes follow by the smoothed unigram within the
+class, where each class keeps room for one unknown word. As a context, every word counts as itself, by its hash. So every
+context's probabilities sum to one.
 
 Weights are trained by distributed gradient updates: each shard runs adaptive gradient steps over its documents in sparse
-batches (only the rows that a batch's features hash to are touched), the shards' rows are averaged by how often they were
-used, and the next round starts from the mean. Every training document is used once, in one of ROUNDS rounds.
+batches (only the rows that a batch's features hash to are touched), the shards' rows are averaged by the squared gradients that
+they took, and the next round starts from the mean. Every training document is used once, in one of ROUNDS rounds.
 
 What goes to the driver and out again is bounded: the HEAD most frequent words with their counts, and the weights. Counts
-of rarer words are joined by word. Null texts are empty ones, which hold the end token alone.
+of rarer words are joined by word. Null texts are empty ones, which hold the end token alone; documents without an id are
+training ones; repeated rows count and score as often as they stand there.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +34,11 @@ from tidemark.llm.common import crc_mod, stored, table
 
 HELD_MOD, HELD = 10, 0
 SLOTS, HEADS, TAILS = 64, 32, 32
-CLASSES, SOFT = HEADS + TAILS, HEADS * SLOTS
+CLASSES, SOFT, WAYS = HEADS + TAILS, HEADS * SLOTS, 8
 HEAD = 131_072  # words whose counts every task holds
-ROWS1, ROWS2 = 1 << 14, 1 << 15  # hashed feature rows of the class softmax and of the word softmax
-ROUNDS, RATE, BATCH, SHARD_TOKENS, LEXICON, FLUSH = 2, 0.08, 8192, 4_000_000, 200_000, 150_000
-BLOCK = 256
+FEATURES, ROWS = (4, 4, 3, 3), 1 << 16  # features of each choice, and hashed rows of each feature's table
+ROUNDS, RATE, BATCH, SHARD_TOKENS, LEXICON, FLUSH = 2, 0.14, 16384, 4_000_000, 400_000, 400_000
+BLOCK, LEAST_SUM = 256, np.float32(1e-2)
 DELTA = 0.1
 END = b""
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -78,6 +80,13 @@ def _counted(counts: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array(map(tail_class, words), pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["word", "k", "c"])
 
 
+def log_shares(mass: np.ndarray) -> np.ndarray:
+    """Logarithms of each row's shares; what has no mass gets next to none."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out = np.log(mass / mass.sum(1, keepdims=True))
+    return np.where(np.isfinite(out), out, -1e9).astype(np.float32)
+
+
 class Vocabulary:
     """The head words in order of frequency, with the sums that the formulas need."""
 
@@ -90,16 +99,11 @@ class Vocabulary:
             n[tail_class(w)] -= c
             v[tail_class(w)] -= 1
         self.tail_mass = n + DELTA * (v + 1)
-        soft = np.full(SOFT, -np.inf)
-        soft[: min(SOFT, len(words))] = np.log(self.counts[:SOFT] + DELTA)
-        self.word_bias = soft.reshape(HEADS, SLOTS)
-        top = self.word_bias.max(1, initial=-np.inf)
-        mass = np.where(np.isfinite(top), np.exp(self.word_bias).sum(1), 0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            self.class_bias = np.log(np.concatenate([mass, self.tail_mass]) / (mass.sum() + self.tail_mass.sum()))
-            self.word_bias = self.word_bias - np.log(mass)[:, None]
-        self.word_bias = np.where(np.isfinite(self.word_bias), self.word_bias, -1e9).astype(np.float32)
-        self.class_bias = np.where(np.isfinite(self.class_bias), self.class_bias, -1e9).astype(np.float32)
+        soft = np.zeros(SOFT)
+        soft[: min(SOFT, len(words))] = self.counts[:SOFT] + DELTA
+        words_of_class = soft.reshape(HEADS, WAYS, -1)
+        classes = np.concatenate([words_of_class.sum((1, 2)), self.tail_mass]).reshape(-1, WAYS)
+        self.biases = [log_shares(x) for x in (classes.sum(1)[None, :], classes, words_of_class.sum(2), words_of_class.reshape(-1, SLOTS // WAYS))]
         self.base = math.log10(total + DELTA * (distinct + 1)) if total else math.log10(DELTA)
 
 
@@ -134,13 +138,12 @@ class Lexicon(dict):
         sizes = np.fromiter(map(len, docs), np.int64, len(docs))
         ids = np.fromiter(map(self.__getitem__, chain.from_iterable(docs)), np.int64, int(sizes.sum()))
         if self.new:
-            rows = []
-            for w in self.new:
-                i = self.rank.get(w, -1)
-                k = tail_class(w)
-                at = (i // SLOTS, i % SLOTS) if 0 <= i < SOFT else (HEADS + k, -1)
-                rows.append((zlib.crc32(w), *at, self.vocab.counts[i] if i >= 0 else -1))
-            self.cols = np.concatenate([self.cols, np.array(rows, np.int64)])
+            n, crc = len(self.new), zlib.crc32
+            rank = np.fromiter(map(self.rank.get, self.new, repeat(-1)), np.int64, n)
+            tail = HEADS + np.fromiter([crc(w[-4:]) for w in self.new], np.int64, n) % TAILS
+            soft = (rank >= 0) & (rank < SOFT)
+            rows = [np.fromiter(map(crc, self.new), np.int64, n), np.where(soft, rank // SLOTS, tail), np.where(soft, rank % SLOTS, -1), np.where(rank >= 0, self.vocab.counts[rank] if len(self.rank) else -1, -1)]
+            self.cols = np.concatenate([self.cols, np.stack(rows, 1)])
             self.names += self.new
             self.new = []
         return ids, sizes
@@ -157,52 +160,85 @@ def contexts(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def hashed(seed: int, rows: int, *columns: np.ndarray) -> np.ndarray:
-    """Rows that integer columns hash to together."""
-    h = np.uint64(0x9E3779B9 + seed)
+def mixed(*columns: np.ndarray) -> np.ndarray:
+    """64 bits that integer columns hash to together."""
+    h = np.uint64(0x9E3779B9)
     for c in columns:
         h = (h ^ c.astype(np.uint64)) * np.uint64(0xFF51AFD7ED558CCD)
         h ^= h >> np.uint64(32)
-    return h.astype(np.uint16) % rows
+    return h
 
 
-def class_features(before) -> list[np.ndarray]:
+def contexts_of(before) -> list[np.ndarray]:
+    """What the features look at, hashed: the last word, the last two, and skips to the second and third last."""
     a, b, c = before
-    return [hashed(1, ROWS1, a), hashed(2, ROWS1, b), hashed(3, ROWS1, c), hashed(4, ROWS1, a, b)]
+    return [mixed(a), mixed(a, b), mixed(b), mixed(c)]
+
 
+def features(level: int, near: list[np.ndarray], nodes: np.ndarray) -> list[np.ndarray]:
+    """Rows of the features' tables that the contexts hash to at the node."""
+    place = (nodes.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return [(((h ^ place) * np.uint64(0xC4CEB9FE1A85EC53)) >> np.uint64(48)).astype(np.uint16) for h in near[: FEATURES[level]]]
 
-def word_features(before, classes: np.ndarray) -> list[np.ndarray]:
-    return [hashed(5 + k, ROWS2, w, classes) for k, w in enumerate(before[:2])]
 
+def choices(classes: np.ndarray, slots: np.ndarray):
+    """(level, tokens that choose at it, their nodes, what they choose) for tokens of these classes and slots (-1: none)."""
+    every, head = np.arange(len(classes)), np.nonzero(slots >= 0)[0]
+    c, s = classes[head], slots[head]
+    yield 0, every, np.zeros_like(classes), classes // WAYS
+    yield 1, every, classes // WAYS, classes % WAYS
+    if len(head):
+        yield 2, head, c, s // WAYS
+        yield 3, head, c * WAYS + s // WAYS, s % WAYS
 
-def softmax(table_: np.ndarray, feats: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
-    """Probabilities; the biases are log-probabilities, so the sums stay far from overflow."""
-    z = np.take(table_, feats[0], axis=0)
-    for f in feats[1:]:
-        z += np.take(table_, f, axis=0)
-    z += bias
-    np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
+
+def logits(tables: np.ndarray, feats: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
+    z = bias.copy()
+    for w, f in zip(tables, feats):
+        z += np.take(w, f, axis=0)
     return z
 
 
+ONES, ROW = np.ones(WAYS, np.float32), np.dtype((np.void, 4 * WAYS))
+
+
+def log_probability(tables: np.ndarray, feats: list[np.ndarray], bias: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural logarithms; the biases are log-probabilities, so the sums stay far from overflow."""
+    z = logits(tables, feats, bias)
+    mine = z[np.arange(len(z)), target]
+    return mine - np.log(np.exp(z, out=z) @ ONES)
+
+
 class Learner:
-    """One shard's copy of a table with row-wise adaptive steps."""
+    """One shard's copy of a choice's tables with row-wise adaptive steps."""
 
     def __init__(self, start: np.ndarray):
-        self.w, self.used, self.sums = start.astype(np.float32).copy(), np.zeros(len(start)), np.full(len(start), 1e-2, np.float32)
+        self.w, self.sums = start.copy(), np.full(start.shape[:2], LEAST_SUM, np.float32)
 
     def step(self, feats: list[np.ndarray], bias: np.ndarray, target: np.ndarray) -> None:
-        g = softmax(self.w, feats, bias)
+        g = logits(self.w, feats, bias)
+        np.exp(g, out=g)
+        g /= (g @ ONES)[:, None]
         g[np.arange(len(g)), target] -= 1
-        for f in feats:
+        slopes = g.T.astype(np.float64, order="C")
+        for w, sums, f in zip(self.w, self.sums, feats):
             order = np.argsort(f, kind="stable")
             rows = f[order]
-            starts = np.concatenate([[0], np.nonzero(rows[1:] != rows[:-1])[0] + 1])
-            add, rows = np.add.reduceat(np.take(g, order, axis=0), starts, axis=0), rows[starts]
-            self.used[rows] += np.diff(np.append(starts, len(order)))
-            self.sums[rows] += np.einsum("ij,ij->i", add, add) / SLOTS
-            self.w[rows] -= RATE * add / np.sqrt(self.sums[rows])[:, None]
+            first = np.empty(len(rows), bool)
+            first[0], first[1:] = True, rows[1:] != rows[:-1]
+            place = np.empty(len(rows), np.int64)
+            place[order] = np.cumsum(first) - 1
+            starts = np.nonzero(first)[0]
+            rows, n = rows[starts], len(starts)
+            add = np.empty((n, WAYS), np.float32)
+            for i, s in enumerate(slopes):
+                add[:, i] = np.bincount(place, s, n)
+            seen = np.take(sums, rows)
+            seen += (add * add) @ ONES / WAYS
+            sums[rows] = seen
+            add *= (-RATE / np.sqrt(seen))[:, None]
+            add += np.take(w, rows, axis=0)
+            w.view(ROW)[rows, 0] = add.view(ROW)[:, 0]  # a row moves as one item, which is several times faster
 
 
 def parts(b: pa.RecordBatch, column: int, chars: int = 1_500_000, rows: int = 500):
@@ -219,63 +255,65 @@ def parts(b: pa.RecordBatch, column: int, chars: int = 1_500_000, rows: int = 50
             yield at, run
 
 
-def train_round(docs: DataFrame, vocab, weights) -> tuple[np.ndarray, np.ndarray]:
+def train_round(docs: DataFrame, vocab, weights, shards: int) -> tuple[np.ndarray, ...]:
     """The mean of the shards' tables after one pass over docs. Blocks of rows are summed by the tasks that own them."""
 
     def shard(batches):
         lex, learners = Lexicon(vocab.value), [Learner(w) for w in weights.value]
-        bias1, bias2 = lex.vocab.class_bias, lex.vocab.word_bias
+        biases = lex.vocab.biases
         for b in batches:
             for _, texts in parts(b, 0):
                 ids, sizes = lex.look([words_of(t) for t in texts])
                 hashes, classes, slots, _ = lex.cols[ids].T
-                before = contexts(hashes, sizes)
+                before = contexts_of(contexts(hashes, sizes))
                 for a in range(0, len(ids), BATCH):
-                    near, c, s = [x[a : a + BATCH] for x in before], classes[a : a + BATCH], slots[a : a + BATCH]
-                    learners[0].step(class_features(near), bias1, c)
-                    head = np.nonzero(s >= 0)[0]
-                    if len(head):
-                        c = c[head]
-                        learners[1].step(word_features([x[head] for x in near], c), bias2[c], s[head])
-        out = []
+                    near = [x[a : a + BATCH] for x in before]
+                    for level, who, nodes, target in choices(classes[a : a + BATCH], slots[a : a + BATCH]):
+                        mine = near if len(who) == len(near[0]) else [x[who] for x in near]
+                        learners[level].step(features(level, mine, nodes), biases[level][nodes], target)
+        part, out = TaskContext.get().partitionId() % halves, []
         for t, learner in enumerate(learners):
-            for at in range(0, len(learner.w), BLOCK):
-                rows = np.nonzero(learner.used[at : at + BLOCK])[0] + at
-                if len(rows):
-                    out.append((t * 1_000_000 + at, (rows - at).astype(np.uint8).tobytes(), learner.used[rows].astype(np.float32).tobytes(), learner.w[rows].astype(np.float16).tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), *(pa.array([o[i] for o in out], pa.binary()) for i in (1, 2, 3))], names=["block", "rows", "used", "w"])
+            used, w = learner.sums.ravel() - LEAST_SUM, learner.w.reshape(-1, WAYS)
+            out += [(t * 1_000_000 + at, used[at : at + BLOCK], w[at : at + BLOCK]) for at in range(0, len(used), BLOCK)]
+        yield sent(part, out)
 
     def reduce(batches):
         sums: dict[int, list[np.ndarray]] = {}
         for b in batches:
-            for key, rows, used, w in zip(*(c.to_pylist() for c in b.columns)):
-                s = sums.setdefault(key, [np.zeros(BLOCK), np.zeros((BLOCK, SLOTS))])
+            for key, rows, used, w in zip(*(c.to_pylist() for c in b.columns[1:])):
+                s = sums.setdefault(key, [np.zeros(BLOCK), np.zeros((BLOCK, WAYS))])
                 rows, used = np.frombuffer(rows, np.uint8), np.frombuffer(used, np.float32)
                 s[0][rows] += used
-                s[1][rows] += used[:, None] * np.frombuffer(w, np.float16).reshape(-1, SLOTS)
-        keys = list(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([sums[k][0].tobytes() for k in keys], pa.binary()), pa.array([sums[k][1].astype(np.float32).tobytes() for k in keys], pa.binary())], names=["block", "used", "w"])
+                s[1][rows] += used[:, None] * np.frombuffer(w, np.float16).reshape(-1, WAYS)
+        yield sent(0, [(k, used, w / np.maximum(used, 1e-30)[:, None]) for k, (used, w) in sums.items()])
+
+    def sent(part: int, blocks: list) -> pa.RecordBatch:
+        """The used rows of blocks (key, used, weights)."""
+        kept = [(key, rows, used[rows], w[rows]) for key, used, w in blocks if len(rows := np.nonzero(used > 0)[0])]
+        cols = [[k[0] for k in kept], [k[1].astype(np.uint8).tobytes() for k in kept], [k[2].astype(np.float32).tobytes() for k in kept], [k[3].astype(np.float16).tobytes() for k in kept]]
+        return pa.RecordBatch.from_arrays([pa.array([part] * len(kept), pa.int64()), pa.array(cols[0], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["part", "block", "rows", "used", "w"])
 
-    sent = docs.mapInArrow(shard, "block long, rows binary, used binary, w binary")
+    schema = "part long, block long, rows binary, used binary, w binary"
+    halves = max(1, math.isqrt(shards))  # a block's rows are summed by about the square root of the shards first
     fresh = [w.copy() for w in weights.value]
-    for r in sent.repartition("block").mapInArrow(reduce, "block long, used binary, w binary").collect():
+    some = docs.mapInArrow(shard, schema).repartition("block", "part").mapInArrow(reduce, schema)
+    for r in some.repartition("block").mapInArrow(reduce, schema).collect():
         t, at = divmod(r["block"], 1_000_000)
-        used, w = np.frombuffer(r["used"]), np.frombuffer(r["w"], np.float32).reshape(-1, SLOTS)
-        rows = np.nonzero(used)[0]
-        fresh[t][at + rows] = w[rows] / used[rows, None]
+        rows = np.frombuffer(r["rows"], np.uint8).astype(np.int64) + at
+        fresh[t].reshape(-1, WAYS)[rows] = np.frombuffer(r["w"], np.float16).reshape(-1, WAYS)
     return tuple(fresh)
 
 
-def train(docs: DataFrame, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of both softmaxes from the training documents."""
+def train(docs: DataFrame, vocab: Vocabulary) -> tuple[np.ndarray, ...]:
+    """Weights of every level from the training documents."""
     sc = docs.sparkSession.sparkContext
     sent = sc.broadcast(vocab)
-    weights = (np.zeros((ROWS1, CLASSES), np.float32), np.zeros((ROWS2, SLOTS), np.float32))
+    weights = tuple(np.zeros((k, ROWS, WAYS), np.float32) for k in FEATURES)
     shards = max(1, math.ceil(vocab.total / SHARD_TOKENS / ROUNDS))
     for r in range(ROUNDS):
         mine = docs.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(ROUNDS)) == r).select(F.col("text").cast("string")).coalesce(shards)
         now = sc.broadcast(weights)
-        weights = train_round(mine, sent, now)
+        weights = train_round(mine, sent, now, shards)
         now.unpersist()
     return weights
 
@@ -296,17 +334,14 @@ def scored_rows(docs: DataFrame, vocab, weights) -> DataFrame:
                 ids, sizes = lex.look([words_of(t) for t in texts])
                 cols = lex.cols[ids]
                 hashes, classes, slots, counts = cols.T
-                before = contexts(hashes, sizes)
-                log_p = np.empty(len(ids))
+                before = contexts_of(contexts(hashes, sizes))
+                log_p = np.zeros(len(ids))
                 for a in range(0, len(ids), BATCH):
-                    near, c, s = [x[a : a + BATCH] for x in before], classes[a : a + BATCH], slots[a : a + BATCH]
-                    p = softmax(weights.value[0], class_features(near), v.class_bias)
-                    lp = np.log10(np.maximum(p[np.arange(len(c)), c], 1e-30).astype(np.float64))
-                    head = np.nonzero(s >= 0)[0]
-                    if len(head):
-                        q = softmax(weights.value[1], word_features([x[head] for x in near], c[head]), v.word_bias[c[head]])
-                        lp[head] += np.log10(np.maximum(q[np.arange(len(head)), s[head]], 1e-30).astype(np.float64))
-                    log_p[a : a + BATCH] = lp
+                    near, out = [x[a : a + BATCH] for x in before], log_p[a : a + BATCH]
+                    for level, who, nodes, target in choices(classes[a : a + BATCH], slots[a : a + BATCH]):
+                        mine = near if len(who) == len(out) else [x[who] for x in near]
+                        out[who] += log_probability(weights.value[level], features(level, mine, nodes), v.biases[level][nodes], target)
+                log_p /= math.log(10)
                 known, tail = counts >= 0, slots < 0
                 local = np.where(known, np.log10(np.maximum(counts, 0) + DELTA), 0.0)
                 log_p += np.where(tail & known, local - np.log10(v.tail_mass)[np.maximum(classes - HEADS, 0)], 0.0)
