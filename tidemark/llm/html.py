@@ -3,11 +3,15 @@
 A page is read as words and tags. Words score positive and tags negative; one linear scan finds the contiguous run of the
 highest sum, which is the content region. The weights are log-odds counted on labelled pages, those that mark their article
 themselves (one article or main element): how much likelier a kind of token is inside the marked part than outside. The
-blocks of the region are then written out without elements that are never content (scripts, menus, forms, adverts, notices,
-comments, recognised by element name or by a word of their class, id or role).
+blocks of the region are then written out without elements that are seldom content (menus, forms, adverts, notices,
+comments, recognised by element name or by a word of their class, id or role). Such an element that holds most of the
+page's words is a wrapper, and is read on, if an article, a main element or a first heading is in it or nowhere; reader
+comments, further reading, menus and footers may hold most of the words and count as wrappers only with a main element or a
+first heading in them. Scripts and hidden elements are never read.
 
 Null, empty and tagless pages, unclosed or cut tags, and unknown entities are all read as far as they go; whole pages are
-read, whatever their length.
+read, whatever their length. Repeated rows give equal texts. Weights are learned for the KINDS most frequent tags; rarer
+ones have default_weight().
 """
 
 from __future__ import annotations
@@ -37,6 +41,7 @@ NOISE = (
     "widget cookie cookies consent notice gdpr popup modal overlay share sharing social comment comments discussion disqus respond replies related recommended newsletter subscribe "
     "subscription signup login toolbar pagination pager skip copyright legal search form contentinfo complementary"
 ).split()
+APART = {"comment", "comments", "discussion", "disqus", "respond", "replies", "related", "recommended"}
 NOISY = re.compile(r"(?<![a-z])(?:" + "|".join(NOISE) + r")(?![a-z])")
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -48,58 +53,108 @@ ENDS = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*+(?:>|\Z)", re.I) for name
 WORD, LINK_WORD, SKIPPED = "w", "w a", "skip"
 
 
-def tokens(page: str):
-    """(kind, text) in page order. A word run has kind WORD, LINK_WORD or SKIPPED and its text; a tag has its key and ''.
-
-    A tag's key is its name, with / before it if it closes; elements that are never content give one SKIPPED run."""
-    at, link, main, skip, depth = 0, 0, 0, "", 0
-    size = len(page)
+def events(page: str) -> list[tuple]:
+    """(name, closes, attributes, text) in page order: a text has the name None. Scripts and their like are left out."""
+    out: list[tuple] = []
+    at, size = 0, len(page)
     while at < size:
         m = LEX.search(page, at)
-        text = page[at : m.start() if m else size]
-        if text:
-            if not skip:
-                yield (LINK_WORD if link else WORD), entities.unescape(text)
-            elif not text.isspace():
-                yield SKIPPED, ""
+        if text := page[at : m.start() if m else size]:
+            out.append((None, False, "", text))
         if not m:
-            return
+            break
         at = m.end()
         name = (m.group(2) or "").lower()
         if not name:
             continue
         closes, attrs = bool(m.group(1)), MARKUP.sub("=''", m.group(3))
-        if skip:
-            if name == skip:
-                depth += -1 if closes else (name not in CLOSED_BY_BLOCK and not attrs.endswith("/"))
-                if depth <= 0:
-                    skip = ""
-                    continue
-            if not (skip in CLOSED_BY_BLOCK and name not in INLINE | VOID):
-                if name in RAW and not closes and (end := ENDS[name].search(page, at)):
-                    at = end.end()
-                continue
-            skip = ""
-        if name in RAW:
-            if not closes and not attrs.endswith("/"):
-                end = ENDS[name].search(page, at)
-                at = end.end() if end else size
+        if name not in RAW:
+            out.append((name, closes, attrs, ""))
+        elif not closes and not attrs.endswith("/"):
+            end = ENDS[name].search(page, at)
+            at = end.end() if end else size
+    return out
+
+
+def ends_of(evs: list[tuple]) -> list[int]:
+    """For each opening tag the event that ends its element: its closing tag, the next block for elements that need none,
+    the body for a head, the page's end for what is never closed."""
+    out, open_, block, body = [len(evs)] * len(evs), {}, len(evs), len(evs)
+    for i in range(len(evs) - 1, -1, -1):
+        name, closes, attrs, _ = evs[i]
+        if name is None:
+            continue
+        if name == "body" and not closes:
+            body = i
+        if closes:
+            open_.setdefault(name, []).append(i)
+        elif attrs.endswith("/") or name in VOID:
+            out[i] = i
+        elif name in CLOSED_BY_BLOCK:
+            out[i] = block
+        else:
+            mine = open_.get(name)
+            out[i] = mine.pop() if mine else len(evs)
+            if name == "head":
+                out[i] = min(out[i], body)
+        if name not in INLINE and name not in VOID:
+            block = i
+    return out
+
+
+def tokens(page: str):
+    """(kind, text) in page order. A word run has kind WORD, LINK_WORD or SKIPPED and its text; a tag has its key and ''.
+
+    A tag's key is its name, with / before it if it closes, within <> if its element is seldom content; such an element
+    gives a SKIPPED for each of its texts, unless it holds most of the page's words."""
+    evs = events(page)
+    ends, words = ends_of(evs), [0]
+    heads, marks = [0], [0]  # main elements and first headings so far, and those with articles
+    for name, closes, _, text in evs:
+        words.append(words[-1] + (len(text.split()) if name is None else 0))
+        heads.append(heads[-1] + (name in ("main", "h1") and not closes))
+        marks.append(marks[-1] + (name in ("main", "h1", "article") and not closes))
+    link, main, i = 0, 0, 0
+    while i < len(evs):
+        name, closes, attrs, text = evs[i]
+        if name is None:
+            yield (LINK_WORD if link else WORD), entities.unescape(text)
+            i += 1
             continue
-        if not closes and name not in VOID:
-            noisy = name in SKIP and not (name == "header" and main) or attrs and name not in ("body", "html") and name not in MAIN and (_noisy(attrs) or HIDDEN.search(attrs))
-            if noisy and not attrs.endswith("/"):
-                skip, depth = name, 1
+        if not closes and name not in VOID and not attrs.endswith("/"):
+            why = _skipped(name, attrs, bool(main))
+            end = ends[i]
+            wraps = 2 * (words[end] - words[i]) > words[-1] and (heads[end] > heads[i] or why == "often" and (marks[end] > marks[i] or not marks[-1]))
+            if why and (why == "always" or not wraps):
                 yield f"<{name}>", ""
+                for k in range(i + 1, end):
+                    if evs[k][0] is None and not evs[k][3].isspace():
+                        yield SKIPPED, ""
+                i = end + (end < len(evs) and evs[end][1] and evs[end][0] == name)
                 continue
         if name == "a":
             link = 0 if closes else 1
         if name in MAIN:
             main = max(0, main + (-1 if closes else 1))
         yield ("/" + name if closes else name), ""
+        i += 1
+
 
+def _skipped(name: str, attrs: str, inside: bool) -> str:
+    """Why an element is not read: "always", or "often" for what may wrap the content, "mostly" for what hardly does."""
+    if name in ("body", "html") or name in MAIN:
+        return ""
+    if attrs and HIDDEN.search(attrs):
+        return "always"
+    if attrs and (noise := _noisy(attrs)):
+        return "mostly" if noise & APART else "often"
+    return "mostly" if name in ("nav", "footer") else "often" if name in SKIP and not (name == "header" and inside) else ""
 
-def _noisy(attrs: str) -> bool:
-    return any(NOISY.search(re.sub(r"([a-z])([A-Z])", r"\1 \2", next(filter(None, m.groups()), "")).lower()) for m in MARKED.finditer(attrs))
+
+def _noisy(attrs: str) -> set[str]:
+    """The words of the fixed list that the class, id and role hold."""
+    values = (re.sub(r"([a-z])([A-Z])", r"\1 \2", next(filter(None, m.groups()), "")).lower() for m in MARKED.finditer(attrs))
+    return set().union(*map(NOISY.findall, values))
 
 
 def default_weight(kind: str) -> float:
@@ -139,7 +194,7 @@ def count_kinds(pages: DataFrame, html_col: str = "html") -> DataFrame:
         for b in batches:
             for page in b.column(0).to_pylist():
                 for kind, (i, o) in census(page or "").items():
-                    t = total.setdefault(kind[:40], [0, 0])
+                    t = total.setdefault(kind, [0, 0])
                     t[0] += i
                     t[1] += o
                 if len(total) > 50_000:
@@ -175,6 +230,22 @@ def learn(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
     return weights
 
 
+def best_run(values: list[float]) -> tuple[int, int]:
+    """First and end of the contiguous run of the highest sum, the first of equals; an empty run if no sum is over zero.
+
+    >>> best_run([1.0, -2.0, 3.0, -1.0, 2.0])
+    (2, 5)
+    """
+    best, found, total, start = 0.0, (0, 0), 0.0, 0
+    for i, x in enumerate(values):
+        total += x
+        if total > best:
+            best, found = total, (start, i + 1)
+        elif total <= 0:
+            total, start = 0.0, i + 1
+    return found
+
+
 def extract(page: str | None, weights: dict[str, float] | None = None) -> str:
     """The main text: blocks in page order joined by line breaks, white space within a block made one blank.
 
@@ -183,18 +254,14 @@ def extract(page: str | None, weights: dict[str, float] | None = None) -> str:
     """
     weights = weights or {}
     toks = list(tokens(page or ""))
-    best, best_run, total, start = 0.0, (0, 0), 0.0, 0
-    for i, (kind, text) in enumerate(toks):
+    values = []
+    for kind, text in toks:
         w = weights.get(kind)
         if w is None:
             w = default_weight(kind)
-        total += w * len(text.split()) if kind in (WORD, LINK_WORD) else w
-        if total > best:
-            best, best_run = total, (start, i + 1)
-        elif total <= 0:
-            total, start = 0.0, i + 1
+        values.append(w * len(text.split()) if kind in (WORD, LINK_WORD) else w)
     blocks, now, breaks = [], [], 0
-    for kind, text in toks[slice(*best_run)]:
+    for kind, text in toks[slice(*best_run(values))]:
         if kind in (WORD, LINK_WORD):
             now.append(text)
             if not text.isspace():
