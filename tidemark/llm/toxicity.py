@@ -1,15 +1,17 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
 Labels mark whole documents, so tokens are labelled first: words and stems are picked greedily, each the one that explains
-most toxic documents not yet explained, less the clean ones that hold it; tokens with them in toxic documents are toxic. The chain
-has two tags; a token's potential comes from hashed features of its word and its neighbours. A document's score is the
-probability that the chain tags at least one token as toxic (one minus that of the all-clean path, from the forward pass),
-calibrated on the training documents. Where a document scores toxic, forward-backward marginals give the spans.
+most toxic documents not yet explained, less the clean ones that hold it; tokens with them in toxic documents are toxic. The
+chain has two tags; a token's potential comes from hashed features of its word and its neighbours. Forward and backward
+messages give each token's marginal. A document's score is the chance that one token at least is toxic if each is so by its
+marginal, calibrated on the training documents; tokens whose marginal is a half at least are its offending spans.
 
 The fit takes at most FIT_DOCS labelled documents of each label, those with the smallest hashed ids, each once and up to its
-end (the shortest row where an id repeats). Each label has half of FIT_CHARS and what the other leaves; documents that would
-pass that are skipped, but the shortest of a label is always taken. Scoring covers all rows and whole texts. Null and empty texts have no tokens and score the calibrated floor. Without both
-labels every score is the share of toxic labels, 0 if there are none.
+end (the shortest row where an id repeats; of repeated labels the highest). Each label has half of FIT_CHARS and what the
+other leaves; documents that would pass that are skipped, but the shortest of a label is always taken. So bounded, it runs
+on the driver. Scoring covers all rows, repeated ones too, and whole texts. Null and empty texts have no tokens and score
+the calibrated floor. Rows and labels without an id are not learned from. Without both labels every score is the share of
+toxic labels, 0 if there are none.
 """
 
 from __future__ import annotations
@@ -28,12 +30,15 @@ HELD_MOD, HELD = 5, 0
 FIT_DOCS, FIT_CHARS, SEEDS, WINDOW, STEPS = 2000, 12_000_000, 200, 48, 80
 SLOTS = 1 << 18  # of each hashed table
 LEXICON = 300_000  # words whose weights a worker remembers
+LONGEST = 24
 STEMS = (3, 4, 5, 6, 7)
 WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """The words as they stand in the text, each lower-cased by itself, so that the n-th is the n-th match of WORD."""
+    found = WORD.findall(text or "")
+    return " ".join(found).lower().split(" ") if found else []
 
 
 def slots(word: str) -> tuple[int, ...]:
@@ -133,7 +138,7 @@ class Chain:
         return np.stack([self.here[feats].sum(1) + self.bias, self.left[feats[:, 0]], self.right[feats[:, 0]]], 1)
 
     def calibrated(self, log_clean: np.ndarray) -> np.ndarray:
-        """Score from the log-probability of the all-clean path."""
+        """Score from the logarithm of the chance that no token is toxic."""
         toxic = np.log(np.maximum(-np.expm1(np.minimum(log_clean, -1e-12)), 1e-300))
         return 1 / (1 + np.exp(-np.clip(self.scale * (toxic - np.maximum(log_clean, -300)) + self.shift, -30, 30)))
 
@@ -162,8 +167,6 @@ def fit(texts: list[str | None], toxic: np.ndarray) -> Chain:
     seeded = np.zeros(len(vocab) + 1, bool)
     seeded[:-1] = [not seeds.isdisjoint(marks(w)) for w in vocab]
     tags = seeded[grid] & mask & toxic.astype(bool)[owner][:, None]
-    keep = tags.any(1) | (np.arange(len(grid)) % 6 == 0)  # windows without toxic tokens are many and alike: every sixth
-    grid, mask, tags, weight = grid[keep], mask[keep], tags[keep], np.where(tags.any(1), 1.0, 6.0)[keep][:, None]
     feats = np.array([slots(w) for w in vocab] + [(0,) * (len(STEMS) + 2)])
     flat = np.where(mask, grid, len(vocab))
     before, after = np.roll(flat, 1, 1), np.roll(flat, -1, 1)
@@ -177,7 +180,7 @@ def fit(texts: list[str | None], toxic: np.ndarray) -> Chain:
         pot[-1] = 0
         e = pot[flat, 0] + pot[before, 1] + pot[after, 2]
         p, expected = marginals(e, mask, *chain.trans)
-        err = np.where(mask, (p - tags) * weight, 0)
+        err = np.where(mask, p - tags, 0)
         by = [np.bincount(i.ravel(), err.ravel(), size)[:-1] for i in (flat, before, after)]
         grads = {
             "here": np.bincount(feats[:-1].ravel(), np.repeat(by[0], feats.shape[1]), SLOTS) + 0.02 * chain.here,
@@ -191,7 +194,7 @@ def fit(texts: list[str | None], toxic: np.ndarray) -> Chain:
             setattr(chain, k, (getattr(chain, k) - 1.0 * g / np.sqrt(sums[k])).astype(np.float32) if k in ("here", "left", "right") else getattr(chain, k) - (0.3 if k == "bias" else 0.1) * g / np.sqrt(sums[k]))
     # calibration of document scores: one scale and shift by a few Newton steps of logistic regression
     pot = chain.potentials(feats)
-    log_clean = scores([pot[x] for x in ids], chain)
+    log_clean = all_clean(marginals_of([pot[x] for x in ids], chain))
     z = np.clip(np.log(np.maximum(-np.expm1(np.minimum(log_clean, -1e-12)), 1e-300)) - np.maximum(log_clean, -300), -30, 30)
     x, y, beta = np.stack([z, np.ones_like(z)], 1), toxic.astype(float), np.array([1.0, 0.0])
     for _ in range(25):
@@ -203,33 +206,56 @@ def fit(texts: list[str | None], toxic: np.ndarray) -> Chain:
     return chain
 
 
-def scores(pots: list[np.ndarray], chain: Chain) -> np.ndarray:
-    """Log-probability of the all-clean path of each document, whole documents side by side from the longest on."""
+def marginals_of(pots: list[np.ndarray], chain: Chain) -> list[np.ndarray]:
+    """Marginals of each document's tokens. Documents stand side by side from the longest on, so each place is one step for
+    all that reach it; the LONGEST longest go by themselves, or long texts would be walked with few beside them."""
     A, B, C = np.exp(chain.trans)
-    n = len(pots)
-    order = np.argsort([-len(p) for p in pots], kind="stable")
+    order = sorted(range(len(pots)), key=lambda i: -len(pots[i]))
+    out: list[np.ndarray] = [np.zeros(0)] * len(pots)
+    for i in order[:LONGEST]:
+        out[i] = np.array(places(pots[i], chain)) if len(pots[i]) else out[i]
+    order = [i for i in order[LONGEST:] if len(pots[i])]
+    if not order:
+        return out
     lengths = np.array([len(pots[i]) for i in order])
-    total, r = np.zeros(n), np.zeros(n)
-    if not n or not lengths[0]:
-        return -total
-    xs = []
-    for i in order:
-        e = pots[i][:, 0].astype(np.float64)
-        e[1:] += pots[i][:-1, 1]
-        e[:-1] += pots[i][1:, 2]
-        xs.append(np.exp(np.clip(e, -40, 40)))
-    flat, starts = np.concatenate(xs), np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    starts = np.cumsum(lengths) - lengths
     alive = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # documents longer than each place
-    for t in range(lengths[0]):
-        k = alive[t]
-        s = 1 + r[:k] * B
-        total[:k] += np.log(s)
-        r[:k] = (A + r[:k] * C) * flat[starts[:k] + t] / s
-    out = np.empty(n)
-    out[order] = -(total + np.log1p(r))
+    ends = np.cumsum(alive)
+    at = ends - alive
+    doc = np.arange(ends[-1]) - np.repeat(at, alive)
+    by_place = starts[doc] + np.repeat(np.arange(lengths[0]), alive)
+    x = np.concatenate([weights(pots[i]) for i in order])[by_place]
+    ratio, p = np.empty_like(x), np.empty_like(x)
+    r, q = np.zeros(len(order)), np.ones(len(order))
+    for a, b in zip(at.tolist(), ends.tolist()):
+        k = b - a
+        r = ratio[a:b] = (A + r[:k] * C) * x[a:b] / (1 + r[:k] * B)
+    for a, b in zip(reversed(at.tolist()), reversed(ends.tolist())):
+        k = b - a
+        top = ratio[a:b] * q[:k]
+        p[a:b] = top / (1 + top)
+        xq = x[a:b] * q[:k]
+        q[:k] = (B + C * xq) / (1 + A * xq)
+    flat = np.empty_like(p)
+    flat[by_place] = p
+    for i, part in zip(order, np.split(flat, starts[1:])):
+        out[i] = part
     return out
 
 
+def weights(pot: np.ndarray) -> np.ndarray:
+    """What each token's toxic tag weighs by itself, its neighbours' words counted in."""
+    e = pot[:, 0].astype(np.float64)
+    e[1:] += pot[:-1, 1]
+    e[:-1] += pot[1:, 2]
+    return np.exp(np.clip(e, -40, 40))
+
+
+def all_clean(found: list[np.ndarray]) -> np.ndarray:
+    """Logarithm of the chance that no token of a document is toxic, each being so by its marginal."""
+    return np.array([np.log1p(-np.minimum(p, 1 - 1e-12)).sum() for p in found])
+
+
 class Lexicon(dict):
     """Word to row of remembered potentials; a new word gets the next row."""
 
@@ -256,10 +282,7 @@ class Lexicon(dict):
 def places(pot: np.ndarray, chain: Chain) -> list[float]:
     """Marginals of one document's tokens, by two passes over plain numbers."""
     A, B, C = np.exp(chain.trans).tolist()
-    e = pot[:, 0].astype(np.float64)
-    e[1:] += pot[:-1, 1]
-    e[:-1] += pot[1:, 2]
-    xs = np.exp(np.clip(e, -40, 40)).tolist()
+    xs = weights(pot).tolist()
     ratios, r = [], 0.0
     for x in xs:
         r = (A + r * C) * x / (1 + r * B)
@@ -273,11 +296,11 @@ def places(pot: np.ndarray, chain: Chain) -> list[float]:
     return out[::-1]
 
 
-def spans(text: str, pot: np.ndarray, chain: Chain, least: float = 0.5) -> list[dict]:
+def spans(text: str, p: np.ndarray, least: float = 0.5) -> list[dict]:
     """Runs of tokens whose marginal is at least `least`, by their places in the text."""
     out, last = [], -2
-    marked = {i: x for i, x in enumerate(places(pot, chain)) if x >= least}
-    for i, m in enumerate(WORD.finditer(text.lower())) if marked else ():
+    marked = {i: float(p[i]) for i in np.nonzero(p >= least)[0].tolist()}
+    for i, m in enumerate(WORD.finditer(text)) if marked else ():
         if i in marked:
             if i == last + 1:
                 out[-1]["end"], out[-1]["p"] = m.end(), max(out[-1]["p"], marked[i])
@@ -338,9 +361,9 @@ def tag(docs: DataFrame, chain: Chain | float, with_spans: bool = True) -> DataF
                 if lex is None:
                     score, found = np.full(len(texts), chain), [[] for _ in texts]
                 else:
-                    pots = lex.look([words_of(t) for t in texts])
-                    score = chain.calibrated(scores(pots, chain))
-                    found = [spans(t, p, chain) if with_spans and s >= 0.5 and len(p) else [] for t, p, s in zip(texts, pots, score)]
+                    marginal = marginals_of(lex.look([words_of(t) for t in texts]), chain)
+                    score = chain.calibrated(all_clean(marginal))
+                    found = [spans(t, p) if with_spans else [] for t, p in zip(texts, marginal)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score), pa.array(found, place)], names=["doc_id", "score", "spans"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, spans array<struct<start:int,end:int,p:double>>")
@@ -350,4 +373,5 @@ def op7_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = tag(docs, learn(docs, table(spark, sf_dir, "labels")))
     held = F.coalesce(crc_mod(F.col("doc_id"), HELD_MOD) == HELD, F.lit(False))
-    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").cast("long").alias("n_spans"))
+    offsets = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"])), " ").alias("offsets")
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").cast("long").alias("n_spans"), offsets)
