@@ -146,6 +146,36 @@ def test_html_edges(page, text):
     assert html.extract(page) == text
 
 
+LONG = "<p>" + "one two three " * 30 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "page,words",
+    [
+        (f'<div class="site has-sidebar"><article><h1>The head line</h1>{LONG}</article></div>', 93),
+        (f'<div class="header-fixed">{LONG}{LONG}</div>', 180),
+        (f"<form id=aspnetForm><div><h1>The head line</h1>{LONG}</div></form>", 93),
+        (f"<div class=sidebar-left><article>{LONG}", 90),
+        (f"<article><p>short text here</p></article><section id=comments>{LONG}{LONG}</section><footer>{LONG}</footer>", 3),
+        (f"<article><p>short text here</p></article><div class=cookie-notice>{LONG}</div>", 3),
+        (f"<div class=widget><p>a b</p></div><article>{LONG}</article><div class=related><article>{LONG}</article><article>{LONG}</article></div>", 90),
+        (f"<head><title>x</title><body>{LONG}", 90),
+        (f'<div style="display:none">{LONG}{LONG}</div><p>seen words</p>', 2),
+    ],
+)
+def test_html_reads_on_in_wrappers_alone(page, words):
+    assert len(html.extract(page).split()) == words
+
+
+def test_best_run_against_every_run():
+    rng = random.Random(12)
+    for _ in range(300):
+        values = [rng.choice((-3.0, -1.0, -0.5, 0.0, 0.5, 1.0, 2.0)) for _ in range(rng.randint(0, 25))]
+        a, b = html.best_run(values)
+        best = max((sum(values[i:j]) for j in range(len(values) + 1) for i in range(j + 1)), default=0)
+        assert sum(values[a:b]) == max(best, 0) and (b > a or best <= 0)
+
+
 @pytest.mark.parametrize("q", "\"'")
 def test_html_reads_attribute_values_of_any_length(q):
     value = "=" + q + "a>b <i class=ad hidden> " * 4200 + q
@@ -182,7 +212,7 @@ def mod97(iban):
 
 def plain_feistel(value, left, right, tag):
     def keyed(*parts):
-        return int(hashlib.sha256("|".join([pii.KEY, *map(str, parts)]).encode()).hexdigest()[:15], 16)
+        return int(hashlib.sha256("|".join([pii.TEST_KEY, *map(str, parts)]).encode()).hexdigest()[:15], 16)
 
     l, r = divmod(value, right)
     for i in range(pii.ROUNDS):
@@ -194,7 +224,7 @@ def plain_feistel(value, left, right, tag):
 
 
 def protect(spark, texts):
-    return [r["text"] for r in pii.protect(documents(spark, texts)).orderBy("doc_id").collect()]
+    return [r["text"] for r in pii.protect(documents(spark, texts), pii.TEST_KEY).orderBy("doc_id").collect()]
 
 
 def test_pseudonyms_keep_formats_and_link_equal_values(spark):
@@ -214,7 +244,7 @@ def test_pseudonyms_keep_formats_and_link_equal_values(spark):
     out = protect(spark, texts)
     a, b = re.findall(r"[\d ]{15,}\d", out[0])
     assert a.replace(" ", "") == b.strip() and re.fullmatch(r" ?\d{4} \d{4} \d{4} \d{4}", a) and luhn(b.strip()) and b.strip() != "4111111111111111"
-    assert all(mod97(x) == 1 for x in (re.search(r"GB\d\d WEST [\d ]+\d", out[1])[0], re.search(r"DE\d{20}", out[1])[0]))
+    assert all(mod97(x) == 1 for x in (re.search(r"GB\d\d [A-Z]{4} [\d ]+\d", out[1])[0], re.search(r"DE\d{20}", out[1])[0]))
     days = re.findall(r"\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4}", out[2])
     assert len(days) == 4 and days[3] == "2024-13-45" and days[1].replace("/", ".") == days[2] and "1999" not in days[1]
     ips = re.findall(r"\d+\.\d+\.\d+\.\d+", out[3])
@@ -239,22 +269,53 @@ def test_secrets_of_any_length_are_replaced_whole(spark):
 
 def test_feistel_is_the_stated_permutation(spark):
     for left, right in ((10, 10), (10, 100), (271, 270)):
-        rows = spark.range(left * right).select("id", pii.feistel(F.col("id"), F.lit(left).cast("long"), F.lit(right).cast("long"), F.lit("t")).alias("f")).collect()
+        rows = spark.range(left * right).select("id", pii.feistel(F.col("id"), F.lit(left).cast("long"), F.lit(right).cast("long"), F.lit("t"), pii.TEST_KEY).alias("f")).collect()
         assert sorted(r["f"] for r in rows) == list(range(left * right))
         assert all(r["f"] == plain_feistel(r["id"], left, right, "t") for r in rows[:300])
 
 
 def test_card_numbers_against_plain_python(spark):
     rng = random.Random(2)
-    numbers = ["".join(rng.choices("0123456789", k=rng.randint(11, 19))) for _ in range(60)]
+    numbers = ["".join(rng.choices("0123456789", k=rng.randint(11, 19))) for _ in range(60)] + ["1700000000123", "1700000000127"]
+    numbers += [n + str(next(c for c in range(10) if luhn(n + str(c)))) for n in ("".join([rng.choice("23456"), *rng.choices("0123456789", k=rng.randint(11, 17))]) for _ in range(40))]
 
     def expected(n):
+        if not (len(n) >= 13 and n[0] in "23456" and luhn(n)):
+            return n
         p, k = n[:-1], len(n) - 1
-        check = next(c for c in range(10) if luhn(p + str(c)))
         fresh = str(plain_feistel(int(p), 10 ** (k // 2), 10 ** (k - k // 2), f"number:{k}")).zfill(k)
-        return fresh + str((next(c for c in range(10) if luhn(fresh + str(c))) + int(n[-1]) - check) % 10)
+        return fresh + next(str(c) for c in range(10) if luhn(fresh + str(c)))
+
+    assert protect(spark, numbers) == [expected(n) for n in numbers] != numbers
+
+
+def test_what_is_no_valid_value_stays(spark):
+    texts = ["order 9859476043669043 at 1700000000123", "version 1.2.300.4", "GB83 WEST 1234 5698 7654 32", "000-12-3456 and 666-12-3456 and 123-00-4567", "2024-02-30"]
+    assert protect(spark, texts) == texts
+
+
+def test_accounts_of_every_length_move_whole(spark):
+    def account(country, body):
+        return country + "%02d" % (98 - mod97(country + "00" + body)) + body
+
+    rng = random.Random(11)
+    values = [account("XX", "".join(rng.choices("0123456789", k=n))) for n in (11, 18, 24, 28)]
+    values += [account("XX", "ABCD" + "7" * 12), account("XX", "ABCDEFGHIJKLMNOPQRSTUVWX"), account("XX", "A1B2C3D4E5F6G7H8I9J0K1L2M3N4")]
+    out = protect(spark, values)
+    for v, o in zip(values, out):
+        assert len(o) == len(v) and mod97(o) == 1 and o[:2] == "XX"
+        assert [c.isdigit() for c in o] == [c.isdigit() for c in v] and sum(a != b for a, b in zip(v[4:], o[4:])) > 0.4 * len(v)
+        assert v[4:9] != o[4:9] and v[-5:] != o[-5:]
+    assert len(set(out)) == len(out) and protect(spark, values) == out
 
-    assert protect(spark, numbers) == [expected(n) for n in numbers]
+
+def test_pseudonyms_of_empty_tables_repeats_and_clashing_names(spark):
+    docs = documents(spark, ["4111111111111111"] * 2).withColumn("d", F.lit("x")).withColumn("m", F.lit(1)).withColumn("out", F.lit(2))
+    out = pii.protect(docs, pii.TEST_KEY)
+    assert out.columns == docs.columns and len({r["text"] for r in out.collect()}) == 1
+    assert pii.protect(docs.limit(0), pii.TEST_KEY).count() == 0
+    assert pii.protect(docs, "another key").first()["text"] != out.first()["text"]
+    assert pii.key_of(spark) == pii.TEST_KEY
 
 
 # Decontamination
@@ -537,5 +598,29 @@ def test_forward_backward_against_all_paths():
     chain = toxicity.Chain()
     chain.trans = np.array([a, b, c])
     pot = np.stack([e, 0 * e, 0 * e], 1)
-    assert np.allclose(toxicity.scores([pot, np.zeros((0, 3))], chain), [-math.log(z), 0])
     assert np.allclose(toxicity.places(pot, chain), p[0])
+    log_z = toxicity.forward(e[None, :], np.ones((1, 6), bool), a, b, c)[0]
+    assert np.allclose(log_z, math.log(z))
+
+
+def test_marginals_of_many_documents_are_those_of_each():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    chain = toxicity.Chain()
+    chain.trans = np.array([0.3, -0.2, 0.7])
+    pots = [rng.normal(size=(n, 3)).astype(np.float32) for n in [0, 1, 2, 300, 7, 0, *rng.integers(0, 60, 90)]]
+    for pot, p in zip(pots, toxicity.marginals_of(pots, chain)):
+        assert np.allclose(p, toxicity.places(pot, chain))
+    assert toxicity.marginals_of([], chain) == []
+    p = np.array([0.25, 0.5])
+    assert np.allclose(toxicity.all_clean([p, p[:0]]), [math.log(0.75 * 0.5), 0])
+
+
+def test_spans_count_characters_of_the_text_itself():
+    import numpy as np
+
+    text = "İİİ BAD a bad worse"
+    assert toxicity.words_of(text)[1:] == ["bad", "a", "bad", "worse"] and toxicity.words_of(None) == []
+    found = toxicity.spans(text, np.array([0, 0.9, 0, 0.6, 0.7]))
+    assert [text[s["start"] : s["end"]] for s in found] == ["BAD", "bad worse"]

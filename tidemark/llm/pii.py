@@ -1,12 +1,16 @@
 """Personal data: format-preserving Feistel pseudonyms, in SQL functions only.
 
-One pattern finds every candidate; a candidate is validated by its kind (octets of an address, calendar days, Luhn and
-mod-97 check digits) and replaced within its format: a keyed Feistel network permutes the digits (or the day number,
-or the 32 bits of an address), separators stay, check digits are computed anew. The permutation depends on the kind,
-the length and the key alone, so equal values stay linked across documents and different ones stay apart. Names of
-mailboxes and secrets have no numeric format; they become keyed digests in the same alphabet.
-
-Null texts stay null; texts without candidates come back as they are. Whole texts are scanned.
+One pattern finds every candidate; a candidate is validated by its kind (octets of an address, calendar days, Luhn digit
+and leading digit of a card, mod-97 digits of an account, the parts of a social security number) and replaced within its
+format: a keyed Feistel network permutes the digits, the letters, the day number or the 32 bits of an address; separators
+stay, check digits are computed anew. What is no valid value stays as it is, so order numbers, versions and timestamps are
+left alone. The permutation depends on the kind, the length and the key alone, so equal values stay linked across documents
+and different ones stay apart. Names of mailboxes and secrets have no numeric format; they become keyed digests in the same
+alphabet.
+
+Whoever holds the key can undo the permutations, so it is a parameter, read from the session's configuration by the query.
+Null texts stay null; empty texts and texts without candidates come back as they are; repeated rows are treated alike; other
+columns, whatever their names, are not touched. Whole texts are scanned.
 """
 
 from __future__ import annotations
@@ -16,7 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY = "tidemark-pseudonyms-1"
+KEY_SETTING = "spark.tidemark.pseudonymKey"
+TEST_KEY = "for tests and checks alone"
 ROUNDS = 10
 FIRST_DAY, DAYS = "1900-01-01", 73049  # pseudonymous dates lie in 1900-01-01 .. 2099-12-31
 
@@ -29,7 +34,7 @@ DATE = r"(?<![0-9./\-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./\-][0-9]{2}[./\-
 ADDRESS = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 PHONE = r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .\-]?\([0-9]{1,4}\)[ .\-]?[0-9]{3,4}[ .\-]?[0-9]{3,4}|\+[0-9]{1,3}(?:[ \-]?[0-9]{2,4}){2,4}(?!\.[0-9])|\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}|[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4})(?![0-9])"
 SSN = r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"
-NUMBER = r"(?<![0-9A-Za-z.])(?:[0-9]{11,19}|[0-9]{4}(?:[ \-][0-9]{4}){3}(?:[ \-][0-9]{3})?|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9A-Za-z])"
+NUMBER = r"(?<![0-9A-Za-z.])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3}(?:[ \-][0-9]{3})?|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9A-Za-z])"
 PATTERN = "|".join(f"(?:{p})" for p in (SECRET, BEARER, EMAIL, IBAN, DATE, ADDRESS, PHONE, SSN, NUMBER))
 HINT = "[0-9@:=]|sk-|gh[pousr]_|eyJ|AKIA"  # every candidate holds one of these
 
@@ -44,7 +49,7 @@ def keyed(key: str, *parts: Column) -> Column:
     return F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), *[p.cast("string") for p in parts]), 256), 1, 15), 16, 10).cast("long")
 
 
-def feistel(value: Column, left: Column, right: Column, tag: Column, key: str = KEY) -> Column:
+def feistel(value: Column, left: Column, right: Column, tag: Column, key: str) -> Column:
     """Keyed permutation of the longs 0 .. left * right - 1: the two halves are shifted in turn by a digest of the other."""
 
     def halves(l: Column, r: Column) -> Column:
@@ -61,7 +66,7 @@ def power10(n: Column) -> Column:
     return F.element_at(F.array(*[F.lit(10**i).cast("long") for i in range(19)]), n.cast("int") + 1)
 
 
-def permute_digits(digits: Column, tag: Column, key: str = KEY) -> Column:
+def permute_digits(digits: Column, tag: Column, key: str) -> Column:
     """A string of 1 to 18 digits becomes another of its length."""
 
     def run(d):
@@ -91,11 +96,11 @@ def luhn_digit(payload: Column) -> Column:
     return let(payload, run)
 
 
-def refill(shape: Column, digits: Column) -> Column:
-    """The characters of shape with its digits replaced, in order, by those of digits."""
+def refill(shape: Column, digits: Column, kind: str = "[0-9]") -> Column:
+    """The characters of shape with its digits (or others of that kind) replaced, in order, by those of digits."""
 
     def step(s, c, d):
-        return F.when(c.rlike("[0-9]"), F.struct(F.concat(s["out"], char(d, s["at"])).alias("out"), (s["at"] + 1).alias("at"))).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at")))
+        return F.when(c.rlike(kind), F.struct(F.concat(s["out"], char(d, s["at"])).alias("out"), (s["at"] + 1).alias("at"))).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at")))
 
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
     return let(digits, lambda d: F.aggregate(F.split(shape, ""), start, lambda s, c: step(s, c, d), lambda s: s["out"]))
@@ -106,15 +111,15 @@ def digits_of(m: Column) -> Column:
 
 
 def new_number(m: Column, key: str) -> Column:
-    """Card and account numbers: the payload is permuted and the last digit keeps its distance to the Luhn digit, so
-    valid numbers stay valid and no two meet."""
+    """Card numbers (a leading digit of the card ranges and a right Luhn digit): the payload is permuted and the Luhn digit
+    computed anew, so no two meet; the leading digit is permuted too."""
 
     def run(d):
         payload = F.substring(d, F.lit(1), F.length(d) - 1)
-        off = (F.substring(d, F.length(d), F.lit(1)).cast("int") - luhn_digit(payload) + 10) % 10
-        return let(permute_digits(payload, F.lit("number"), key), lambda p: F.concat(p, ((luhn_digit(p) + off) % 10).cast("string")))
+        valid = d.rlike("^[2-6]") & (F.substring(d, F.length(d), F.lit(1)).cast("int") == luhn_digit(payload))
+        return F.when(valid, refill(m, let(permute_digits(payload, F.lit("number"), key), lambda p: F.concat(p, luhn_digit(p).cast("string"))))).otherwise(m)
 
-    return refill(m, let(digits_of(m), run))
+    return let(digits_of(m), run)
 
 
 def new_phone(m: Column, key: str) -> Column:
@@ -125,13 +130,13 @@ def new_phone(m: Column, key: str) -> Column:
 
 
 def new_address(m: Column, key: str) -> Column:
-    """Four octets become four others; dotted numbers that are no address keep their shape."""
+    """Four octets become four others; dotted numbers that are no address stay."""
     half = F.lit(65536).cast("long")
 
     def run(parts):
         value = reduce(lambda s, i: s * 256 + parts[i].cast("long"), range(1, 4), parts[0].cast("long"))
         dotted = let(feistel(value, half, half, F.lit("address"), key), lambda v: F.concat_ws(".", *[F.shiftright(v, s).bitwiseAND(F.lit(255).cast("long")).cast("string") for s in (24, 16, 8, 0)]))
-        return F.when(F.forall(parts, lambda p: p.cast("int") <= 255), dotted).otherwise(refill(m, permute_digits(digits_of(m), F.lit("dotted"), key)))
+        return F.when(F.forall(parts, lambda p: p.cast("int") <= 255), dotted).otherwise(m)
 
     return let(F.split(m, r"\."), run)
 
@@ -161,23 +166,46 @@ def mod97(text: Column) -> Column:
     return F.aggregate(F.split(text, ""), F.lit(0), lambda s, c: F.when(c.rlike("[0-9]"), (s * 10 + c.try_cast("int")) % 97).otherwise((s * 100 + F.ascii(c) - 55) % 97))
 
 
+def permute_letters(letters: Column, tag: Column, key: str) -> Column:
+    """A string of 0 to 12 capital letters becomes another of its length."""
+
+    def run(word):
+        n = F.length(word)
+        half = F.floor(n / 2).cast("int")
+        power = lambda k: F.element_at(F.array(*[F.lit(26**i).cast("long") for i in range(7)]), k + 1)
+        value = F.aggregate(F.split(word, ""), F.lit(0).cast("long"), lambda s, c: s * 26 + F.ascii(c) - 65)
+        fresh = feistel(value, power(half), power((n - half).cast("int")), F.concat(tag, F.lit(":"), n), key)
+        spelled = F.aggregate(F.sequence(F.lit(1), n), F.struct(fresh.alias("v"), F.lit("").alias("out")), lambda s, _: F.struct(F.call_function("div", s["v"], F.lit(26).cast("long")).alias("v"), F.concat(F.char((s["v"] % 26 + 65).cast("int")), s["out"]).alias("out")), lambda s: s["out"])
+        return F.when(n > 0, spelled).otherwise(word)
+
+    return let(letters, run)
+
+
 def new_iban(m: Column, key: str) -> Column:
-    """Valid account numbers: the last 18 digits of the account are permuted, both check digits computed anew; others
-    lose their digits to a permutation just so, without check digits."""
+    """Valid account numbers: the account's digits and letters are permuted in their places (digits by 18, letters by 12),
+    both check digits computed anew; the country stays."""
 
     def run(plain):
         account, country = F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 2)
         valid = mod97(F.concat(account, F.substring(plain, 1, 4))) == 1
 
-        def moved(d):
-            cut = F.greatest(F.length(d) - 18, F.lit(0))
-            return F.concat(F.substring(d, F.lit(1), cut), permute_digits(F.substring(d, cut + 1, F.length(d)), F.lit("account"), key))
+        def moved(text, size, permute, name):
+            """All of text but its last `size` characters, and those, each permuted."""
+
+            def parts(t):
+                at = F.greatest(F.length(t) - size, F.lit(0))
+                first, last = F.substring(t, F.lit(1), F.least(at, F.lit(size))), F.substring(t, at + 1, F.length(t))
+                lead = F.when(F.length(first) > 0, permute(first, F.lit(name + " lead"), key)).otherwise(F.lit(""))
+                return F.concat(lead, F.when(F.length(last) > 0, permute(last, F.lit(name), key)).otherwise(F.lit("")))
+
+            return let(text, parts)
 
-        def put(digits):
-            check = F.lpad((98 - mod97(F.concat(refill(account, digits), country, F.lit("00")))).cast("string"), 2, "0")
-            return refill(m, F.concat(F.when(valid, check).otherwise(F.substring(plain, 3, 2)), digits))
+        def put(kinds):
+            fresh = refill(refill(account, kinds["d"]), kinds["l"], "[A-Z]")
+            return let(fresh, lambda f: refill(m, F.concat(country, F.lpad((98 - mod97(F.concat(f, country, F.lit("00")))).cast("string"), 2, "0"), f), "[A-Z0-9]"))
 
-        return F.when(F.length(digits_of(account)) > 1, let(let(digits_of(account), moved), put)).otherwise(m)
+        both = F.struct(moved(digits_of(account), 18, permute_digits, "account").alias("d"), moved(F.regexp_replace(account, "[^A-Z]", ""), 12, permute_letters, "bank").alias("l"))
+        return F.when(valid, let(both, put)).otherwise(m)
 
     return let(F.regexp_replace(m, " ", ""), run)
 
@@ -206,7 +234,7 @@ def whole(pattern: str) -> str:
     return f"^(?:{pattern})$"
 
 
-def pseudonym(m: Column, key: str = KEY) -> Column:
+def pseudonym(m: Column, key: str) -> Column:
     """The pseudonym of one match, by the first kind that it is."""
     bearer = digest_text(m, "bearer", key, F.length(m))
     return (
@@ -216,12 +244,13 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
         .when(m.rlike(whole(IBAN)), new_iban(m, key))
         .when(m.rlike(whole(DATE)), new_date(m, key))
         .when(m.rlike(whole(ADDRESS)), new_address(m, key))
-        .when(m.rlike(whole(PHONE)) | m.rlike(whole(SSN)), new_phone(m, key))
+        .when(m.rlike(whole(PHONE)), new_phone(m, key))
+        .when(m.rlike(whole(SSN)), F.when(m.rlike("^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)"), new_phone(m, key)).otherwise(m))
         .otherwise(new_number(m, key))
     )
 
 
-def pseudonymise(text: Column, key: str = KEY) -> Column:
+def pseudonymise(text: Column, key: str) -> Column:
     """The whole text with every match replaced."""
     between = F.split(text, PATTERN, -1)
     fresh = F.transform(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), lambda m: pseudonym(m, key))
@@ -234,13 +263,18 @@ def found(text: Column) -> Column:
     return F.when(text.rlike(HINT), F.regexp_count(text, F.lit(PATTERN))).otherwise(F.when(text.isNotNull(), F.lit(0)))
 
 
-def protect(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
+def protect(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """docs with the text column pseudonymised; every other column as it is."""
     return docs.withColumn(text_col, pseudonymise(F.col(text_col), key))
 
 
+def key_of(spark) -> str:
+    """The session's key; sessions without one get the one for tests."""
+    return spark.conf.get(KEY_SETTING, TEST_KEY)
+
+
 def op5_pii(spark, sf_dir: str) -> DataFrame:
     """One row per document: doc_id and the whole text without personal data."""
     from tidemark.llm.common import table
 
-    return protect(table(spark, sf_dir, "documents")).select("doc_id", "text")
+    return protect(table(spark, sf_dir, "documents"), key_of(spark)).select("doc_id", "text")
