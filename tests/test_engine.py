@@ -105,7 +105,7 @@ def test_row_operators(spark):
 def test_series_operators(spark):
     values = [1.0, 2.0, None, 4.0, 3.0, 5.0]
     df = spark.createDataFrame([("k", i, v) for i, v in enumerate(values)], "k string, i int, x double")
-    got = [r.e for r in series.ewm(df, "k", "i", {"e": ("x", 3)}, []).orderBy("i").collect()]
+    got = [r.e for r in series.ewm(df, "k", "i", {"e": ("x", 3)}).orderBy("i").collect()]
     state, n, want = None, 0, []
     for v in values:
         if v is not None:

@@ -1,6 +1,6 @@
 """Technical indicators over daily bars, and the market regimes classified from them.
 
-Everything is windows over one partitioning by ticker, but for the recursive means, which are folded per ticker. A rolling
+Everything is windows over one partitioning by ticker; the recursive means stream past in the same order. A rolling
 value is null until its window is full.
 """
 
@@ -54,9 +54,7 @@ def technical_indicators(bars: DataFrame) -> DataFrame:
         "stoch_d": sma(F.col("stoch_k"), 3, w), "adx_14": sma(F.col("dx"), 14, w), "obv_sma_20": sma(F.col("obv"), 20, w), "volume_ratio": safe_div(v, F.col("volume_sma_20")), "pct_from_high_20d": safe_div(c - F.col("high_20d"), F.col("high_20d")) * 100,
         "pct_from_low_52w": safe_div(c - F.col("low_52w"), F.col("low_52w")) * 100, "bar": F.row_number().over(w).cast("long"),
     })
-    carry = [x for x in out.columns if x not in ("ticker", "trade_date")]
-    out = ewm(out, "ticker", "trade_date", {"ema_12": ("close", 12), "ema_26": ("close", 26)}, carry).withColumn("macd", F.col("ema_12") - F.col("ema_26"))
-    out = ewm(out, "ticker", "trade_date", {"macd_signal": ("macd", 9)}, [*carry, "ema_12", "ema_26", "macd"])
+    out = ewm(out, "ticker", "trade_date", {"ema_12": ("close", 12), "ema_26": ("close", 26), "macd_signal": ("ema_12 - ema_26", 9)}).withColumn("macd", F.col("ema_12") - F.col("ema_26"))
     return out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).where(F.col("sma_20").isNotNull())
 
 

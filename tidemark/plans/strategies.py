@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import pricing
 from tidemark.functions.numbers import safe_div
-from tidemark.operators.series import series
+from tidemark.operators.series import series, streamed
 from tidemark.plans.gold_chain import CHAIN, chain_of, select_rounded, sql_rounded
 from tidemark.plans.registry import register
 from tidemark.sources import adapters
@@ -113,24 +114,42 @@ def strangle_summary(spark, sf_dir):
 
 def volatility_paths(state: DataFrame, beta: float = 0.5, pull: float = 0.1, noise: float = 0.02, seed: int = 7) -> DataFrame:
     """Simulated at-the-money volatility: pulled to its mean, moved by realised volatility and seeded noise, five points at
-    least. The recursion is folded along each ticker's series within one row."""
+    least. The recursion streams along each ticker's series."""
     w = Window.partitionBy("ticker").orderBy("trade_date")
     rows = state.withColumn("ret", F.log(F.col("spot") / F.lag("spot").over(w)))
-    rows = rows.withColumn("rv", F.stddev_samp("ret").over(w.rowsBetween(-19, 0)) * F.sqrt(F.lit(252.0)))
-    draw = (F.pmod(F.xxhash64("ticker", "trade_date", F.lit(seed)), F.lit(1_000_003)) / 1_000_003 - 0.5) * 3.4641  # unit spread, fixed by key and seed
-    rows = rows.withColumns({"shock": F.coalesce(beta * (F.col("rv") - F.lag("rv").over(w)), F.lit(0.0)) + noise * draw})
-    per = rows.groupBy("ticker").agg(F.array_sort(F.collect_list(F.struct("trade_date", "iv", "shock"))).alias("r"), F.avg("iv").alias("mean"))
+    rows = rows.withColumn("rv", F.when(F.count("ret").over(w.rowsBetween(-19, 0)) >= 2, F.stddev_samp("ret").over(w.rowsBetween(-19, 0))) * F.sqrt(F.lit(252.0)))
+    draw = (F.conv(F.substring(F.md5(F.concat_ws("|", "ticker", F.col("trade_date").cast("string"), F.lit(str(seed)))), 1, 8), 16, 10).cast("double") / 4294967296.0 - 0.5) * 3.4641  # unit spread, fixed by key and seed
+    rows = rows.withColumns({"shock": F.coalesce(beta * (F.col("rv") - F.lag("rv").over(w)), F.lit(0.0)) + noise * draw, "mean": F.avg("iv").over(Window.partitionBy("ticker"))})
+    rows = rows.select("ticker", "trade_date", "iv", "mean", "shock")
 
-    def step(acc, x):
-        now = F.greatest(acc["last"] + pull * (acc["mean"] - acc["last"]) + x["shock"], F.lit(0.05))
-        return F.struct(now.alias("last"), acc["mean"].alias("mean"), F.concat(acc["out"], F.array(now)).alias("out"))
+    def work(state: dict, part) -> list:
+        out = []
+        last = state.get("last")
+        for mean, shock in zip(part.column(3).to_pylist(), part.column(4).to_pylist()):
+            last = mean if last is None else last
+            last = max(last + pull * (mean - last) + shock, 0.05)
+            out.append(last)
+        state["last"] = last
+        return [pa.array(out, pa.float64())]
 
-    start = F.struct(F.col("mean").alias("last"), F.col("mean").alias("mean"), F.array().cast("array<double>").alias("out"))
-    z = per.select("ticker", F.inline(F.arrays_zip("r", F.aggregate("r", start, step, lambda a: a["out"]).alias("path"))))
-    return z.toDF("ticker", "r", "simulated_iv").select("ticker", F.col("r.trade_date").alias("trade_date"), F.col("r.iv").alias("iv"), "simulated_iv")
+    return streamed(rows, "ticker", "trade_date", "simulated_iv double", work).select("ticker", "trade_date", "iv", "simulated_iv")
 
 
-@register("volatility_paths")
+_STATE = "n AS (SELECT ticker, trade_date, max(underlying_price) AS spot, arg_min(implied_volatility, row(round(abs(strike - underlying_price), 6), strike, implied_volatility)) AS iv FROM option_chain GROUP BY 1, 2)"
+PATHS = {"ticker": None, "trade_date": None, "iv": 6, "simulated_iv": 6}
+
+
+@register(
+    "volatility_paths",
+    f"""
+WITH RECURSIVE {CHAIN},{_STATE},
+a AS (SELECT *, ln(spot / lag(spot) OVER w) AS ret, row_number() OVER w AS bar, avg(iv) OVER (PARTITION BY ticker) AS mean FROM n WINDOW w AS (PARTITION BY ticker ORDER BY trade_date)),
+b AS (SELECT *, CASE WHEN count(ret) OVER f >= 2 THEN stddev_samp(ret) OVER f END * sqrt(252) AS rv FROM a WINDOW f AS (PARTITION BY ticker ORDER BY trade_date ROWS 19 PRECEDING)),
+c AS MATERIALIZED (SELECT ticker, trade_date, iv, bar, mean, coalesce(0.5 * (rv - lag(rv) OVER (PARTITION BY ticker ORDER BY trade_date)), 0)
+        + 0.02 * ((CAST('0x' || substr(md5(concat_ws('|', ticker, CAST(trade_date AS VARCHAR), '7')), 1, 8) AS BIGINT) / 4294967296.0 - 0.5) * 3.4641) AS shock FROM b),
+p AS (SELECT ticker, bar, greatest(mean + shock, 0.05) AS simulated_iv FROM c WHERE bar = 1
+      UNION ALL SELECT c.ticker, c.bar, greatest(p.simulated_iv + 0.1 * (mean - p.simulated_iv) + shock, 0.05) FROM p JOIN c ON c.ticker = p.ticker AND c.bar = p.bar + 1)
+SELECT {sql_rounded(PATHS)} FROM c JOIN p USING (ticker, bar)""",
+)
 def volatility_paths_query(spark, sf_dir):
-    """No oracle: the noise is drawn by Spark's hash."""
-    return volatility_paths(daily_state(chain_of(spark, sf_dir))).withColumn("simulated_iv", F.round("simulated_iv", 6))
+    return select_rounded(volatility_paths(daily_state(chain_of(spark, sf_dir))), PATHS)
