@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import safe_div
+from tidemark.operators.rows import latest_by
 from tidemark.operators.series import ewm, rolling, run_length, series
 from tidemark.plans.gold_chain import select_rounded, sql_rounded
 from tidemark.plans.registry import register
@@ -183,3 +184,33 @@ SELECT {sql_rounded(REGIMES)} FROM z"""
 @register("market_regimes", REGIME_SQL)
 def market_regimes_query(spark, sf_dir):
     return select_rounded(market_regimes(technical_indicators(adapters.load(spark, sf_dir, "bars_daily"))), REGIMES)
+
+
+DISTRIBUTION = {"trend_regime": None, "volatility_regime": None, "market_phase": None, "n_rows": None, "n_tickers": None, "share_pct": 4}
+
+
+@register(
+    "regime_distribution",
+    f"WITH r AS ({REGIME_SQL}), d AS (SELECT trend_regime, volatility_regime, market_phase, count(*) AS n_rows, count(DISTINCT ticker) AS n_tickers, count(*) * 100.0 / sum(count(*)) OVER () AS share_pct FROM r GROUP BY 1, 2, 3) SELECT {sql_rounded(DISTRIBUTION)} FROM d",
+)
+def regime_distribution(spark, sf_dir):
+    """How often each combination of regimes occurs; a few dozen rows at most."""
+    rows = market_regimes_query(spark, sf_dir).groupBy("trend_regime", "volatility_regime", "market_phase").agg(F.count("*").alias("n_rows"), F.count_distinct("ticker").alias("n_tickers"))
+    return select_rounded(rows.withColumn("share_pct", F.col("n_rows") * 100.0 / F.sum("n_rows").over(Window.partitionBy())), DISTRIBUTION)
+
+
+@register(
+    "regime_signals",
+    f"""
+WITH r AS ({REGIME_SQL}),
+x AS (SELECT *, lag(trend_regime) OVER (PARTITION BY ticker ORDER BY trade_date) AS before FROM r)
+SELECT ticker, trade_date, strategy, CASE WHEN before IS NOT NULL AND before <> trend_regime THEN 'yes' ELSE 'no' END AS regime_change,
+       '{{"trend":"' || trend_regime || '","volatility":"' || volatility_regime || '","phase":"' || market_phase || '","confidence":' || phase_confidence || ',"days":' || days_in_regime || '}}' AS rationale
+FROM x QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY trade_date DESC) = 1""",
+)
+def regime_signals(spark, sf_dir):
+    """The newest row of each ticker with its rationale as JSON."""
+    w = series("ticker", "trade_date")
+    rows = market_regimes_query(spark, sf_dir).withColumn("regime_change", F.when(F.lag("trend_regime").over(w) != F.col("trend_regime"), "yes").otherwise("no"))
+    why = F.to_json(F.struct(F.col("trend_regime").alias("trend"), F.col("volatility_regime").alias("volatility"), F.col("market_phase").alias("phase"), F.col("phase_confidence").alias("confidence"), F.col("days_in_regime").alias("days")))
+    return latest_by(rows, ["ticker"], [F.desc("trade_date")]).select("ticker", "trade_date", "strategy", "regime_change", why.alias("rationale"))

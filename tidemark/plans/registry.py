@@ -22,4 +22,4 @@ def register(name: str, oracle: str | None = None):
 
 
 # Modules that register their queries when they are imported.
-from tidemark.plans import events, gold_chain, gold_gamma, indicators, positioning, reports, star, strategies, validation  # noqa: E402,F401
+from tidemark.plans import events, gold_chain, gold_gamma, indicators, positioning, reports, sessions, star, strategies, validation  # noqa: E402,F401
