@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tidemark.functions import dates, pricing, text
 from tidemark.operators import rows, series
-from tidemark.plans import registry, star
+from tidemark.plans import models, registry, star
 from tidemark.sources import io
 from tidemark.streaming import bars
 
@@ -142,5 +142,78 @@ def test_streams_match_batch(spark, tmp_path):
     key = lambda df: sorted((r.event_type, str(r.ts), round(r.open, 9), r.ticks) for r in df.collect())
     assert key(spark.table("hourly")) == key(batch)
     bars.run_available(bars.read(spark, src, events.schema, 1), str(tmp_path / "c2"), bars.keep_newest(str(tmp_path / "t"), ["user_id"], "ts"))
-    newest = [spark.read.parquet(str(p)) for p in sorted((tmp_path / "t").iterdir())]
-    assert events.select("user_id").distinct().count() in [n.count() for n in newest]
+    newest = bars.read_merged(spark, str(tmp_path / "t")).select("user_id", "ts")
+    want = events.groupBy("user_id").agg(F.max("ts").alias("ts"))
+    assert sorted(map(tuple, newest.collect())) == sorted(map(tuple, want.collect()))
+    bars.run_available(bars.read(spark, src, events.schema, 1), str(tmp_path / "c3"), bars.keep_states(str(tmp_path / "s"), ["event_type"], ["value"]))
+    states = {r.event_type: (r.n, round(r.value, 6)) for r in bars.read_states(spark, str(tmp_path / "s"), ["event_type"], ["value"]).collect()}
+    assert states == {r.event_type: (r.n, round(r.v, 6)) for r in events.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("v")).collect()}
+
+
+def test_trades_close_over_a_stream(spark, tmp_path):
+    t = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+    bar = lambda k, h, high, low, close: (k, t(h), "bar", None, None, None, None, high, low, close)
+    batches = [
+        [("a", t(0), "signal", "t1", "LONG", 11.0, 9.0, None, None, None), bar("a", 1, 10.5, 9.5, 10.0), ("b", t(0), "signal", "t2", "SHORT", 9.0, 11.0, None, None, None)],
+        [bar("a", 2, 12.0, 8.0, 10.0), bar("b", 1, 10.5, 9.5, 10.0), bar("b", 2, 11.5, 9.5, 11.0), ("b", t(2), "signal", "t3", "LONG", 20.0, 5.0, None, None, None)],
+        [bar("b", 3, 12.0, 11.0, 11.5), bar("b", 4, 12.0, 11.0, 11.7), bar("b", 5, 12.0, 11.0, 11.8)],
+    ]
+    schema = "ticker string, ts timestamp, kind string, trade_id string, side string, target double, stop double, high double, low double, close double"
+    src = tmp_path / "in"
+    got = []
+    for i, rows_ in enumerate(batches):  # one delivery after another, the state kept in the checkpoint
+        spark.createDataFrame(rows_, schema).coalesce(1).write.mode("append").parquet(str(src))
+        stream = bars.closed_trades(bars.read(spark, str(src), spark.read.parquet(str(src)).schema), hold=3)
+        bars.run_available(stream, str(tmp_path / "c"), lambda b, _: got.extend(map(tuple, b.select("trade_id", "exit_type", "exit_price", "bars_held").collect())))
+    assert sorted(got) == [("t1", "TARGET", 11.0, 2), ("t2", "STOP", 11.0, 2), ("t3", "TIME", 11.8, 3)]
+
+
+def test_reports_pages_json_and_bundles(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long")
+    io.write_report(df, str(tmp_path / "c"), "csv")
+    io.write_report(df, str(tmp_path / "j"), "json")
+    assert io.read_csv(spark, str(tmp_path / "c"), df.schema).count() == 2 and spark.read.json(str(tmp_path / "j")).agg(F.sum("v")).first()[0] == 3
+    with pytest.raises(ValueError):
+        io.write_report(df, str(tmp_path / "x"), "xls")
+    bodies = spark.createDataFrame([('{"series": "S", "dates": ["2025-01-01", "2025-01-02"], "values": [2.5, null]}',), ('["A", "B"]',), ('{"tickers": ["C"]}',), ('{"D": {"x": 1}}',)], "body string")
+    assert [(r.series, str(r.curve_date), r.rate) for r in io.points_from_json(bodies.limit(1)).collect()] == [("S", "2025-01-01", 0.025)]
+    assert sorted(r.ticker for r in io.tickers_from_json(bodies.where("body not like '%series%'")).collect()) == ["A", "B", "C", "D"]
+    df.createOrReplaceTempView("facts_here")
+    facts = {r.name: (r.present, r.n_rows, r.n_columns) for r in io.facts_of_tables(spark, ["facts_here", "facts_gone"]).collect()}
+    assert facts == {"facts_here": (True, 2, 2), "facts_gone": (False, 0, 0)}
+    df.union(spark.createDataFrame([("a", 9)], df.schema)).write.parquet(str(tmp_path / "o"))
+    io.rewrite_newest(spark, str(tmp_path / "o"), str(tmp_path / "n"), ["k"], "v")
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "n")).collect())) == [("a", 9), ("b", 2)]
+    io.empty(str(tmp_path / "n"), spark)
+    assert spark.read.parquet(str(tmp_path / "n")).count() == 0
+    models.write_bundle(spark, str(tmp_path / "b"), ["x", "y"], {"long": 0.55}, {"auc": 0.7})
+    assert models.read_bundle(spark, str(tmp_path / "b")) == {"features": ["x", "y"], "config": {"long": 0.55}, "metrics": {"auc": 0.7}}
+
+
+def test_session_hours_and_lists(spark):
+    from tidemark.plans import sessions
+
+    at = [("2024-07-01 15:30:00", "US", True), ("2024-07-01 15:29:00", "US", False), ("2024-07-01 22:00:00", "US", False), ("2024-07-01 17:30:00", "NL", True), ("2024-07-01 17:31:00", "NL", False), ("2024-03-31 02:30:00", "NL", False), ("2024-10-27 02:30:00", "DE", False), ("2024-03-18 14:30:00", "US", True), ("2024-07-01 12:00:00", "XX", False)]
+    df = spark.createDataFrame(at, "s string, market string, want boolean").withColumn("ts", F.to_timestamp("s"))
+    assert all(r.want == r.got for r in df.select("want", sessions.in_session(F.col("ts"), F.col("market")).alias("got")).collect())
+    assert sessions.of_universe(df, ["US"], "market").count() == 4 and sessions.of_universe(df, None).count() == 9
+
+
+def test_newton_finds_the_volatility():
+    s, k, t = np.meshgrid([60.0, 100.0, 140.0], [80.0, 100.0, 120.0], [0.02, 0.5, 3.0])
+    s, k, t = s.ravel(), k.ravel(), t.ravel()
+    r, call = np.full(len(s), 0.03), np.arange(len(s)) % 2 == 0
+    for v in (0.08, 0.3, 1.2):
+        paid = np.array([float(bs(c, *x, v)) for c, *x in zip(call, s, k, t, r)])
+        got = pricing.solve_vol(call, paid, s, k, t, r)
+        again = np.array([float(bs(c, *x, g)) for c, *x, g in zip(call, s, k, t, r, got)])
+        assert np.nanmax(np.abs(again - paid)) < 2e-5
+
+
+def bs(call, s, k, t, r, v):
+    from math import erf, exp, log, sqrt
+
+    a = (log(s / k) + (r + v * v / 2) * t) / (v * sqrt(t))
+    n = lambda x: (1 + erf(x / sqrt(2))) / 2
+    c = s * n(a) - k * exp(-r * t) * n(a - v * sqrt(t))
+    return max(c if call else c - s + k * exp(-r * t), (s - k) if call else (k - s), 0)

@@ -122,28 +122,38 @@ def _solver():
 
 
 def solve_vol(call: np.ndarray, paid: np.ndarray, s: np.ndarray, k: np.ndarray, t: np.ndarray, r: np.ndarray, steps: int = 60) -> np.ndarray:
-    """Bisection on whole arrays, by the same formulas as the columns; NaN where there is no solution."""
+    """Newton steps on whole arrays, by the same formulas as the columns, kept within a bracket that shrinks with each value:
+    where a step would leave it or the slope is nothing, it is halved. NaN where there is no solution."""
 
-    def cdf(x):
-        u = 1 / (1 + CDF_SCALE * np.abs(x))
-        tail = np.exp(-x * x / 2) / math.sqrt(2 * math.pi) * u * (CDF[0] + u * (CDF[1] + u * (CDF[2] + u * (CDF[3] + u * CDF[4]))))
-        return np.where(x >= 0, 1 - tail, tail)
+    def parts(x):
+        u, density = 1 / (1 + CDF_SCALE * np.abs(x)), np.exp(-x * x / 2) / math.sqrt(2 * math.pi)
+        tail = density * u * (CDF[0] + u * (CDF[1] + u * (CDF[2] + u * (CDF[3] + u * CDF[4]))))
+        return np.where(x >= 0, 1 - tail, tail), density
 
     with np.errstate(all="ignore"):
         disc, root, inner = np.exp(-r * t), np.sqrt(t), np.maximum(np.where(call, s - k, k - s), 0)
 
         def value(v):
             a = np.clip((np.log(s / k) + (r + v * v / 2) * t) / (v * root), -10, 10)
-            c = s * cdf(a) - k * disc * cdf(a - v * root)
-            return np.maximum(np.where(call, c, c - s + k * disc), inner)
+            (n1, density), (n2, _) = parts(a), parts(a - v * root)
+            c = s * n1 - k * disc * n2
+            return np.maximum(np.where(call, c, c - s + k * disc), inner), s * density * root
 
         lo, hi = np.full(len(s), SIGMA_LOW), np.full(len(s), SIGMA_HIGH)
-        fine = (t > EPS) & (paid > 0) & (s > 0) & (k > 0) & (paid >= value(lo)) & (paid <= value(hi))
+        fine = (t > EPS) & (paid > 0) & (s > 0) & (k > 0) & (paid >= value(lo)[0]) & (paid <= value(hi)[0])
+        near = np.abs(s / k - 1) <= 0.05
+        v = np.clip(np.where(near, np.sqrt(2 * math.pi / t) * paid / s, 0.3), 2 * SIGMA_LOW, 0.9 * SIGMA_HIGH)
         for _ in range(steps):
-            mid = (lo + hi) / 2
-            low = value(mid) < paid
-            lo, hi = np.where(low, mid, lo), np.where(low, hi, mid)
-        return np.where(fine, (lo + hi) / 2, np.nan)
+            now, slope = value(v)
+            low = now < paid
+            lo, hi = np.where(low, v, lo), np.where(low, hi, v)
+            step = v - (now - paid) / slope
+            new = np.where((step > lo) & (step < hi), step, (lo + hi) / 2)
+            if not np.any(fine & (np.abs(new - v) > 1e-12)):
+                v = new
+                break
+            v = new
+        return np.where(fine, v, np.nan)
 
 
 def price_with_yield(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Column, q: Column) -> Column:
@@ -155,6 +165,22 @@ def price_with_yield(kind: Column, s: Column, k: Column, t: Column, r: Column, s
     return F.when((t <= 0) | (sigma <= 0), F.when(kind == "Call", F.greatest(s - k, F.lit(0.0))).otherwise(F.greatest(k - s, F.lit(0.0)))).otherwise(live)
 
 
+def greeks_with_yield(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Column, q: Column) -> Column:
+    """delta, gamma, vega (a volatility point) and theta (a calendar day) with a continuous dividend yield q. Without time or
+    volatility only a call over its strike has a delta."""
+    root = sigma * F.sqrt(t)
+    a = (F.log(s / k) + (r - q + sigma * sigma / 2) * t) / root
+    carry, fs, fk = F.exp(-q * t), s * F.exp(-q * t), k * F.exp(-r * t)
+    n1, n2, density = norm_cdf(a), norm_cdf(a - root), norm_pdf(a)
+    call, dead = kind == "Call", (t <= 0) | (sigma <= 0)
+    decay = -(fs * density * sigma) / (2 * F.sqrt(t))
+    drift = F.when(call, q * fs * n1 - r * fk * n2).otherwise(q * fs * (1 - n1) + r * fk * (1 - n2))
+    return F.struct(
+        F.when(dead, F.when(call & (s > k), 1.0).otherwise(0.0)).otherwise(carry * F.when(call, n1).otherwise(n1 - 1)).alias("delta"), F.when(dead, 0.0).otherwise(carry * density / (s * root)).alias("gamma"),
+        F.when(dead, 0.0).otherwise(fs * density * F.sqrt(t) / 100).alias("vega"), F.when(dead, 0.0).otherwise((decay - drift) / 365).alias("theta"),
+    )
+
+
 def pnl_parts(entry: Column, exit_: Column, vega_: Column, gamma_: Column, theta_: Column, d_iv_points: Column, d_spot: Column, days: Column) -> Column:
     """Profit split into volatility, curvature and time; the rest is what they do not explain."""
     v, g, th = vega_ * d_iv_points, 0.5 * gamma_ * d_spot * d_spot, theta_ * days

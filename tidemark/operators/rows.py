@@ -38,3 +38,10 @@ def insert_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 def replace_range(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Every old row of a key that the new table has goes; all new rows come."""
     return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def filled_from(df: DataFrame, other: DataFrame, keys: list[str], column: str, fallback: Column) -> DataFrame:
+    """df with the nulls of a column filled from the row of other with the same keys (its largest value if there are several),
+    else by the fallback."""
+    known = other.where(F.col(column).isNotNull()).groupBy(*keys).agg(F.max(column).alias("_from"))
+    return df.join(known, keys, "left").withColumn(column, F.coalesce(column, "_from", fallback)).drop("_from")

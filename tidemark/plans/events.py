@@ -161,13 +161,14 @@ def score(events: DataFrame) -> DataFrame:
     return events.withColumn("p_up", F.round(p, 9)).withColumn("side", F.when(F.col("p_up") >= 0.55, "LONG").when(F.col("p_up") <= 0.45, "SHORT"))
 
 
-def trades(signals: DataFrame, bars: DataFrame, target: float = ATR_TARGET, stop: float = ATR_STOP, hold: int = HOLD, slip_bps: float = 0.0, target_first: bool = True) -> DataFrame:
+def trades(signals: DataFrame, bars: DataFrame, target: float = ATR_TARGET, stop: float = ATR_STOP, hold: int = HOLD, slip_bps: float | Column = 0.0, target_first: bool = True, by: list[str] | None = None) -> DataFrame:
     """Entry at the open of the next bar, exit at target, stop, or the close of the last of `hold` bars. A bar that reaches
-    both counts as the one that target_first names; slippage worsens entry and exit. Open trades lack bars and a result."""
+    both counts as the one that target_first names; slippage worsens entry and exit. Open trades lack bars and a result. Signals
+    that come several times are told apart by the columns `by`."""
     s = signals.where("side is not null")
     d = F.when(F.col("side") == "LONG", 1.0).otherwise(-1.0)
     ahead = forward(s.withColumn("d", d), bars, "ticker", "end_idx", hold + 1, ["open", "high", "low", "close"])
-    keys = ["ticker", "run"]
+    keys = ["ticker", "run", *(by or [])]
     ahead = ahead.withColumn("entry", F.max(F.when(F.col("step") == 1, F.col("f_open"))).over(Window.partitionBy(*keys)) * (1 + F.col("d") * slip_bps / 10_000))
     up, down = F.col("entry") + F.col("d") * target * F.col("atr_end"), F.col("entry") - F.col("d") * stop * F.col("atr_end")
     won = F.when(F.col("d") > 0, F.col("f_high") >= up).otherwise(F.col("f_low") <= up)

@@ -215,7 +215,6 @@ def dim_date_query(spark, sf_dir):
 
 # What an entry would have cost
 
-SCENARIOS = {"open": F.col("open"), "typical": (F.col("high") + F.col("low") + F.col("close")) / 3, "close": F.col("close"), "slipped": F.col("open") * (1 + F.col("d") * 0.0005)}
 REALISM = {"scenario": None, "n_trades": None, "win_rate": 4, "mean_pct": 4, "total_eur": 2}
 
 
@@ -233,12 +232,13 @@ SELECT {sql_rounded(REALISM)} FROM r""",
 )
 def entry_realism(spark, sf_dir):
     """The closed trades with the same exits, entered at other prices of the first bar."""
+    scenarios = {"open": F.col("open"), "typical": (F.col("high") + F.col("low") + F.col("close")) / 3, "close": F.col("close"), "slipped": F.col("open") * (1 + F.col("d") * 0.0005)}
     bars = hourly(spark, sf_dir)
     b = numbered(bars.where("high >= low and low > 0"), "ticker", "ts")
     nxt = b.select("ticker", (F.col("idx") - 1).alias("idx"), "open", "high", "low", "close")
     done = QUERIES["event_trades"](spark, sf_dir).where("pnl_pct is not null").withColumn("d", F.when(F.col("side") == "LONG", 1.0).otherwise(-1.0))
     e = done.join(b.select("ticker", F.col("ts").alias("t_end"), "idx"), ["ticker", "t_end"]).join(nxt, ["ticker", "idx"])
-    spread = e.select("d", "exit_price", F.explode(F.array(*[F.struct(F.lit(n).alias("scenario"), c.alias("price")) for n, c in SCENARIOS.items()])).alias("s"))
+    spread = e.select("d", "exit_price", F.explode(F.array(*[F.struct(F.lit(n).alias("scenario"), c.alias("price")) for n, c in scenarios.items()])).alias("s"))
     pnl = spread.select("s.scenario", (F.col("d") * (F.col("exit_price") / F.col("s.price") - 1) * 100).alias("pnl"))
     out = pnl.groupBy("scenario").agg(F.count("*").alias("n_trades"), (F.avg((100 * F.col("pnl") > 10).cast("double")) * 100).alias("win_rate"), F.avg("pnl").alias("mean_pct"), F.sum(100 * F.col("pnl") - 10).alias("total_eur"))
     return select_rounded(out, REALISM)

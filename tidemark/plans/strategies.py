@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import pricing
 from tidemark.functions.numbers import safe_div
-from tidemark.operators.series import series, streamed
+from tidemark.operators.series import forward, numbered, series, streamed
 from tidemark.plans.gold_chain import CHAIN, chain_of, select_rounded, sql_rounded
 from tidemark.plans.registry import register
 from tidemark.sources import adapters
@@ -105,11 +105,30 @@ def strategy_summary(held: DataFrame) -> DataFrame:
     return held.groupBy("ticker").agg(F.count("*").alias("n_trades"), F.avg((x > 0).cast("double")).alias("win_rate"), F.avg(x).alias("mean_pct"), safe_div(F.avg(x), F.stddev_samp(x)).alias("sharpe"), *[safe_div(F.sum(F.abs(f"{c}_pnl")), whole).alias(f"{c}_share") for c in ("vega", "gamma", "theta")])
 
 
-@register("strangle_summary")
+STRANGLE = {"ticker": None, "n_trades": None} | {c: 4 for c in "win_rate mean_pct sharpe vega_share gamma_share theta_share".split()}
+
+
+@register(
+    "strangle_summary",
+    adapters.doubles(f"""
+WITH {CHAIN},
+n AS (SELECT ticker, trade_date, max(underlying_price) AS spot, arg_min(implied_volatility, row(round(abs(strike - underlying_price), 6), strike, implied_volatility)) AS iv FROM option_chain GROUP BY 1, 2),
+x AS (SELECT *, lead(trade_date, {HOLD}) OVER w AS exit_date, lead(spot, {HOLD}) OVER w AS exit_spot, lead(iv, {HOLD}) OVER w AS exit_iv FROM n WINDOW w AS (PARTITION BY ticker ORDER BY trade_date)),
+h AS (SELECT *, CAST(exit_date - trade_date AS INTEGER) AS days FROM x WHERE exit_date IS NOT NULL AND exit_date - trade_date < {TENOR}),
+l AS (SELECT *, 'Call' AS kind, round(spot * 1.05, 0) AS k FROM h UNION ALL SELECT *, 'Put', round(spot * 0.95, 0) FROM h),
+q AS (SELECT ticker, trade_date, kind, 0 AS leg, spot AS s, iv AS v, {TENOR} / 365.0 AS t, k FROM l UNION ALL SELECT ticker, trade_date, kind, 1, exit_spot, exit_iv, ({TENOR} - days) / 365.0, k FROM l),
+a AS MATERIALIZED (SELECT *, least(greatest((ln(s / k) + (0.03 + v * v / 2.0) * t) / (v * sqrt(t)), -10.0), 10.0) AS d1 FROM q),
+b AS MATERIALIZED (SELECT *, d1 - v * sqrt(t) AS d2, k * exp(-0.03 * t) AS kd, exp(-d1 * d1 / 2.0) / sqrt(2.0 * pi()) AS pdf FROM a),
+c AS MATERIALIZED (SELECT *, {pricing.cdf_sql("d1")} AS n1, {pricing.cdf_sql("d2")} AS n2 FROM b),
+d AS (SELECT *, CASE kind WHEN 'Call' THEN greatest(s * n1 - kd * n2, s - k, 0.0) ELSE greatest(kd * (1.0 - n2) - s * (1.0 - n1), k - s, 0.0) END AS value, -s * pdf * v / (2.0 * sqrt(t)) + CASE kind WHEN 'Call' THEN -0.03 * kd * n2 ELSE 0.03 * kd * (1.0 - n2) END AS yearly FROM c),
+e AS (SELECT ticker, trade_date, leg, sum(value) AS value, sum(s * pdf * sqrt(t) / 100.0) AS vega, sum(pdf / (s * v * sqrt(t))) AS gamma, sum(CASE WHEN abs(yearly / 365.0) > value THEN 0.0 ELSE yearly / 365.0 END) AS theta FROM d GROUP BY ALL),
+j AS (SELECT h.ticker, (o.value * {1 - SPREAD / 2} - e.value * {1 + SPREAD / 2}) / nullif(e.value, 0) * 100 AS net_pct, abs(e.vega * (exit_iv - iv) * 100) AS vp, abs(0.5 * e.gamma * (exit_spot - spot) * (exit_spot - spot)) AS gp, abs(e.theta * days) AS tp
+      FROM h JOIN e ON e.ticker = h.ticker AND e.trade_date = h.trade_date AND e.leg = 0 JOIN e o ON o.ticker = h.ticker AND o.trade_date = h.trade_date AND o.leg = 1),
+r AS (SELECT ticker, count(*) AS n_trades, avg(if(net_pct > 0, 1, 0)) AS win_rate, avg(net_pct) AS mean_pct, avg(net_pct) / nullif(stddev_samp(net_pct), 0) AS sharpe, sum(vp) / nullif(sum(vp + gp + tp), 0) AS vega_share, sum(gp) / nullif(sum(vp + gp + tp), 0) AS gamma_share, sum(tp) / nullif(sum(vp + gp + tp), 0) AS theta_share FROM j GROUP BY ticker)
+SELECT {sql_rounded(STRANGLE)} FROM r"""),
+)
 def strangle_summary(spark, sf_dir):
-    """No oracle: it repeats straddle_backtest, which has one, with other legs."""
-    out = strategy_summary(held_strategy(chain_of(spark, sf_dir), "strangle"))
-    return out.select("ticker", "n_trades", *[F.round(c, 6).alias(c) for c in out.columns[2:]])
+    return select_rounded(strategy_summary(held_strategy(chain_of(spark, sf_dir), "strangle")), STRANGLE)
 
 
 def volatility_paths(state: DataFrame, beta: float = 0.5, pull: float = 0.1, noise: float = 0.02, seed: int = 7) -> DataFrame:
@@ -153,3 +172,87 @@ SELECT {sql_rounded(PATHS)} FROM c JOIN p USING (ticker, bar)""",
 )
 def volatility_paths_query(spark, sf_dir):
     return select_rounded(volatility_paths(daily_state(chain_of(spark, sf_dir))), PATHS)
+
+
+# Exits before the time is up
+
+LONGEST, STOP, TAKE = 10, 0.20, 0.20  # sessions held at most, loss and gain at which a position is closed
+
+
+def backtest(chain: DataFrame, strategy: str = "straddle", tenor: int = TENOR, hold: int = LONGEST, stop: float | None = STOP, take: float | None = TAKE, rate: float = adapters.RATE) -> DataFrame:
+    """Entered every day, repriced at each of the next `hold` sessions, closed at the first whose return reaches -stop or take,
+    else at the last one. Strikes are those around the forward price; a spread is paid twice; the profit is split by cause."""
+    state = numbered(daily_state(chain), "ticker", "trade_date")
+    w = series("ticker", "trade_date")
+    rv = F.stddev_samp("ret").over(w.rowsBetween(-19, 0)) * F.sqrt(F.lit(252.0))
+    state = state.withColumn("ret", F.log(F.col("spot") / F.lag("spot").over(w))).withColumn("rv", F.when(F.count("ret").over(w.rowsBetween(-19, 0)) >= 20, rv))
+    r, t0 = F.lit(rate), F.lit(tenor / 365.0)
+    entered = state.withColumn("legs", legs(strategy, F.col("spot") * F.exp(r * t0)))
+    at = lambda f: total(F.col("legs"), lambda kind, k: f(kind, F.col("spot"), k, t0, r, F.col("iv")))
+    entered = entered.withColumns({"entry": at(pricing.price), "vega": at(lambda kind, *a: pricing.vega(*a)), "gamma": at(lambda kind, *a: pricing.gamma(*a)), "theta": at(pricing.theta)}).where("entry > 0")
+    ahead = forward(entered, state, "ticker", "idx", hold, ["trade_date", "spot", "iv", "rv"])
+    days = F.datediff("f_trade_date", "trade_date")
+    ahead = ahead.withColumn("days", days).withColumn("t1", F.greatest(tenor - F.col("days"), F.lit(0)) / 365)
+    ahead = ahead.withColumn("value", total(F.col("legs"), lambda kind, k: pricing.price(kind, F.col("f_spot"), k, F.col("t1"), r, F.col("f_iv"))))
+    ret = F.col("value") / F.col("entry") - 1
+    rule = F.when(ret <= -stop, "stop_loss") if stop else F.when(F.lit(False), "")
+    rule = rule.when(ret >= take, "take_profit") if take else rule
+    ahead = ahead.withColumn("rule", rule)
+    first = F.when(F.col("rule").isNotNull(), F.col("step")).otherwise(10_000 - F.col("step"))
+    keys = ["ticker", "trade_date", "spot", "iv", "rv", "entry", "vega", "gamma", "theta"]
+    out = ahead.groupBy(*keys).agg(F.min_by(F.struct(F.col("f_trade_date").alias("exit_date"), F.col("f_spot").alias("exit_spot"), F.col("f_iv").alias("exit_iv"), F.col("f_rv").alias("exit_rv"), F.col("value").alias("exit"), "days", F.coalesce("rule", F.lit("time")).alias("exit_rule")), first).alias("x"))
+    out = out.select(*keys, "x.*")
+    d_iv, d_spot = (F.col("exit_iv") - F.col("iv")) * 100, F.col("exit_spot") - F.col("spot")
+    out = out.withColumn("p", pricing.pnl_parts(F.col("entry"), F.col("exit"), F.col("vega"), F.col("gamma"), F.col("theta"), d_iv, d_spot, F.col("days")))
+    return out.withColumns({"gross_pct": F.col("p.total") / F.col("entry") * 100, "net_pct": (F.col("p.total") / F.col("entry") - 2 * SPREAD) * 100, "vega_pnl": F.col("p.vega"), "gamma_pnl": F.col("p.gamma"), "theta_pnl": F.col("p.theta"), "days": F.col("days").cast("long")})
+
+
+BACKTEST = dict.fromkeys(["ticker", "trade_date", "exit_date", "exit_rule", "days"]) | {c: 4 for c in "entry exit gross_pct net_pct vega_pnl gamma_pnl theta_pnl".split()}
+BACKTEST_CTE = f"""{_STATE},
+ba AS (SELECT *, row_number() OVER w AS idx, ln(spot / lag(spot) OVER w) AS ret FROM n WINDOW w AS (PARTITION BY ticker ORDER BY trade_date)),
+bb AS (SELECT *, CASE WHEN count(ret) OVER f >= 20 THEN stddev_samp(ret) OVER f END * sqrt(252.0) AS rv, round(spot * exp({adapters.RATE} * {TENOR} / 365.0), 0) AS k FROM ba WINDOW f AS (PARTITION BY ticker ORDER BY trade_date ROWS 19 PRECEDING)),
+bc AS (SELECT ticker, idx, 0 AS step, trade_date AS entered, trade_date AS d, 0 AS days, k, spot AS s, iv AS v, rv, {TENOR} / 365.0 AS t FROM bb
+       UNION ALL SELECT e.ticker, e.idx, x.idx - e.idx, e.trade_date, x.trade_date, x.trade_date - e.trade_date, e.k, x.spot, x.iv, x.rv, greatest({TENOR} - (x.trade_date - e.trade_date), 0) / 365.0 FROM bb e JOIN bb x ON x.ticker = e.ticker AND x.idx > e.idx AND x.idx <= e.idx + {LONGEST}),
+bd AS MATERIALIZED (SELECT *, CASE WHEN t > 0 THEN least(greatest((ln(s / k) + ({adapters.RATE} + v * v / 2.0) * t) / (v * sqrt(t)), -10.0), 10.0) WHEN s > k THEN 1000.0 ELSE -1000.0 END AS d1 FROM bc),
+be AS MATERIALIZED (SELECT *, d1 - v * sqrt(t) AS d2, k * exp(-{adapters.RATE} * t) AS kd, exp(-d1 * d1 / 2.0) / sqrt(2.0 * pi()) AS pdf FROM bd),
+bf AS MATERIALIZED (SELECT *, {_N1} AS n1, {_N2} AS n2 FROM be),
+bg AS (SELECT *, CASE WHEN t > 0 THEN greatest(s * n1 - kd * n2, s - k, 0.0) ELSE greatest(s - k, 0.0) END AS call, CASE WHEN t > 0 THEN greatest(kd * (1.0 - n2) - s * (1.0 - n1), k - s, 0.0) ELSE greatest(k - s, 0.0) END AS put, CASE WHEN t > 0 THEN -s * pdf * v / (2.0 * sqrt(t)) END AS decay FROM bf),
+bh AS (SELECT *, call + put AS value, 2.0 * s * pdf * sqrt(t) / 100.0 AS vega, CASE WHEN t > 0 THEN 2.0 * pdf / (s * v * sqrt(t)) END AS gamma,
+        CASE WHEN abs((decay - {adapters.RATE} * kd * n2) / 365.0) > call THEN 0.0 ELSE (decay - {adapters.RATE} * kd * n2) / 365.0 END + CASE WHEN abs((decay + {adapters.RATE} * kd * (1.0 - n2)) / 365.0) > put THEN 0.0 ELSE (decay + {adapters.RATE} * kd * (1.0 - n2)) / 365.0 END AS theta FROM bg),
+bi AS (SELECT h.*, e.value AS entry, CASE WHEN h.value / e.value - 1 <= -{STOP} THEN 'stop_loss' WHEN h.value / e.value - 1 >= {TAKE} THEN 'take_profit' END AS rule FROM bh h JOIN bh e ON e.ticker = h.ticker AND e.idx = h.idx AND e.step = 0 WHERE h.step > 0 AND e.value > 0),
+bj AS (SELECT * FROM bi QUALIFY row_number() OVER (PARTITION BY ticker, idx ORDER BY CASE WHEN rule IS NOT NULL THEN step ELSE 10000 - step END) = 1),
+backtests AS (SELECT j.ticker, e.entered AS trade_date, j.d AS exit_date, coalesce(rule, 'time') AS exit_rule, j.days AS days, entry, j.value AS exit, (j.value / entry - 1) * 100 AS gross_pct, (j.value / entry - 1 - {2 * SPREAD}) * 100 AS net_pct,
+        e.vega * (j.v - e.v) * 100 AS vega_pnl, 0.5 * e.gamma * (j.s - e.s) * (j.s - e.s) AS gamma_pnl, e.theta * j.days AS theta_pnl, e.v AS iv, e.rv AS rv, j.v AS exit_iv, j.rv AS exit_rv FROM bj j JOIN bh e ON e.ticker = j.ticker AND e.idx = j.idx AND e.step = 0)"""
+
+
+@register("option_backtest", adapters.doubles(f"WITH {CHAIN},{BACKTEST_CTE} SELECT {sql_rounded(BACKTEST)} FROM backtests"))
+def option_backtest(spark, sf_dir):
+    return select_rounded(backtest(chain_of(spark, sf_dir)), BACKTEST)
+
+
+SUMMARY = {"ticker": None, "n_trades": None} | {c: 4 for c in "win_rate mean_pct median_pct sharpe best_pct worst_pct vega_share gamma_share theta_share mean_premium mean_iv_change mean_rv_change".split()} | {"stops": None, "takes": None, "time_exits": None}
+
+
+def backtest_summary(trades: DataFrame) -> DataFrame:
+    """Per ticker: returns, mean over spread, the causes' shares of what they explain, premium of implied over realised
+    volatility at entry, changes until the exit, and exits by rule."""
+    x, parts = F.col("net_pct"), ["vega", "gamma", "theta"]
+    whole = F.sum(F.col("vega_pnl") + F.col("gamma_pnl") + F.col("theta_pnl"))
+    return trades.groupBy("ticker").agg(
+        F.count("*").alias("n_trades"), (F.avg((x > 0).cast("double")) * 100).alias("win_rate"), F.avg(x).alias("mean_pct"), F.median(x).alias("median_pct"), safe_div(F.avg(x), F.stddev_samp(x)).alias("sharpe"), F.max(x).alias("best_pct"), F.min(x).alias("worst_pct"),
+        *[safe_div(F.sum(f"{c}_pnl"), whole).alias(f"{c}_share") for c in parts], F.avg(F.col("iv") - F.col("rv")).alias("mean_premium"), F.avg(F.col("exit_iv") - F.col("iv")).alias("mean_iv_change"), F.avg(F.col("exit_rv") - F.col("rv")).alias("mean_rv_change"),
+        *[F.count(F.when(F.col("exit_rule") == rule, 1)).alias(name) for rule, name in (("stop_loss", "stops"), ("take_profit", "takes"), ("time", "time_exits"))],
+    )
+
+
+@register(
+    "option_backtest_summary",
+    adapters.doubles(f"""
+WITH {CHAIN},{BACKTEST_CTE},
+s AS (SELECT ticker, count(*) AS n_trades, avg(if(net_pct > 0, 1, 0)) * 100 AS win_rate, avg(net_pct) AS mean_pct, median(net_pct) AS median_pct, avg(net_pct) / nullif(stddev_samp(net_pct), 0) AS sharpe, max(net_pct) AS best_pct, min(net_pct) AS worst_pct,
+        {", ".join(f"sum({c}_pnl) / nullif(sum(vega_pnl + gamma_pnl + theta_pnl), 0) AS {c}_share" for c in ("vega", "gamma", "theta"))}, avg(iv - rv) AS mean_premium, avg(exit_iv - iv) AS mean_iv_change, avg(exit_rv - rv) AS mean_rv_change,
+        count(*) FILTER (exit_rule = 'stop_loss') AS stops, count(*) FILTER (exit_rule = 'take_profit') AS takes, count(*) FILTER (exit_rule = 'time') AS time_exits FROM backtests GROUP BY ticker)
+SELECT {sql_rounded(SUMMARY)} FROM s"""),
+)
+def option_backtest_summary(spark, sf_dir):
+    return select_rounded(backtest_summary(backtest(chain_of(spark, sf_dir))), SUMMARY)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import safe_div
-from tidemark.plans.events import EVENT_CTE, TRADE_CTE, all_events, all_trades, hourly, labelled, score, trades, window_features
+from tidemark.plans.events import ATR_STOP, ATR_TARGET, EVENT_CTE, FEE, HOLD, SIZE, TRADE_CTE, all_events, all_trades, hourly, labelled, score, trades, window_features
 from tidemark.plans.gold_chain import select_rounded, sql_rounded
 from tidemark.plans.registry import register
 from tidemark.sources import adapters
@@ -114,16 +114,30 @@ def walk_forward_query(spark, sf_dir):
     return select_rounded(walk_forward(all_trades(spark, sf_dir)), FORWARD)
 
 
-@register("slippage_curve")
+SLIPPAGE = {"slip_bps": 1, "n_trades": None, "mean_pct": 4, "total_eur": 2}
+LEVELS = (0.0, 5.0, 10.0, 20.0)
+
+
+@register(
+    "slippage_curve",
+    f"""
+WITH {HOURLY},{TRADE_CTE.split("en AS (SELECT sd.*")[0].rstrip().rstrip(",")},
+en AS (SELECT sd.*, slip_bps, b.open * (1 + d * slip_bps / 10000) AS entry FROM sd JOIN e3 b ON b.ticker = sd.ticker AND b.idx = sd.end_idx + 1, (SELECT unnest([0.0, 5.0, 10.0, 20.0])::DOUBLE AS slip_bps)),
+th AS (SELECT en.ticker, en.end_idx, slip_bps, d, entry, atr_end, min(b.idx - en.end_idx) FILTER (CASE WHEN d > 0 THEN b.high >= entry + {ATR_TARGET} * atr_end ELSE b.low <= entry - {ATR_TARGET} * atr_end END) AS won,
+         min(b.idx - en.end_idx) FILTER (CASE WHEN d > 0 THEN b.low <= entry - {ATR_STOP} * atr_end ELSE b.high >= entry + {ATR_STOP} * atr_end END) AS lost, count(*) AS seen, arg_max(b.close, b.idx) AS last_close
+       FROM en JOIN e3 b ON b.ticker = en.ticker AND b.idx > en.end_idx AND b.idx <= en.end_idx + {HOLD} GROUP BY ALL),
+tx AS (SELECT *, CASE WHEN won IS NOT NULL AND won <= coalesce(lost, 10000) THEN entry + d * {ATR_TARGET} * atr_end WHEN lost IS NOT NULL THEN entry - d * {ATR_STOP} * atr_end WHEN seen >= {HOLD} THEN last_close END * (1 - d * slip_bps / 10000) AS exit_price FROM th),
+tp AS (SELECT slip_bps, d * (exit_price / entry - 1) * 100 AS pnl_pct FROM tx WHERE exit_price IS NOT NULL),
+s AS (SELECT slip_bps, count(*) AS n_trades, avg(pnl_pct) AS mean_pct, sum({SIZE} * pnl_pct / 100 - {FEE}) AS total_eur FROM tp GROUP BY slip_bps)
+SELECT {sql_rounded(SLIPPAGE)} FROM s""",
+)
 def slippage_curve(spark, sf_dir):
-    """Totals at 0, 5, 10 and 20 basis points against entry and exit. No oracle: it repeats event_trades, which has one."""
+    """Totals at several basis points against entry and exit, out of one run of the events: each signal is spelled out once
+    per level."""
     ev, base = all_events(hourly(spark, sf_dir))
-    signals = score(ev)
-    out = None
-    for bps in (0.0, 5.0, 10.0, 20.0):
-        t = trades(signals, base, slip_bps=bps).where("pnl_pct is not null").agg(F.lit(bps).alias("slip_bps"), F.count("*").alias("n_trades"), F.round(F.avg("pnl_pct"), 6).alias("mean_pct"), F.round(F.sum("pnl_eur"), 2).alias("total_eur"))
-        out = t if out is None else out.unionByName(t)
-    return out
+    signals = score(ev).withColumn("slip_bps", F.explode(F.array(*map(F.lit, LEVELS))))
+    done = trades(signals, base, slip_bps=F.col("slip_bps"), by=["slip_bps"]).where("pnl_pct is not null")
+    return select_rounded(done.groupBy("slip_bps").agg(F.count("*").alias("n_trades"), F.avg("pnl_pct").alias("mean_pct"), F.sum("pnl_eur").alias("total_eur")), SLIPPAGE)
 
 
 TOP = {"ticker": None, "total_eur": 2, "share_pct": 4, "profit_rank": None, "total_without_eur": 2}
@@ -183,9 +197,16 @@ def parse_dutch_numbers(spark, sf_dir):
 
 @register(
     "event_json_fields",
-    "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, round(sum(value), 4) AS total, min(ts) AS first_ts, max(ts) AS last_ts FROM events WHERE props IS NOT NULL GROUP BY event_type",
+    """
+WITH j AS (SELECT event_type, user_id, value, ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+SELECT event_type, count(*) AS n, count(k) AS with_k, count(DISTINCT k) AS distinct_k, CAST(sum(k) AS BIGINT) AS sum_k, count(DISTINCT user_id) FILTER (k >= 50) AS users_of_high_k, round(sum(value) FILTER (k >= 50), 4) AS value_of_high_k, min(ts) AS first_ts FROM j GROUP BY event_type""",
 )
 def event_json_fields(spark, sf_dir):
+    """Fields of the JSON text, read by a schema."""
     from tidemark.session import table
 
-    return table(spark, sf_dir, "events").where("props is not null").groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"), F.round(F.sum("value"), 4).alias("total"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    rows = table(spark, sf_dir, "events").withColumn("k", F.from_json("props", "k long")["k"])
+    high = F.col("k") >= 50
+    return rows.groupBy("event_type").agg(
+        F.count("*").alias("n"), F.count("k").alias("with_k"), F.count_distinct("k").alias("distinct_k"), F.sum("k").alias("sum_k"), F.count_distinct(F.when(high, F.col("user_id"))).alias("users_of_high_k"), F.round(F.sum(F.when(high, F.col("value"))), 4).alias("value_of_high_k"), F.min("ts").alias("first_ts")
+    )

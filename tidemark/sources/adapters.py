@@ -94,6 +94,14 @@ def _calendar(engine: str) -> str:
     FROM orders WHERE o_orderpriority LIKE '5%' AND o_orderkey % 3 = 1 GROUP BY 1, 2)"""
 
 
+def _curve(engine: str) -> str:
+    """Interest rates by date and term (0 .. 4), with gaps, out of orders."""
+    return """
+  curve_points AS (
+    SELECT CAST(o_orderdate AS DATE) AS curve_date, CAST(o_custkey % 5 AS BIGINT) AS term, round(avg(0.01 + (CAST(floor(o_totalprice) AS BIGINT) % 400) / 10000.0) + 0.000000003, 6) AS rate
+    FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1, 2)"""
+
+
 def doubles(text: str) -> str:
     """SQL text with its decimal literals as doubles, which both engines read alike."""
     return re.sub(r"(?<![\w.])(\d+\.\d+)(?![\dE])", r"\1E0", text)
@@ -105,6 +113,7 @@ VIEWS = {
     "bars_hourly": (_hourly, ("events",)),
     "calendar_earnings": (_calendar, ("orders",)),
     "calendar_dividends": (_calendar, ("orders",)),
+    "curve_points": (_curve, ("orders",)),
 }
 
 

@@ -1,4 +1,5 @@
-"""Readers and writers: partitioned and versioned Parquet, CSV logs, option-chain pages, bar JSON."""
+"""Readers and writers: partitioned and versioned Parquet, CSV logs, reports, databases, price and option-chain pages, bar, curve
+and universe JSON."""
 
 from __future__ import annotations
 
@@ -8,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.numbers import half_step
 from tidemark.functions.text import clean, market_of, parse_expiry, parse_integer, parse_number
+from tidemark.operators.rows import latest_by
 
 
 def write_partitioned(df: DataFrame, path: str, *by: str, mode: str = "overwrite") -> None:
@@ -60,7 +62,8 @@ def bars_from_json(raw: DataFrame, column: str = "body") -> DataFrame:
 def chain_from_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """Option-chain pages -> one row per contract. A page has sections headed by an expiry text, each with table rows of call
     bid, call ask, strike, put bid, put ask; a row gives a call and a put. Numbers are written the Dutch way."""
-    sections = pages.withColumn("section", F.explode(F.expr(f"slice(split({html}, '<section'), 2, 100000)")))
+    sections = pages.withColumn("section", F.explode(F.split(html, "<section")))
+    sections = sections.where(F.col("section").contains("</"))
     sections = sections.withColumn("head", clean(F.regexp_extract("section", r"(?s)<h[1-6][^>]*>(.*?)</h[1-6]>", 1)))
     rows = sections.withColumn("row", F.explode(F.regexp_extract_all("section", F.lit(r"(?s)<tr[^>]*>.*?</tr>"), F.lit(0))))
     cells = F.transform(F.regexp_extract_all("row", F.lit(r"(?s)<td[^>]*>(.*?)</td>"), F.lit(1)), lambda c: clean(F.regexp_replace(c, "<[^>]*>", "")))
@@ -80,4 +83,75 @@ def overview_from_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.select(*[c for c in pages.columns if c != html], call_put_totals(text).alias("t")).select("*", "t.*").drop("t")
 
 
-__all__ = ["bars_from_json", "chain_from_pages", "latest_on_or_before", "overview_from_pages", "overwrite_partitions", "parse_integer", "read_csv", "read_jdbc", "read_newest_version", "write_as_of", "write_partitioned"]
+# Positional columns of a price table, in the order of its cells.
+PRICE_COLUMNS = ["name", "isin", "last", "previous", "change", "change_pct", "high", "low", "bid", "ask", "volume", "open_interest", "time"]
+
+
+def price_table_from_pages(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Table rows of thirteen cells by position -> one row each; numbers are written the Dutch way, rows of other lengths
+    (headers, totals) are left out."""
+    rows = pages.withColumn("_row", F.explode(F.regexp_extract_all(html, F.lit(r"(?s)<tr[^>]*>.*?</tr>"), F.lit(0))))
+    cells = F.transform(F.regexp_extract_all("_row", F.lit(r"(?s)<td[^>]*>(.*?)</td>"), F.lit(1)), lambda c: clean(F.regexp_replace(c, "<[^>]*>", "")))
+    rows = rows.withColumn("_c", cells).where(F.size("_c") == len(PRICE_COLUMNS))
+    text = {"name", "isin", "time"}
+    whole = {"volume", "open_interest"}
+    value = lambda i, n: F.get("_c", F.lit(i)) if n in text else (parse_integer if n in whole else parse_number)(F.get("_c", F.lit(i)))
+    return rows.select(*[c for c in pages.columns if c != html], *[value(i, n).alias(n) for i, n in enumerate(PRICE_COLUMNS)])
+
+
+def points_from_json(raw: DataFrame, column: str = "body") -> DataFrame:
+    """Time series of an interest-rate service, one response a row: {"series": .., "dates": [..], "values": [..]} -> one row a
+    date (series, curve_date, rate); rates come in percent, dates without a value are left out."""
+    p = raw.select(F.from_json(column, "series string, dates array<string>, values array<double>").alias("j"))
+    z = p.select(F.col("j.series").alias("series"), F.inline(F.arrays_zip(F.col("j.dates").alias("d"), F.col("j.values").alias("v"))))
+    return z.where("v is not null").select("series", F.to_date("d").alias("curve_date"), (F.col("v") / 100).alias("rate"))
+
+
+def tickers_from_json(raw: DataFrame, column: str = "body") -> DataFrame:
+    """A universe file, a list of tickers or an object with them under "tickers" or as its keys -> one row a ticker."""
+    text = F.trim(column)
+    listed = F.from_json(text, "array<string>")
+    named = F.from_json(text, "tickers array<string>")["tickers"]
+    keys = F.map_keys(F.from_json(text, "map<string,string>"))
+    return raw.select(F.explode(F.when(text.startswith("["), listed).otherwise(F.coalesce(named, keys))).alias("ticker"))
+
+
+def facts_of_tables(spark: SparkSession, names: list[str]) -> DataFrame:
+    """Rows (name, present, n_rows, n_columns, n_files) of catalog tables."""
+    out = None
+    for name in names:
+        there = spark.catalog.tableExists(name)
+        t = spark.table(name) if there else spark.range(0)
+        row = t.agg(F.lit(name).alias("name"), F.lit(there).alias("present"), F.count("*").alias("n_rows"), F.lit(len(t.columns) if there else 0).alias("n_columns"), F.lit(len(t.inputFiles()) if there else 0).alias("n_files"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def write_report(df: DataFrame, path: str, kind: str = "csv") -> None:
+    """A report as CSV with a header, as JSON lines or as Parquet; a table prints its first rows instead."""
+    if kind == "table":
+        df.show(50, truncate=False)
+    elif kind == "csv":
+        df.write.mode("overwrite").option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+    elif kind in ("json", "parquet"):
+        df.write.mode("overwrite").format(kind).save(path)
+    else:
+        raise ValueError(f"unknown kind of report: {kind}")
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, rows_at_once: int = 500, mode: str = "append", **options) -> None:
+    """Into a database table, so many rows to a statement."""
+    df.write.format("jdbc").mode(mode).options(url=url, dbtable=table, batchsize=str(rows_at_once), **options).save()
+
+
+def rewrite_newest(spark: SparkSession, path: str, to: str, keys: list[str], version: str) -> None:
+    """The newest version of each key of the Parquet table at path, written to another place in fewer, ordered files."""
+    latest_by(spark.read.parquet(path), keys, [F.desc_nulls_last(version)]).sortWithinPartitions(*keys).write.mode("overwrite").parquet(to)
+
+
+def empty(df_path: str, spark: SparkSession) -> None:
+    """Removes a table's rows and keeps its columns."""
+    spark.createDataFrame([], spark.read.parquet(df_path).schema).write.mode("overwrite").parquet(df_path)
+
+
+__all__ = ["empty", "facts_of_tables", "points_from_json", "price_table_from_pages", "rewrite_newest", "tickers_from_json", "write_jdbc", "write_report", "bars_from_json", "chain_from_pages", "latest_on_or_before", "overview_from_pages", "overwrite_partitions", "parse_integer", "read_csv", "read_jdbc", "read_newest_version", "write_as_of", "write_partitioned"]

@@ -33,19 +33,90 @@ def first_snapshots(quotes: DataFrame, keys: list[str], at: str, late: str = "1
     return quotes.withWatermark(at, late).dropDuplicatesWithinWatermark(keys)
 
 
-def keep_newest(path: str, keys: list[str], version: str) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: merges each batch into the Parquet table at path, the newest version of a key winning. The table is
-    written to one of two folders in turn, so the one that is read is not the one that is written."""
+def keep_newest(path: str, keys: list[str], version: str, buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: merges each batch into the table at path, the newest version of a key winning. Keys lie in buckets; a
+    batch reads and writes those that it touches alone, each as a further epoch beside the old one, so a repeated batch writes
+    the same again and nothing is written over that is being read. read_merged() gives the table."""
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        now, then = f"{path}/v{epoch % 2}", f"{path}/v{(epoch + 1) % 2}"
-        old = spark.read.parquet(then) if epoch else batch.limit(0)
-        upsert(old, batch, keys, version).write.mode("overwrite").parquet(now)
+        batch = batch.withColumn("bucket", F.pmod(F.hash(*keys), F.lit(buckets)))
+        touched = [r[0] for r in batch.select("bucket").distinct().collect()]  # at most `buckets` numbers
+        old = batch.limit(0) if not epoch else _newest(batch.sparkSession, path, epoch).where(F.col("bucket").isin(touched)).drop("epoch")
+        rows = upsert(old, batch, keys, version).withColumn("epoch", F.lit(epoch))
+        rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "epoch").parquet(path)
 
     return merge
 
 
+def _newest(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    rows = spark.read.parquet(path)
+    rows = rows if before is None else rows.where(F.col("epoch") < before)
+    newest = rows.groupBy("bucket").agg(F.max("epoch").alias("epoch"))
+    return rows.join(newest, ["bucket", "epoch"], "left_semi")
+
+
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """The table that keep_newest() keeps."""
+    return _newest(spark, path).drop("bucket", "epoch")
+
+
+def keep_states(path: str, keys: list[str], sums: list[str]) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: each batch's counts and sums per key as one epoch of states, so a summary is kept up with every
+    delivery and no row is read again. read_states() adds them up."""
+
+    def add(batch: DataFrame, epoch: int) -> None:
+        states = batch.groupBy(*keys).agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in sums]).withColumn("epoch", F.lit(epoch))
+        states.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path)
+
+    return add
+
+
+def read_states(spark: SparkSession, path: str, keys: list[str], sums: list[str]) -> DataFrame:
+    return spark.read.parquet(path).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", *sums)])
+
+
+CLOSED = "ticker string, trade_id string, entry_ts timestamp, exit_ts timestamp, exit_type string, exit_price double, bars_held int"
+
+
+def closed_trades(events: DataFrame, hold: int = 20) -> DataFrame:
+    """Trades that new bars close, out of a stream of signals and bars (ticker, ts, kind, trade_id, side, target, stop, high, low,
+    close): kind "signal" opens one, each later "bar" of the ticker may reach its target (looked at first) or stop, or the
+    last bar of `hold`. Open trades wait in the state. A ticker's rows count in order of time within each micro-batch."""
+    import json
+
+    import pandas as pd
+
+    def step(key, parts, state):
+        open_ = json.loads(state.get[0]) if state.exists else []
+        out = []
+        for r in pd.concat(list(parts)).sort_values(["ts", "kind"]).itertuples():
+            if r.kind == "signal":
+                open_.append({"id": r.trade_id, "ts": r.ts.isoformat(), "d": 1 if r.side == "LONG" else -1, "target": r.target, "stop": r.stop, "bars": 0})
+                continue
+            still = []
+            for t in open_:
+                if r.ts <= pd.Timestamp(t["ts"]):
+                    still.append(t)
+                    continue
+                t["bars"] += 1
+                best, worst = (r.high, r.low) if t["d"] > 0 else (r.low, r.high)
+                if t["d"] * (best - t["target"]) >= 0:
+                    done = ("TARGET", t["target"])
+                elif t["d"] * (worst - t["stop"]) <= 0:
+                    done = ("STOP", t["stop"])
+                elif t["bars"] >= hold:
+                    done = ("TIME", r.close)
+                else:
+                    still.append(t)
+                    continue
+                out.append((key[0], t["id"], pd.Timestamp(t["ts"]), r.ts, *done, t["bars"]))
+            open_ = still
+        state.update((json.dumps(open_),))
+        yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in CLOSED.split(", ")])
+
+    return events.groupBy("ticker").applyInPandasWithState(step, CLOSED, "open string", "append", "NoTimeout")
+
+
 def run_available(df: DataFrame, checkpoint: str, sink: Callable | None = None, name: str = "bars", mode: str = "append"):
     """Works off all there is and stops; the checkpoint remembers how far it came."""
     w = df.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).outputMode(mode)
