@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, cut
+from tidemark.llm.common import components, cut, stored
 
 SHINGLE, SEED, RADIUS, SEGMENTS = 4, 42, 4, 3
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -47,14 +47,19 @@ def simhash(text: str | None, k: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
-    """Rows (id, fp): fp is the fingerprint's 64 bits as a signed long. One row per input row, null texts as empty."""
+    """Rows (id, key, fp): fp is the fingerprint's 64 bits as a signed long, key a digest of id and text. One row per input
+    row, null texts as empty."""
 
     def run(batches):
         for b in batches:
-            fps = np.fromiter((simhash(t, k) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            fps = np.fromiter((simhash(t, k) for t in b.column(2).to_pylist()), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], names=["id", "key", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("id"), row_key(id_col, text_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, key long, fp long")
+
+
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    return F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("key")
 
 
 def hex16(fp: Column) -> Column:
@@ -84,16 +89,30 @@ def hamming_links(prints: DataFrame, radius: int = RADIUS, segments: int = SEGME
     return probes.join(table, near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+NAMELESS = 1 << 62
+
+
+def grouped(docs: DataFrame, name: Column, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """Rows (id, key, fp, component), one per input row. Each fingerprint has a name, an aggregate of its rows' (id, key, fp);
+    a component has the smallest of its fingerprints' names."""
+    rows = cut(fingerprints(docs, id_col, text_col, k))
+    prints = cut(rows.groupBy("fp").agg(name.alias("rep")))
+    found = components(hamming_links(prints, radius))
+    named = prints.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component"))
+    return rows.join(named, "fp").select("id", "key", "fp", "component")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row (id, fp, component) per input row; component is the smallest id whose text is reachable by links.
 
-    Null or empty texts share fingerprint 0. Repeated rows stay repeated. A null id gets a component but names none.
+    Null or empty texts share fingerprint 0. Repeated rows stay repeated. A null id gets a component but names none: where no
+    row of a component has an id, the component is null. An empty table gives an empty one; other columns are not read.
+
+    Fingerprints of rows without an id are named by a number from NAMELESS on, over every id; two that share such a number
+    differ in two bits at most, so they are linked anyway.
     """
-    rows = cut(fingerprints(docs, id_col, text_col, k))
-    prints = cut(rows.groupBy("fp").agg(F.min("id").alias("rep")))
-    found = components(hamming_links(prints.where("rep is not null"), radius))
-    named = prints.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component"))
-    return rows.join(named, "fp").select("id", "fp", "component")
+    name = F.coalesce(F.min("id"), F.lit(NAMELESS) + F.shiftrightunsigned(F.first("fp"), 2))
+    return grouped(docs, name, id_col, text_col, k, radius).select("id", "fp", F.when(F.col("component") < NAMELESS, F.col("component")).alias("component"))
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
@@ -103,9 +122,24 @@ def op4_simhash(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents that stand for their group: the one with the smallest doc_id. Rows without an id are left out;
-    of rows that share an id, one stays."""
-    found = cut(near_duplicates(docs))
-    ids = found.where("id = component").groupBy("id").agg(F.count("*").alias("n"))
-    kept = docs.join(ids.select("id"), docs["doc_id"] == ids["id"], "left_semi")
-    return kept.dropDuplicates(["doc_id"]) if ids.where("n > 1").limit(1).count() else kept
+    """One document of each group: the one of the smallest doc_id, of equal ids the one of the smallest key, documents without
+    an id only where no document of the group has one. Of rows equal in id and text one stays.
+
+    Only ids and keys are grouped; the rows to leave out, the smaller part, are taken away from docs by their keys."""
+    found = cut(grouped(docs, F.min("fp")).groupBy("id", "key", "component").agg(F.count("*").alias("n")))
+    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "key"))
+    kept = found.groupBy("component").agg(first.alias("f")).select("f.key")
+    dropped = found.join(kept, "key", "left_anti").select("key").distinct()
+    out = _without(docs, stored(dropped))
+    repeated = stored(found.where("n > 1").select("key").distinct())
+    if not repeated.limit(1).count():
+        return out
+    return _without(out, repeated).unionByName(_within(out, repeated).dropDuplicates(["doc_id", "text"]))
+
+
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    return docs.join(keys.withColumnRenamed("key", "_key"), row_key() == F.col("_key"), "left_anti")
+
+
+def _within(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    return docs.join(keys.withColumnRenamed("key", "_key"), row_key() == F.col("_key"), "left_semi")
