@@ -4,8 +4,10 @@ Every whole text becomes a short vector of byte-class shares, word and line stat
 the non-negative unbiased risk: trusted positives, unlabelled web text, and a class prior estimated from how often a
 labelled-versus-unlabelled classifier recognises held-back positives. Rows labelled negative are never used.
 
-The fit takes at most FIT_ROWS positives and FIT_ROWS unlabelled vectors, those with the smallest hashed ids; scoring
-covers all rows. Without any trusted positive every score is the default prior.
+The fit takes at most FIT_ROWS positives and FIT_ROWS unlabelled documents, those with the smallest hashed ids, each id once
+(with its smallest vector where ids repeat); scoring covers all rows. Rows and labels without an id are scored but not
+learned from. Null and empty texts have the vector of an empty text. Without any trusted positive every score is the default
+prior, and keep_good() keeps every document. Ties at the threshold are kept; other columns are not read.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod, stored, table
+from tidemark.llm.common import crc_mod, cut, table
 
 FIT_ROWS, HIDDEN, EPOCHS, BATCH, RATE, DEFAULT_PRIOR, THRESHOLD = 20_000, 24, 60, 512, 0.01, 0.5, 0.7
 HELD_MOD, HELD = 4, 2
@@ -159,46 +161,57 @@ def predict(model: dict | None, x: np.ndarray) -> np.ndarray:
     return sigmoid(np.tanh(x @ w + b) @ v + c[0])
 
 
-def learn(vecs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict | None:
-    """Model from vectors (id, x) and labels (doc_id, quality): trusted are ids labelled 1 outside the held-out part."""
-    trusted = labels.where((F.col("quality") == 1) & (crc_mod(F.col("doc_id"), HELD_MOD) != HELD)).select(F.col("doc_id").alias("id")).distinct()
-    open_rows = vecs.where(F.col("id").isNotNull() & (crc_mod(F.col("id"), HELD_MOD) != HELD))
+def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict | None:
+    """Model from docs and labels (doc_id, quality): trusted are ids labelled 1 outside the held-out part. The ids are chosen
+    first, so features are worked out for the chosen documents alone."""
+    trusted = labels.where((F.col("quality") == 1) & (crc_mod(F.col("doc_id"), HELD_MOD) != HELD)).select(F.col("doc_id").cast("long").alias("id")).distinct()
+    ids = docs.select(F.col("doc_id").cast("long").alias("id")).where(F.col("id").isNotNull() & (crc_mod(F.col("id"), HELD_MOD) != HELD)).distinct()
 
-    def sample(df: DataFrame) -> np.ndarray:
-        rows = df.orderBy(F.xxhash64(F.col("id")), "x").limit(fit_rows).select("x").toArrow()
-        return np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(-1, WIDTH).astype(np.float64)
+    def sample(of: DataFrame) -> DataFrame:
+        return of.orderBy(F.xxhash64("id"), "id").limit(fit_rows)
 
-    pos, unl = sample(open_rows.join(trusted, "id", "left_semi")), sample(open_rows)
-    return fit(pos, unl) if len(pos) and len(unl) else None
+    chosen = [cut(sample(x)).withColumn("positive", F.lit(p)) for x, p in ((ids.join(trusted, "id", "left_semi"), True), (ids, False))]
+    kinds = chosen[0].unionByName(chosen[1]).groupBy("id").agg(F.collect_set("positive").alias("kinds"))  # at most 2 * fit_rows ids, two kinds each
+    mine = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(kinds.withColumnRenamed("id", "_id")), F.col("doc_id") == F.col("_id"), "left_semi")
+    vecs = vectors(mine).groupBy("id").agg(F.min("x").alias("x"))
+    rows = vecs.join(F.broadcast(kinds), "id").select("x", F.explode("kinds").alias("positive")).orderBy("x").toArrow()
+    every = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(-1, WIDTH).astype(np.float64)
+    is_pos = np.array(rows["positive"].to_pylist(), bool)
+    pos, unl = every[is_pos], every[~is_pos]
+    rng = np.random.default_rng(3)
+    return fit(rng.permutation(pos), rng.permutation(unl)) if len(pos) and len(unl) else None
 
 
-def scored(vecs: DataFrame, model: dict | None) -> DataFrame:
-    """Rows (id, score), one per vector."""
+def scored(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (id, score), one per input row."""
 
     def run(batches):
         for b in batches:
-            x = np.frombuffer(b"".join(b.column(1).to_pylist()), np.float32).reshape(-1, WIDTH)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(predict(model, x))], names=["id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(predict(model, matrix(b.column(1))))], names=["id", "score"])
 
-    return vecs.select("id", "x").mapInArrow(run, "id long, score double")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, score double")
+
+
+def matrix(texts) -> np.ndarray:
+    return np.array([features(t) for t in texts.to_pylist()], np.float32).reshape(-1, WIDTH)
 
 
 def op8_quality(spark, sf_dir: str) -> DataFrame:
-    vecs = stored(vectors(table(spark, sf_dir, "documents")))
-    out = scored(vecs, learn(vecs, table(spark, sf_dir, "labels")))
+    docs = table(spark, sf_dir, "documents")
+    out = scored(docs, learn(docs, table(spark, sf_dir, "labels")))
     held = F.coalesce(crc_mod(F.col("id"), HELD_MOD) == HELD, F.lit(False))
     return out.select(F.col("id").alias("doc_id"), held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without those that score under THRESHOLD; all columns as they were. The texts are scored where they are read,
-    so they are not shuffled."""
-    model = learn(stored(vectors(docs)), labels)
-    names = docs.columns
+    so they are not shuffled. Where nothing can be learned, nothing is rejected."""
+    model, at = learn(docs, labels), docs.columns.index("text")
+    if model is None:
+        return docs
 
     def run(batches):
         for b in batches:
-            x = np.vstack([features(t) for t in b.column(names.index("text")).to_pylist()]) if b.num_rows else np.zeros((0, WIDTH), np.float32)
-            yield b.filter(pa.array(predict(model, x) >= THRESHOLD))
+            yield b.filter(pa.array(predict(model, matrix(b.column(at))) >= THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)
