@@ -1,18 +1,20 @@
 """WARC archives with payload deduplication, and one globally ordered index of their captures.
 
-Writing: Spark's text writer puts one record a row, the record separator being its line separator, in gzip files of at most
-FILE_RECORDS records. Reading: archives are parsed record by record by their lengths. Index: each task sorts the captures
-that it reads into a run; ranges of (URL key, time, record) are dealt out, and a loser tree merges each range's runs, so
-the parts in order are one ordered history, and a host that holds most captures is still cut into many ranges.
+Writing: ids and digests are grouped apart from the payloads, which are not shuffled: each row learns from the small table of
+revisits whether it is one. Spark's text writer puts one record a row, the record separator being its line separator, in gzip
+files of at most FILE_BYTES: pages of up to SMALL_BYTES lie FILE_RECORDS to a file, larger ones so many as fit by the largest.
+Reading: archives are parsed record by record by their lengths. Index: each task sorts the captures that it reads into a run;
+ranges of (URL key, time, record) are dealt out, and a loser tree merges each range's runs, so the parts in order are one
+ordered history, and a host that holds most captures is still cut into many ranges.
 
 A null payload is an empty one; a null URL gives an empty key; rows without an id are written but refer to nothing and are
-referred to by nothing; repeated rows with the smallest id are all responses.
+referred to by nothing; rows that repeat the smallest id of a payload are all responses; an empty table gives no archive's
+records. Other columns are not read. An archive that ends within a record is an error.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 import zlib
 from urllib.parse import urlsplit
 
@@ -21,32 +23,37 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shared_dir, stored, table
+from tidemark.llm.common import scratch, stored, table
 
-LEAST_BYTES, FILE_RECORDS = 100, 1000
+LEAST_BYTES, FILE_RECORDS, SMALL_BYTES, FILE_BYTES = 100, 1000, 1 << 18, 1 << 28
 NO_TIME = "1970-01-01T00:00:00Z"
 URN = "urn:capture:"
 RUN_SCHEMA = "url_key string, captured string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, archive string, offset long, length long, run long, place long"
 INDEX_SCHEMA = RUN_SCHEMA.rsplit(", run", 1)[0]
 
 
-def decided(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", time_col: str | None = None, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """Rows (page_id, url, captured, html, payload_bytes, payload_digest, first): first is the smallest id of those with an
-    equal payload of at least least_bytes, null for smaller ones. Ids and digests are grouped apart from the payloads."""
+def decided(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", time_col: str | None = None, least_bytes: int = LEAST_BYTES) -> tuple[DataFrame, int]:
+    """Rows (page_id, url, captured, html, payload_bytes, payload_digest, first), first being the smallest id of those with an
+    equal payload of at least least_bytes, null where that is the row's own id or the payload is smaller; and the bytes of the
+    largest payload."""
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
         F.regexp_replace(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"[\r\n]", "").alias("url"),
         (F.date_format(F.col(time_col), "yyyy-MM-dd'T'HH:mm:ss'Z'") if time_col else F.lit(NO_TIME)).alias("captured"),
         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"),
     ).withColumns({"payload_bytes": F.octet_length("html").cast("long"), "payload_digest": F.sha2("html", 256)})
-    firsts = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(F.min("page_id").alias("first"))
-    return rows.join(firsts, "payload_digest", "left")
+    known = stored(rows.select("page_id", "payload_bytes", "payload_digest"))
+    largest = known.agg(F.max("payload_bytes")).first()[0] or 0
+    shared = known.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).where("first < last")
+    # the digests that ids share are a part of all; an id that comes twice with two payloads keeps both
+    revisits = stored(known.join(shared, "payload_digest").where("page_id <> first").select("page_id", "payload_digest", "first").distinct())
+    return rows.join(revisits, ["page_id", "payload_digest"], "left"), largest
 
 
 def record(row: DataFrame) -> Column:
     """Header and block of one row's record, without the separator that ends it."""
     line = lambda name, value: F.concat(F.lit(name + ": "), value, F.lit("\r\n"))
-    revisit = F.col("first") != F.col("page_id")
+    revisit = F.col("first").isNotNull()
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"), line("Content-Length", F.col("payload_bytes").cast("string")), F.lit("\r\n"))
     block = F.when(revisit, http).otherwise(F.concat(http, F.col("html")))
     urn = lambda c: F.concat(F.lit(f"<{URN}"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
@@ -65,8 +72,14 @@ def record(row: DataFrame) -> Column:
 
 def write(pages: DataFrame, path: str, **columns) -> None:
     """Archives of pages at path."""
-    rows = decided(pages, **columns)
-    rows.select(record(rows).alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    rows, largest = decided(pages, **columns)
+
+    def put(part: DataFrame, records: int, mode: str) -> None:
+        part.select(record(part).alias("value")).write.mode(mode).option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
+
+    put(rows.where(F.col("payload_bytes") <= SMALL_BYTES), FILE_RECORDS, "error")
+    if largest > SMALL_BYTES:
+        put(rows.where(F.col("payload_bytes") > SMALL_BYTES), max(1, FILE_BYTES // largest), "append")
 
 
 def inflate(data: bytes) -> bytes:
@@ -83,19 +96,19 @@ def inflate(data: bytes) -> bytes:
 
 
 def records(data: bytes):
-    """(headers, block, offset, length) of each record of an archive; a cut last record is left out."""
+    """(headers, block, offset, length) of each record of an archive."""
     at = 0
     while (at := data.find(b"WARC/", at)) >= 0:
         end = data.find(b"\r\n\r\n", at)
         if end < 0:
-            return
+            raise ValueError(f"the archive ends within the record at {at}")
         headers = {}
         for part in data[at:end].split(b"\r\n")[1:]:
             name, _, value = part.partition(b":")
             headers[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
         stop = end + 4 + int(headers.get("content-length", 0))
         if stop > len(data):
-            return
+            raise ValueError(f"the archive ends within the record at {at}")
         yield headers, data[end + 4 : stop], at, stop - at
         at = stop
 
@@ -148,7 +161,6 @@ def runs(spark, path: str) -> DataFrame:
             run = TaskContext.get().partitionId() * 1_000_000 + nth
             yield batch([(*c, run, i) for i, c in enumerate(found)], RUN_TYPES)
 
-    # archives are large: few at a time
     return files.mapInArrow(parse, RUN_SCHEMA)
 
 
@@ -232,7 +244,7 @@ def index(spark, path: str) -> DataFrame:
 
 
 def op10_warc(spark, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    path = scratch(spark, "warc")
     write(table(spark, sf_dir, "pages"), path)
     return index(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
