@@ -3,10 +3,14 @@
 Words are merged in batches over a segment tree: leaf i of a word holds the rank of the pair (symbol i, next symbol) and
 its place, so the root is the leftmost pair of the lowest rank. Each merge rewrites one symbol and at most three leaves and
 repairs their paths to the root, until no mergeable pair remains. The trees of all new words of a batch are rows of one
-array, so each step works on all of them at once. A bounded two-generation cache keeps the ids of words seen before.
+array, so each step works on all of them at once; where few words share a length, such as very long ones, each has a tree of
+plain numbers, the same tree in the same order. A bounded two-generation cache keeps the ids of words seen before.
 
 Normalisation and splitting follow the vocabulary's file: canonical composition, white space to single blanks, lower case;
 contractions, letter runs, single digits and mark runs are words; special tokens are cut out first.
+
+Null and empty texts give no ids; repeated rows give equal ids; a null id stays; an empty table gives an empty one; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 150_000
+CACHE_WORDS, FEW = 150_000, 12
 LONG = np.iinfo(np.int64).max
 PLACE = 1 << 32
 
@@ -97,6 +101,9 @@ class Codec:
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.pairs = PairTable(np.array([vocab[a] for a, _ in merges]), np.array([vocab[b] for _, b in merges]))
         self.merged = np.array([vocab[a + b] for a, b in merges], np.int64)
+        self.ranks: dict[int, int] = {}
+        for rank, (a, b) in enumerate(merges):
+            self.ranks.setdefault(vocab[a] << 20 | vocab[b], rank)
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
         self.controls = re.compile("[\x1c-\x1f]").search  # blanks to str.split(), marks to the vocabulary
         self.cut = re.compile("|".join(map(re.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
@@ -125,6 +132,10 @@ class Codec:
         for i, r in enumerate(raw):
             groups.setdefault(max(1, (len(r) - 1).bit_length()), []).append(i)
         for level, members in groups.items():
+            if len(members) < FEW:
+                for i in members:
+                    out[i] = self._merge_one(raw[i], 1 << level)
+                continue
             step = max(1, (1 << 20) >> level)
             for a in range(0, len(members), step):
                 part = members[a : a + step]
@@ -169,6 +180,41 @@ class Codec:
         ids, ends = list(map(self.ints.__getitem__, sym[keep].tolist())), np.cumsum(keep.sum(1)).tolist()
         return [tuple(ids[a:b]) for a, b in zip([0, *ends], ends)]
 
+    def _merge_one(self, raw: bytes, width: int) -> tuple[int, ...]:
+        """One word's tree in plain numbers; -1 links to the word's ends."""
+        n, ranks = len(raw), self.ranks
+        sym = [*self.inner[list(raw[:-1])].tolist(), int(self.last[raw[-1]])] if n else []
+        nxt, prv = [*range(1, n), -1], list(range(-1, n - 1))
+        tree = [LONG] * (2 * width)
+
+        def key(i: int, j: int) -> int:
+            rank = ranks.get(sym[i] << 20 | sym[j]) if sym[i] >= 0 <= sym[j] else None
+            return LONG if rank is None else rank * PLACE + i
+
+        def leaf(i: int, value: int) -> None:
+            node = i + width
+            tree[node] = value
+            while node > 1:
+                node >>= 1
+                a, b = tree[2 * node], tree[2 * node + 1]
+                tree[node] = a if a < b else b
+
+        tree[width : width + n - 1] = [key(i, i + 1) for i in range(n - 1)]
+        for node in range(width - 1, 0, -1):
+            tree[node] = min(tree[2 * node], tree[2 * node + 1])
+        while tree[1] < LONG:
+            rank, at = divmod(tree[1], PLACE)
+            gone = nxt[at]
+            after, before = nxt[gone], prv[at]
+            sym[at], sym[gone], nxt[at] = int(self.merged[rank]), -1, after
+            leaf(gone, LONG)
+            if after >= 0:
+                prv[after] = at
+            leaf(at, key(at, after) if after >= 0 else LONG)
+            if before >= 0:
+                leaf(before, key(before, at))
+        return tuple(x for x in sym if x >= 0)
+
     def _key(self, left, right, place, there):
         rank = self.pairs(left, right)
         return np.where((rank < NO_PAIR) & (left >= 0) & (right >= 0) & there, rank * PLACE + place, LONG)
