@@ -39,6 +39,12 @@ def test_neighbours_against_brute_force(spark):
     assert neighbours.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_neighbours_of_huge_and_tiny_vectors(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1e200]), (3, [1e-200, 0.0]), (4, [2e-200, 0.0]), (5, [5e-324, 0.0]), (6, [1.7e308, -1.7e308]), (7, [1.0, -1.0]), (8, [float("inf"), 1.0])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["audited_recall"]) for r in neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (1, 1, 1.0), 2: (1, 1, 1.0), 3: (2, 3, 1.0), 4: (2, 3, 1.0), 5: (2, 3, 1.0), 6: (1, 6, 1.0), 7: (1, 6, 1.0), 8: (0, 8, 1.0)}
+
+
 def test_components_of_chains_stars_and_nothing(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(7, i) for i in range(200, 260)]
@@ -69,6 +75,21 @@ def test_warc_round_trip_and_order(spark, tmp_path):
     assert warc.index(spark, empty).count() == 0
 
 
+def test_warc_large_pages_lie_in_files_of_their_own(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 1_500_000)
+    big = [(i, f"u{i}", chr(97 + i % 3) * (600_000 + i % 3)) for i in range(6)]
+    pages = spark.createDataFrame([*big, (9, "s", "y" * 120), (9, "s", "y" * 120), (9, "t", "z" * 130), (10, "t", "z" * 130)], PAGES).coalesce(1)
+    path = str(tmp_path / "w")
+    warc.write(pages, path)
+    sizes = [sum(1 for _ in warc.records(warc.inflate(f.read_bytes()))) for f in (tmp_path / "w").glob("*.gz")]
+    assert sum(sizes) == 10 and sorted(sizes) == [2, 2, 2, 4]
+    out = sorted((r["page_id"], r["record_type"], -1 if r["refers_to"] is None else r["refers_to"]) for r in warc.index(spark, path).collect())
+    assert out == [(0, "response", -1), (1, "response", -1), (2, "response", -1), (3, "revisit", 0), (4, "revisit", 1), (5, "revisit", 2), (9, "response", -1), (9, "response", -1), (9, "response", -1), (10, "revisit", 9)]
+    whole = next((tmp_path / "w").glob("*.gz")).read_bytes()
+    with pytest.raises(ValueError, match="ends within"):
+        list(warc.records(warc.inflate(whole)[:-20]))
+
+
 @pytest.mark.parametrize("k", [0, 1, 2, 3, 7, 64])
 def test_loser_tree_sorts(k):
     rng = random.Random(k)

@@ -4,12 +4,14 @@ Equal vectors collapse to one representative first. A neighbour graph starts fro
 of bounded size, and is refined: each vector's forward and reverse neighbours are compared with one another where at least
 one of the two is new to the list, and better ones replace worse ones, until few lists change. Pairs at or over the threshold
 are links. A list that is full of links is saturated and may lack some: it is enlarged to all members of its component, which
-are compared block by block and counted without being listed. An audit compares a fixed set of vectors with all rows; if it
-finds links that the graph lacks, further rounds start from other hyperplanes.
-
-Cosines are worked out in double precision from the vectors as given. Null vectors, zero vectors and vectors with null or
-non-finite parts link with nothing; vectors of different lengths do not link; rows without an id are left out; repeated ids
-count once, with their smallest vector.
+are compared block by block and counted without being listed. An audit compares a fixed set of vectors with all rows; if it finds links that the
+graph lacks, further rounds start from other hyperplanes. The share of the audited links that was found is a column of the
+result; a warning is logged where it stays under RECALL.
+
+Cosines are worked out in double precision from the vectors as given, each first divided by a power of two, so that neither
+huge nor tiny ones leave the range. Null vectors, zero vectors and vectors with null or non-finite parts link with nothing;
+vectors of different lengths do not link; rows without an id are left out; repeated ids count once, with their smallest
+vector; an empty table gives an empty one; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import components, cut, stored, table
 
 THRESHOLD, LIST, CHUNK, PLANES, REVERSE = 0.9, 10, 128, 8, 40
-DESCENTS, CHANGED, ROUNDS, AUDITED, RECALL, BLOCK = 8, 0.002, 4, 256, 0.999, 512
+DESCENTS, CHANGED, ROUNDS, AUDITED, RECALL, BLOCK = 8, 0.002, 6, 256, 0.999, 512
+DEALT = 8
 LOG = logging.getLogger(__name__)
 PAIRS = "u long, v long, sim double"
 
@@ -82,9 +85,8 @@ def prepared(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
             xs = []
             for i in range(b.num_rows):
                 v = flat[ends[i] : ends[i + 1]]
-                with np.errstate(over="ignore"):
-                    norm = float(np.dot(v.astype(np.float64), v.astype(np.float64))) if ok[i] and len(v) else 0.0
-                xs.append(wide + v.tobytes() if 0 < norm < np.inf else None)
+                top = np.abs(v).max() if ok[i] and len(v) else 0.0  # not a number if one part is none
+                xs.append(wide + np.ldexp(v, -int(np.frexp(top)[1])).tobytes() if 0 < top < np.inf else None)
             ds = [x and hashlib.blake2b(x, digest_size=16).digest() for x in xs]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ds, pa.binary()), pa.array(xs, pa.binary())], names=["id", "d", "x"])
 
@@ -141,8 +143,9 @@ def descend(vectors: DataFrame, graph: DataFrame, size: int) -> DataFrame:
     both = graph.select("u", "v", "new").unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "new")).groupBy("u", "v").agg(F.max("new").alias("new"))
     around = both.groupBy("u").agg(F.max("new").alias("any"), F.ceil(F.count("*") / (size + REVERSE)).cast("int").alias("n")).where("any")
     members = both.join(around, "u").select("u", F.pmod(F.xxhash64("u", "v"), F.col("n")).cast("int").alias("part"), "n", "v", "new")
-    # a hub's list is dealt to several groups; what is new goes to each of them, so that it meets all
-    spread = members.withColumn("part", F.explode(F.when(F.col("new") & (F.col("n") > 1) & (F.col("n") <= 8), F.sequence(F.lit(0), F.col("n") - 1)).otherwise(F.array("part"))))
+    # a hub's list is dealt to several groups; what is new goes to DEALT of them, so it meets all of a list of so many groups
+    more = F.transform(F.sequence(F.lit(0), F.least(F.col("n"), F.lit(DEALT)) - 1), lambda i: (F.col("part") + i) % F.col("n"))
+    spread = members.withColumn("part", F.explode(F.when(F.col("new") & (F.col("n") > 1), more).otherwise(F.array("part"))))
     lows = graph.groupBy("u").agg(F.when(F.count("*") >= size, F.min("sim")).otherwise(F.lit(-2.0)).alias("low")).withColumnRenamed("u", "id")
     known = vectors.select("id", "x").join(lows, "id", "left").withColumnRenamed("id", "v")
     joined = spread.join(known, "v").select(F.xxhash64("u", "part").alias("g"), F.col("v").alias("id"), "x", F.coalesce("low", F.lit(-2.0)).alias("low"), "new")
@@ -228,13 +231,13 @@ def audit(vectors: DataFrame, threshold: float, queries: int = AUDITED) -> DataF
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD, size: int = LIST) -> DataFrame:
-    """One row (vec_id, n_links, component_id, kept) per id."""
+    """One row (vec_id, n_links, component_id, kept, audited_recall) per id."""
     full = stored(prepared(rows, id_col, vec_col))
     every = cut(full.groupBy("id").agg(F.min("d").alias("d")))
     groups = full.where("d is not null").join(every, ["id", "d"], "left_semi").groupBy("d").agg(F.min("id").alias("id"), F.count_distinct("id").alias("m"), F.min("x").alias("x"))
     vectors = stored(groups)
     n = vectors.count()
-    graph, links, named, counted = None, None, None, None
+    graph, links, named, counted, recall = None, None, None, None, 1.0
     for round_ in range(ROUNDS if n else 0):
         graph = neighbour_graph(vectors, n, 1000 + round_, size, graph if graph is None else graph.drop("new"))
         near = graph.where(F.col("sim") >= threshold)
@@ -253,10 +256,14 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         truth = audit(vectors, threshold).groupBy(F.col("u").alias("id")).agg(F.sum("m").alias("true"))
         there, have = truth.join(counted, "id", "left").agg(F.coalesce(F.sum("true"), F.lit(0)), F.coalesce(F.sum(F.least("true", F.coalesce("links", F.lit(0)))), F.lit(0))).first()
         LOG.info("round %d: %d of %d audited links found", round_, have, there)
-        if have >= RECALL * there:
+        recall = have / there if there else 1.0
+        if recall >= RECALL:
             break
+    else:
+        if n:
+            LOG.warning("%.4f of the audited links were found", recall)
     if named is None:
-        return every.select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+        return every.select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"), F.lit(1.0).alias("audited_recall"))
     result = (
         vectors.select("d", F.col("id").alias("rep"), "m")
         .join(named.withColumnRenamed("id", "rep"), "rep", "left")
@@ -264,7 +271,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         .select("d", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
     )
     out = every.join(result, "d", "left").select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return out.withColumns({"kept": F.col("vec_id") == F.col("component_id"), "audited_recall": F.lit(float(recall))})
 
 
 def op1_neighbours(spark, sf_dir: str) -> DataFrame:
