@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -79,6 +80,17 @@ def test_near_duplicates_of_clashing_names_repeats_and_none(spark):
     assert sorted((r["id"] or -1, r["component"]) for r in simhash.near_duplicates(nulls).collect()) == [(-1, 3), (3, 3), (4, 4)]
 
 
+def test_keep_one_loses_no_group(spark):
+    far = ["alpha beta gamma delta one", "quite other words stand here", "and a third text of its own kind", "the last one is unlike them all"]
+    rows = [(7, far[0]), (None, far[0]), (None, far[1]), (None, far[1]), (5, far[2]), (5, far[3]), (5, far[3]), (9, far[3]), (8, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("clash")).withColumn("component", F.lit(1))
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"] or -1), r["text"] or "") for r in kept.collect()) == sorted([(7, far[0]), (-1, far[1]), (5, far[2]), (5, far[3]), (8, "")])
+    assert [r["component"] for r in simhash.near_duplicates(docs.where("doc_id is null and text <> ''")).collect()] == [None] * 3
+    assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
 def test_hamming_links_reach_every_distance(spark):
     base = 0x0123456789ABCDEF
     fps = [base] + [base ^ sum(1 << ((s * 7 + 11 * j) % 64) for j in range(k)) for s in range(9) for k in (1, 3, 4, 5, 6)]
@@ -125,6 +137,23 @@ def test_bpe_merges_like_a_plain_loop():
             i = best[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         assert [codec.tokens[i] for i in ids] == parts
+        width = 1 << max(1, (len(word.encode()) - 1).bit_length())
+        assert codec._merge_one(word.encode(), width) == ids == codec._merge([word.encode()] * 2, width)[1]
+
+
+def test_bpe_of_very_long_words_odd_rows_and_none(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    reference = tokenizers.Tokenizer.from_file(bpe.vocabulary())
+    rng = random.Random(13)
+    long = "".join(rng.choices("etaoinshrdlu", k=60_000))
+    docs = documents(spark, [long, "same", None]).unionByName(documents(spark, ["same"], 1)).withColumn("ids", F.lit("clash")).withColumn("decoded", F.lit(1))
+    docs = docs.unionByName(docs.where("doc_id = 1").withColumn("doc_id", F.lit(None).cast("long")))
+    rows = bpe.encode(docs).collect()
+    assert len(rows) == 6
+    for r in rows:
+        text = {0: long, 1: "same", 2: "", None: "same"}[r["doc_id"]]
+        assert list(r["ids"]) == reference.encode(text, add_special_tokens=False).ids
+    assert bpe.digests(docs.limit(0)).count() == 0
 
 
 # HTML
@@ -449,6 +478,16 @@ def model_by_hand(words, counts, seed):
     return vocab, weights, probability
 
 
+def test_language_model_splits_at_blanks_alone():
+    texts = ["  A b\t\x0bC\u00a0d ", None, "", "x\x1cy É", " \n ", "one"]
+    words, sizes = language_model.split(pa.array(texts))
+    want = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    assert words.to_pylist() == [w for ws in want for w in ws] and sizes.tolist() == [len(ws) for ws in want]
+    assert language_model.split(pa.array(texts).slice(3, 2))[0].to_pylist() == want[3]
+    runs = list(language_model.parts(pa.array(["a" * 30, None, "b", "c" * 500, "d"]), 40))
+    assert [(a, len(t)) for a, t in runs] == [(0, 3), (3, 2)] and not list(language_model.parts(pa.array([], pa.string())))
+
+
 def test_language_model_probabilities_sum_to_one():
     end = language_model.END
     words, counts = [end] + [b"w%d" % i for i in range(2300)], [2301 - i for i in range(2301)]
@@ -468,7 +507,7 @@ def test_language_model_scores_like_plain_sums(spark):
     rows = language_model.scored_rows(documents(spark, texts), sc.broadcast(vocab), sc.broadcast(weights)).collect()
     known, total = set(words), sum(counts)
     for r in rows:
-        tokens = language_model.words_of(texts[r["doc_id"]])
+        tokens = [w.lower().encode() for w in (texts[r["doc_id"]] or "").split()] + [language_model.END]
         before = [None, None, None, *tokens]
         want, base = 0.0, 0.0
         for i, w in enumerate(tokens):
@@ -490,13 +529,13 @@ def test_language_model_contexts_tell_rare_words_and_word_pairs_apart():
     lex = language_model.Lexicon(language_model.Vocabulary([end], [1], 1, 1, {language_model.tail_class(end): (1, 1)}))
 
     def last_features(*docs):
-        ids, sizes = lex.look([[*d, end] for d in docs])
+        ids, sizes = lex.look(pa.array(docs))
         near = language_model.contexts_of(language_model.contexts(lex.cols[ids][:, 0], sizes))
         return np.stack(language_model.features(0, near, np.zeros(len(ids), np.int64)), 1)[np.cumsum(sizes) - 1]
 
-    a, b = last_features([b"one-same"], [b"two-same"])  # words of one tail class
+    a, b = last_features("one-same", "two-same")  # words of one tail class
     assert a[0] != b[0]
-    both, first, second = last_features([b"one", b"two"], [b"six", b"two"], [b"one", b"six"])
+    both, first, second = last_features("one two", "six two", "one six")
     assert ((both != first) & (both != second)).any()  # a feature of the last two words together
 
 
@@ -526,16 +565,53 @@ def test_quality_on_held_out_labels(spark):
     truth = [rng.random() < 0.8 for _ in range(900)]
     docs = documents(spark, [good() if y else bad() for y in truth] + ["", None])
     labels = spark.createDataFrame([(i, int(y), 0) for i, y in enumerate(truth)], "doc_id long, quality int, toxic int")
-    vecs = quality.vectors(docs)
-    model = quality.learn(vecs, labels)
-    rows = {r["id"]: r["score"] for r in quality.scored(vecs, model).collect()}
+    model = quality.learn(docs, labels)
+    rows = {r["id"]: r["score"] for r in quality.scored(docs, model).collect()}
     held = [i for i in range(900) if zlib.crc32(str(i).encode()) % 4 == 2]
     right = sum((rows[i] >= 0.7) == truth[i] for i in held)
     assert right / len(held) > 0.95 and all(0 <= s <= 1 for s in rows.values()) and len(rows) == 902
     kept = quality.keep_good(docs, labels)
     assert kept.columns == docs.columns
-    assert quality.learn(vecs, labels.limit(0)) is None and quality.scored(vecs, None).agg(F.max("score")).first()[0] == 0.5
-    assert quality.scored(quality.vectors(docs.limit(0)), model).count() == 0
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, s in rows.items() if s >= quality.THRESHOLD}
+    assert quality.learn(docs, labels.limit(0)) is None and quality.scored(docs, None).agg(F.max("score")).first()[0] == 0.5
+    assert quality.keep_good(docs, labels.limit(0)).count() == 902  # nothing learned, nothing rejected
+    assert quality.scored(docs.limit(0), model).count() == 0
+    odd = docs.unionByName(docs.limit(3)).unionByName(spark.createDataFrame([(None, "no id here", "en", "s", 1)], DOCS)).withColumn("id", F.lit("clash")).withColumn("x", F.lit(0))
+    assert quality.scored(odd, quality.learn(odd, labels.unionByName(labels.limit(5)))).count() == 906
+
+
+def test_quality_features_and_network_by_hand():
+    import numpy as np
+
+    text = "One two two. | A9\nOne two\nOne two"
+    x = quality.features(text)
+    raw = text.encode()
+    shares = np.sqrt(np.bincount(quality.KINDS[list(raw)], minlength=quality.N_KINDS) / len(raw))
+    words, lines = text.split(), text.split("\n")
+    lengths = [len(w) for w in words]
+    counts = Counter(words)
+    pairs = sum(a == b for a, b in zip(words, words[1:]))
+    rest = [math.log1p(len(words)), math.log1p(len(text)), np.mean(lengths), np.std(lengths), math.log1p(max(lengths)), len(counts) / len(words), pairs / len(words), max(counts.values()) / len(words), sum(sorted(counts.values())[-3:]) / len(words), math.log1p(3), len("One two") / sum(map(len, lines)), sum(w.isupper() for w in words) / len(words), sum(w.isalpha() for w in words) / len(words)]
+    assert np.allclose(x, np.concatenate([shares, rest]), atol=1e-5)
+    assert np.isfinite(quality.features(None)).all() and (quality.features(None) == quality.features("")).all()
+    rng = np.random.default_rng(1)
+    net = quality.Net(5, 2)
+    x = rng.normal(size=(4, 5))
+    model = {"net": net.p, "mean": np.zeros(5), "std": np.ones(5)}
+    plain = [1 / (1 + math.exp(-(sum(math.tanh(sum(r[i] * net.p[0][i, j] for i in range(5)) + net.p[1][j]) * net.p[2][j] for j in range(quality.HIDDEN)) + net.p[3][0]))) for r in x]
+    assert np.allclose(quality.predict(model, x), plain)
+
+
+def test_positive_unlabelled_learning_finds_the_prior():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for prior in (0.3, 0.7):
+        make = lambda n, y: rng.normal(size=(n, 4)) + (1.5 if y else -1.5)
+        pos, unl = make(3000, True), np.concatenate([make(int(4000 * prior), True), make(4000 - int(4000 * prior), False)])
+        model = quality.fit(pos, rng.permutation(unl))
+        assert abs(model["prior"] - prior) < 0.12
+        assert (quality.predict(model, make(500, True)) >= 0.5).mean() > 0.95 and (quality.predict(model, make(500, False)) < 0.5).mean() > 0.9
 
 
 def test_toxicity_on_held_out_labels_with_spans(spark):

@@ -21,11 +21,11 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,18 +37,20 @@ SLOTS, HEADS, TAILS = 64, 32, 32
 CLASSES, SOFT, WAYS = HEADS + TAILS, HEADS * SLOTS, 8
 HEAD = 131_072  # words whose counts every task holds
 FEATURES, ROWS = (4, 4, 3, 3), 1 << 16  # features of each choice, and hashed rows of each feature's table
-ROUNDS, RATE, BATCH, SHARD_TOKENS, LEXICON, FLUSH = 2, 0.14, 16384, 4_000_000, 400_000, 400_000
+ROUNDS, RATE, BATCH, SHARD_TOKENS, LEXICON = 2, 0.14, 16384, 4_000_000, 200_000
 BLOCK, LEAST_SUM = 256, np.float32(1e-2)
 DELTA = 0.1
 END = b""
-LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words in UTF-8 with A to Z lower-cased, then the end token. bytes.split() cuts at blanks and \\x09 to \\x0D alone."""
-    out = (text or "").encode("utf-8", "replace").translate(LOWER).split()
-    out.append(END)
-    return out
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, A to Z lower-cased, one after another, and the number of words of each text. Words end at blanks
+    and \\x09 to \\x0D alone."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, at = lists.flatten(), lists.offsets.to_numpy()
+    full = pc.greater(pc.binary_length(words), 0)  # blanks at either end give empty words
+    before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    return words.filter(full), np.diff(before[at - at[0]])
 
 
 def tail_class(word: bytes) -> int:
@@ -60,24 +62,19 @@ def training(docs: DataFrame) -> DataFrame:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """Rows (word, k, c) over all documents, k the tail class of the word, counted within tasks first."""
+    """Rows (word, k, c) over all documents, k the tail class of the word, counted within runs of texts of a task first."""
 
     def run(batches):
-        counts: Counter = Counter()
         for b in batches:
-            for t in b.column(0).to_pylist():
-                counts.update(words_of(t))
-                if len(counts) > FLUSH:
-                    yield _counted(counts)
-                    counts = Counter()
-        yield _counted(counts)
-
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "word string, k int, c long").groupBy("word", "k").agg(F.sum("c").alias("c"))
-
+            for _, texts in parts(b.column(0), 16_000_000):
+                words, sizes = split(texts)
+                counted = words.value_counts()
+                yield pa.RecordBatch.from_arrays([counted.field("values"), counted.field("counts")], names=["word", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array([END.decode()]), pa.array([len(sizes)], pa.int64())], names=["word", "c"])
 
-def _counted(counts: Counter) -> pa.RecordBatch:
-    words = list(counts)
-    return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array(map(tail_class, words), pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["word", "k", "c"])
+    tail = F.crc32(F.substring(F.col("word").cast("binary"), -4, 4)) % TAILS
+    counts = docs.select(F.col("text").cast("string")).mapInArrow(run, "word string, c long").where("c > 0").groupBy("word").agg(F.sum("c").alias("c"))
+    return counts.select("word", tail.cast("int").alias("k"), "c")
 
 
 def log_shares(mass: np.ndarray) -> np.ndarray:
@@ -108,7 +105,14 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    top = counts.orderBy(F.desc("c"), "word").limit(HEAD).toArrow()
+    # only words as frequent as the HEAD-th, to within a sixteenth of a doubling, are put in order
+    size = F.floor(F.log2("c") * 16)
+    sizes, least, held = counts.groupBy(size.alias("s")).count().orderBy(F.desc("s")).collect(), 0, 0
+    for r in sizes:
+        least, held = r["s"], held + r["count"]
+        if held >= HEAD:
+            break
+    top = counts.where(size >= least).orderBy(F.desc("c"), "word").limit(HEAD).toArrow()
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     tails = {r[0]: (r[1], r[2]) for r in counts.groupBy("k").agg(F.sum("c"), F.count("*")).collect()}
     return Vocabulary(top["word"].cast(pa.binary()).to_pylist(), top["c"].to_pylist(), total, distinct, tails)
@@ -131,12 +135,17 @@ class Lexicon(dict):
         self.new.append(word)
         return n
 
-    def look(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of all tokens, and the number of tokens of each document."""
+    def look(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of all tokens, an end after each text, and the number of tokens of each text. Only distinct words are looked up."""
         if len(self) > LEXICON:
             self.forget()
-        sizes = np.fromiter(map(len, docs), np.int64, len(docs))
-        ids = np.fromiter(map(self.__getitem__, chain.from_iterable(docs)), np.int64, int(sizes.sum()))
+        words, sizes = split(texts)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        ids = np.full(len(words) + len(sizes), self[END])
+        inner = np.ones(len(ids), bool)
+        inner[np.cumsum(sizes + 1) - 1] = False
+        ids[inner] = np.fromiter(map(self.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
         if self.new:
             n, crc = len(self.new), zlib.crc32
             rank = np.fromiter(map(self.rank.get, self.new, repeat(-1)), np.int64, n)
@@ -146,7 +155,7 @@ class Lexicon(dict):
             self.cols = np.concatenate([self.cols, np.stack(rows, 1)])
             self.names += self.new
             self.new = []
-        return ids, sizes
+        return ids, sizes + 1
 
 
 def contexts(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
@@ -241,18 +250,14 @@ class Learner:
             w.view(ROW)[rows, 0] = add.view(ROW)[:, 0]  # a row moves as one item, which is several times faster
 
 
-def parts(b: pa.RecordBatch, column: int, chars: int = 1_500_000, rows: int = 500):
-    """(first row, texts) of runs of whole texts, of about so many characters and at most so many rows."""
-    for first in range(0, b.num_rows, rows):
-        run, at, size = [], first, 0
-        for i, t in enumerate(b.column(column).slice(first, rows).to_pylist(), first):
-            run.append(t)
-            size += len(t or "")
-            if size >= chars:
-                yield at, run
-                run, at, size = [], i + 1, 0
-        if run:
-            yield at, run
+def parts(texts: pa.Array, size: int = 3_000_000):
+    """(first row, texts) of runs of whole texts of about so many bytes; what a run took goes back before the next."""
+    run = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+    starts = [0, *(np.nonzero(run[1:] != run[:-1])[0] + 1).tolist(), len(run)]
+    for a, b in zip(starts, starts[1:]):
+        if b > a:
+            yield a, texts.slice(a, b - a)
+            pa.default_memory_pool().release_unused()
 
 
 def train_round(docs: DataFrame, vocab, weights, shards: int) -> tuple[np.ndarray, ...]:
@@ -262,8 +267,8 @@ def train_round(docs: DataFrame, vocab, weights, shards: int) -> tuple[np.ndarra
         lex, learners = Lexicon(vocab.value), [Learner(w) for w in weights.value]
         biases = lex.vocab.biases
         for b in batches:
-            for _, texts in parts(b, 0):
-                ids, sizes = lex.look([words_of(t) for t in texts])
+            for _, texts in parts(b.column(0)):
+                ids, sizes = lex.look(texts)
                 hashes, classes, slots, _ = lex.cols[ids].T
                 before = contexts_of(contexts(hashes, sizes))
                 for a in range(0, len(ids), BATCH):
@@ -330,8 +335,8 @@ def scored_rows(docs: DataFrame, vocab, weights) -> DataFrame:
         v = lex.vocab
         row = TaskContext.get().partitionId() << 36
         for b in batches:
-            for at, texts in parts(b, 1):
-                ids, sizes = lex.look([words_of(t) for t in texts])
+            for at, texts in parts(b.column(1)):
+                ids, sizes = lex.look(texts)
                 cols = lex.cols[ids]
                 hashes, classes, slots, counts = cols.T
                 before = contexts_of(contexts(hashes, sizes))
