@@ -174,10 +174,11 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict
     kinds = chosen[0].unionByName(chosen[1]).groupBy("id").agg(F.collect_set("positive").alias("kinds"))  # at most 2 * fit_rows ids, two kinds each
     mine = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(kinds.withColumnRenamed("id", "_id")), F.col("doc_id") == F.col("_id"), "left_semi")
     vecs = vectors(mine).groupBy("id").agg(F.min("x").alias("x"))
-    rows = vecs.join(F.broadcast(kinds), "id").select("x", F.explode("kinds").alias("positive")).orderBy("x").toArrow()
+    rows = vecs.join(F.broadcast(kinds), "id").select("id", "x", F.explode("kinds").alias("positive")).toArrow()
     every = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(-1, WIDTH).astype(np.float64)
-    is_pos = np.array(rows["positive"].to_pylist(), bool)
-    pos, unl = every[is_pos], every[~is_pos]
+    ids, is_pos = np.array(rows["id"].to_pylist(), np.int64), np.array(rows["positive"].to_pylist(), bool)
+    order = np.argsort(ids, kind="stable")
+    pos, unl = every[order][is_pos[order]], every[order][~is_pos[order]]
     rng = np.random.default_rng(3)
     return fit(rng.permutation(pos), rng.permutation(unl)) if len(pos) and len(unl) else None
 
