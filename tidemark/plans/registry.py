@@ -22,4 +22,4 @@ def register(name: str, oracle: str | None = None):
 
 
 # Modules that register their queries when they are imported.
-from tidemark.plans import events, gold_chain, gold_gamma, indicators, ingest, positioning, rates, reports, sessions, star, strategies, validation, models  # noqa: E402,F401
+from tidemark.plans import events, gold_chain, gold_gamma, indicators, ingest, positioning, rates, reports, sessions, star, strategies, validation, checks, models  # noqa: E402,F401

@@ -37,17 +37,15 @@ def _chain(engine: str) -> str:
            CAST(80 + p_size % 31 AS DOUBLE) AS strike, CAST(l_quantity AS BIGINT) AS quantity, l_discount, l_tax,
            CAST(round(p_retailprice * 100) AS BIGINT) AS cents
     FROM lineitem JOIN part ON l_partkey = p_partkey),
-  chain_spots AS (
-    SELECT ticker AS s_ticker, monday AS s_monday, round(CAST(sum(cents) AS DOUBLE) / count(*) / 1000.0, 2) AS underlying_price FROM chain_lines GROUP BY ticker, monday),
   chain_months AS (SELECT *, {first} AS first FROM chain_lines),
   chain_expiries AS (SELECT *, {_date(engine, "first", f"(19 - {dow}) % 7 + 14")} AS expiry_date FROM chain_months),
   chain_rows AS (
     SELECT ticker, monday, trade_date, option_type, strike, expiry_date, CAST(sum(quantity) * 10 AS BIGINT) AS open_interest,
-           CAST(sum(quantity) AS BIGINT) AS volume, 0.15 + max(l_discount) AS implied_volatility, max(l_tax) AS tax
+           CAST(sum(quantity) AS BIGINT) AS volume, 0.15 + max(l_discount) AS implied_volatility, max(l_tax) AS tax, CAST(sum(cents) AS BIGINT) AS cents, count(*) AS lines
     FROM chain_expiries GROUP BY ticker, monday, trade_date, option_type, strike, expiry_date),
   chain_priced AS (
-    SELECT c.*, s.underlying_price, CAST({between} AS BIGINT) AS days_to_expiry, {between} / 365.0 AS years
-    FROM chain_rows c JOIN chain_spots s ON c.ticker = s.s_ticker AND c.monday = s.s_monday),
+    SELECT *, round(CAST(sum(cents) OVER week AS DOUBLE) / sum(lines) OVER week / 1000.0, 2) AS underlying_price, CAST({between} AS BIGINT) AS days_to_expiry, {between} / 365.0 AS years
+    FROM chain_rows WINDOW week AS (PARTITION BY ticker, monday)),
   chain_d1 AS {kept} (SELECT *, CAST({_D1} AS DOUBLE) AS d1 FROM chain_priced),
   chain_quotes AS {kept} (
     SELECT *, {cdf_sql("d1")} - CASE WHEN option_type = 'Call' THEN 0.0 ELSE 1.0 END AS delta, {_PDF} / (underlying_price * implied_volatility * sqrt(years)) AS gamma,
