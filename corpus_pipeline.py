@@ -2,7 +2,8 @@
 pseudonyms, and what is left is encoded.
 
 Every stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns a DataFrame. All but the last
-return the columns of documents. Rows without a doc_id cannot be named by later stages and end at the second one.
+return the columns of documents. Rows without a doc_id are kept where no named document of their group is, and are encoded
+with the others; an empty table gives an empty one.
 """
 
 from __future__ import annotations
