@@ -304,10 +304,9 @@ SCHEMA = "doc_id long, ids array<int>, decoded string"
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """Rows (doc_id, ids, decoded), one per input row; a null text is an empty one and gives no ids."""
-    path = path or vocabulary()
 
     def run(batches):
-        c = codec(path)
+        c = codec(path or vocabulary())  # where the worker has it
         for b in batches:
             at = 0
             for texts in chunks([t or "" for t in b.column(1).to_pylist()]):
@@ -320,10 +319,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """As encode(), with digests of the ids and of the decoded text, worked out where the ids are."""
-    path = path or vocabulary()
 
     def run(batches):
-        c = codec(path)
+        c = codec(path or vocabulary())  # where the worker has it
         for b in batches:
             at = 0
             for texts in chunks([t or "" for t in b.column(1).to_pylist()]):
