@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import warc
+from tidemark.llm import lines, warc
+from tidemark.llm.alignment import op13_alignment
 from tidemark.llm.bpe import op2_bpe
 from tidemark.llm.decontaminate import op9_decontamination
 from tidemark.llm.html import op3_html
@@ -12,6 +13,7 @@ from tidemark.llm.pii import op5_pii
 from tidemark.llm.quality import op8_quality
 from tidemark.llm.simhash import op4_simhash
 from tidemark.llm.toxicity import op7_toxicity
+from tidemark.llm.whitening import op12_whitening
 
 QUERIES = {
     "op1_neighbours": op1_neighbours,
@@ -24,5 +26,8 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_warc": warc.op10_warc,
+    "op11_line_dedup": lines.op11_line_dedup,
+    "op12_whitening": op12_whitening,
+    "op13_alignment": op13_alignment,
 }
-ORACLES: dict[str, str] = {"op10_warc": warc.ORACLE}
+ORACLES: dict[str, str] = {"op10_warc": warc.ORACLE, "op11_line_dedup": lines.ORACLE}
