@@ -31,7 +31,7 @@ from tidemark.llm.bpe import byte_letters
 from tidemark.llm.common import stored, table
 
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-BLOCK_CHARS, BLOCK_ROWS = 16_000_000, 20_000
+BLOCK_CHARS, BLOCK_ROWS, SLICE = 4_000_000, 20_000, 5_000
 BREAKS = "".join(map(chr, [*range(9, 14), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))  # white space but for the blank
 STRETCH = re.compile(f"[ {BREAKS}]*[^ {BREAKS}]+(?:[{BREAKS}][ {BREAKS}]*[^ {BREAKS}]*)*|[ {BREAKS}]+")
 CROSSES = re.compile(f"[^ {BREAKS}] ")
@@ -92,8 +92,10 @@ class Aligner:
 
     def ids(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both for stretches of space + text. B adds a space of its own, so a stretch that doesn't start with one is read
-        behind a letter whose token is taken off again."""
-        a = [x.ids for x in self.a.encode_batch(stretches, add_special_tokens=False)]
+        behind a letter whose token is taken off again. What A's library says besides ids is large: it goes slice by slice."""
+        a: list[list[int]] = []
+        for at in range(0, len(stretches), SLICE):
+            a += [x.ids for x in self.a.encode_batch(stretches[at : at + SLICE], add_special_tokens=False)]
         plain = [x.startswith(" ") and len(x) > 1 for x in stretches]
         b = self.b.encode([x[1:] if p else "a" + x for x, p in zip(stretches, plain)], num_threads=1)
         return a, [x if p else x[1:] for x, p in zip(b, plain)]
