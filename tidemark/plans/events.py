@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import safe_div
+from tidemark.operators.quantiles import exact_percentile
 from tidemark.operators.series import forward, islands, numbered, rolling, series
 from tidemark.plans.gold_chain import select_rounded, sql_rounded
 from tidemark.plans.registry import register
@@ -37,7 +38,10 @@ def base_series(bars: DataFrame, window: int = W, before: int = BEFORE) -> DataF
 
 
 def consolidation(base: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    limits = base.where("slope is not null").groupBy("ticker").agg(F.percentile("range_width", F.lit(quantile)).alias("max_range"), F.percentile(F.abs("slope"), F.lit(quantile)).alias("max_slope"))
+    # both measures' percentiles in one selection: a ticker's series has no bound, so its values are not gathered
+    measures = base.where("slope is not null").select("ticker", F.inline(F.array(*[F.struct(F.lit(n).alias("measure"), c.alias("value")) for n, c in (("range", F.col("range_width")), ("slope", F.abs("slope")))])))
+    found = exact_percentile(measures, ["ticker", "measure"], "value", quantile, "most")
+    limits = found.groupBy("ticker").agg(*[F.max(F.when(F.col("measure") == n, F.col("most"))).alias(f"max_{n}") for n in ("range", "slope")])
     near = 1 + 1e-9  # the thresholds are themselves values of the series
     return base.join(limits, "ticker").withColumn("flat", F.coalesce((F.col("range_width") <= F.col("max_range") * near) & (F.abs("slope") <= F.col("max_slope") * near), F.lit(False)))
 

@@ -1,7 +1,7 @@
 """Technical indicators over daily bars, and the market regimes classified from them.
 
-Everything is windows over one partitioning by ticker; the recursive means stream past in the same order. A rolling
-value is null until its window is full.
+A ticker's series is cut into spans of SPAN bars. Windows of a fixed number of bars see a span with the LOOK_BACK bars before it;
+cumulative and recursive values are scans that carry one row a span. A rolling value is null until its window is full.
 """
 
 from __future__ import annotations
@@ -11,12 +11,16 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import safe_div
 from tidemark.operators.rows import latest_by
-from tidemark.operators.series import ewm, rolling, run_length, series
+from tidemark.operators.series import rolling, series
+from tidemark.operators.spans import ewm_means, in_span, positioned, run_lengths, running_sums, span_of, trailing_below, with_halo
 from tidemark.plans.gold_chain import select_rounded, sql_rounded
 from tidemark.plans.registry import register
+from tidemark.session import stored
 from tidemark.sources import adapters
 
 YEAR = 252
+SPAN, LOOK_BACK = 1024, 260  # bars; the longest look-back is a year of bars and the one before
+PERIOD_YEARS = 4  # bars are counted by so many years of a ticker
 
 
 def sma(c: Column, n: int, w) -> Column:
@@ -24,18 +28,26 @@ def sma(c: Column, n: int, w) -> Column:
 
 
 def technical_indicators(bars: DataFrame) -> DataFrame:
-    """Averages, momentum, volatility, volume and trend strength for bars (ticker, trade_date, open .. close, volume)."""
-    w = series("ticker", "trade_date")
+    """Averages, momentum, volatility, volume and trend strength for bars (ticker, trade_date, open .. close, volume); bar is a row's
+    position in its ticker's series, span the run of positions that it lies in."""
     c, h, l, v = F.col("close"), F.col("high"), F.col("low"), F.col("volume").cast("double")
-    prev = F.col("prev")
-    base = bars.withColumns({"prev": F.lag("close").over(w), "prev_high": F.lag("high").over(w), "prev_low": F.lag("low").over(w)})
+    w, prev = in_span("ticker", "bar"), F.col("prev")
+    placed = with_halo(positioned(bars, "ticker", "trade_date", F.floor(F.year("trade_date") / PERIOD_YEARS), "bar"), "bar", 1, SPAN)
+    lagged = placed.withColumns({"prev": F.lag("close").over(w), "prev_high": F.lag("high").over(w), "prev_low": F.lag("low").over(w)})
+    # the scans come first, over few columns that are stored since each scan reads them twice
+    base = stored(lagged.where("own").drop("own").withColumn("signed_volume", F.coalesce(F.signum(c - prev), F.lit(0.0)) * v))
+    base = running_sums(base, "ticker", "bar", {"obv": F.col("signed_volume")})
+    base = ewm_means(base, "ticker", "bar", {"ema_12": (c, 12), "ema_26": (c, 26)}).withColumn("macd", F.col("ema_12") - F.col("ema_26"))
+    base = ewm_means(base, "ticker", "bar", {"macd_signal": (F.col("macd"), 9)}).drop("span")
+    parts = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # spans are few and dear: not to be put together again
+    base = with_halo(base, "bar", LOOK_BACK, SPAN).repartition(parts, "ticker", "span")
     up, down = h - F.col("prev_high"), F.col("prev_low") - l
     plus = F.when((up > down) & (up > 0), up).otherwise(0.0)
     # the minus move is held against the plus move as already filtered, so equal positive moves count as minus
     minus = F.when((down > plus) & (down > 0), down).otherwise(0.0)
     base = base.withColumns({
         "gain": F.greatest(F.coalesce(c - prev, F.lit(0.0)), F.lit(0.0)), "loss": F.greatest(F.coalesce(prev - c, F.lit(0.0)), F.lit(0.0)), "tr": F.greatest(h - l, F.abs(h - prev), F.abs(l - prev)), "ret": c / prev - 1,
-        "range2": F.pow(F.log(h / l), 2), "plus_dm": plus, "minus_dm": minus, "signed_volume": F.coalesce(F.signum(c - prev), F.lit(0.0)) * v,
+        "range2": F.pow(F.log(h / l), 2), "plus_dm": plus, "minus_dm": minus,
     })
     gain, loss = rolling(F.avg, F.col("gain"), w, 14), rolling(F.avg, F.col("loss"), w, 14)
     hh, ll = rolling(F.max, h, w, 14), rolling(F.min, l, w, 14)
@@ -46,17 +58,16 @@ def technical_indicators(bars: DataFrame) -> DataFrame:
         "stoch_k": safe_div(c - ll, hh - ll) * 100, "roc_20": (safe_div(c, F.lag("close", 20).over(w)) - 1) * 100, "atr_14": rolling(F.avg, F.col("tr"), w, 14), "bb_middle": mid, "bb_upper": mid + 2 * sd, "bb_lower": mid - 2 * sd,
         "bb_width": 4 * sd, "realized_vol_20": rolling(F.stddev_samp, F.col("ret"), w, 20) * F.sqrt(F.lit(float(YEAR))) * 100,
         "parkinson_vol_20": F.sqrt(rolling(F.avg, F.col("range2"), w, 20) / (4 * F.log(F.lit(2.0)))) * F.sqrt(F.lit(float(YEAR))) * 100, "high_20d": rolling(F.max, h, w, 20), "low_20d": rolling(F.min, l, w, 20),
-        "high_52w": rolling(F.max, h, w, YEAR, 100), "low_52w": rolling(F.min, l, w, YEAR, 100), "volume_sma_20": sma(v, 20, w), "obv": F.sum("signed_volume").over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        "high_52w": rolling(F.max, h, w, YEAR, 100), "low_52w": rolling(F.min, l, w, YEAR, 100), "volume_sma_20": sma(v, 20, w),
         "plus_di_14": safe_div(rolling(F.sum, F.col("plus_dm"), w, 14), tr14) * 100, "minus_di_14": safe_div(rolling(F.sum, F.col("minus_dm"), w, 14), tr14) * 100,
     })
     p, m = F.col("plus_di_14"), F.col("minus_di_14")
     out = out.withColumn("dx", safe_div(F.abs(p - m), p + m) * 100)
     out = out.withColumns({
         "stoch_d": sma(F.col("stoch_k"), 3, w), "adx_14": sma(F.col("dx"), 14, w), "obv_sma_20": sma(F.col("obv"), 20, w), "volume_ratio": safe_div(v, F.col("volume_sma_20")), "pct_from_high_20d": safe_div(c - F.col("high_20d"), F.col("high_20d")) * 100,
-        "pct_from_low_52w": safe_div(c - F.col("low_52w"), F.col("low_52w")) * 100, "bar": F.row_number().over(w).cast("long"),
+        "pct_from_low_52w": safe_div(c - F.col("low_52w"), F.col("low_52w")) * 100,
     })
-    out = ewm(out, "ticker", "trade_date", {"ema_12": ("close", 12), "ema_26": ("close", 26), "macd_signal": ("ema_12 - ema_26", 9)}).withColumn("macd", F.col("ema_12") - F.col("ema_26"))
-    return out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).where(F.col("sma_20").isNotNull())
+    return out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).where("own and sma_20 is not null").drop("own")
 
 
 INDICATORS = {"ticker": None, "trade_date": None, "close": 4, "volume": None} | {
@@ -102,15 +113,13 @@ def technical_indicators_query(spark, sf_dir):
 # Regimes
 
 
-def trailing_share_below(c: Column, w, n: int) -> Column:
-    """Share of the last n rows, this one counted, that lie strictly below the current value, in percent."""
-    rows = F.collect_list(F.coalesce(c, F.lit(float("inf")))).over(w.rowsBetween(-(n - 1), 0))
-    return F.size(F.filter(rows, lambda x: x < c)) / n * 100
-
-
 def market_regimes(ind: DataFrame) -> DataFrame:
-    """Trend, volatility and phase of each bar with a recommended strategy and the length of the current regime."""
-    w = series("ticker", "trade_date")
+    """Trend, volatility and phase of each bar with a recommended strategy and the length of the current regime. ind has the bars'
+    spans; positions are counted anew, since bars without a full month behind them are not in it."""
+    needed = "ticker trade_date bar span close sma_20 sma_50 sma_200 plus_di_14 minus_di_14 adx_14 macd macd_signal atr_14 realized_vol_20 bb_width volume_ratio rsi_14 obv obv_sma_20 high_52w high_20d low_52w low_20d".split()
+    ind = running_sums(stored(ind.select(*needed)), "ticker", "bar", {"pos": F.lit(1)}).withColumn("pos", F.col("pos").cast("long")).drop("span")
+    measures = ["atr_14", "realized_vol_20", "bb_width"]
+    ind = trailing_below(ind, "ticker", "pos", {f"below_{m}": m for m in measures}, YEAR + 1, SPAN)
     c, s20, s50, s200 = (F.col(x) for x in ("close", "sma_20", "sma_50", "sma_200"))
     off, di, adx, macd = (c - s200) / s200 * 100, F.col("plus_di_14") - F.col("minus_di_14"), F.col("adx_14"), F.col("macd") - F.col("macd_signal")
     zero = F.lit(0.0)
@@ -118,9 +127,8 @@ def market_regimes(ind: DataFrame) -> DataFrame:
     place = F.when(off > 2, 20.0).when(off < -2, -20.0).otherwise(5 * off)
     force = F.when(adx > 25, F.when(di > 5, 30.0).when(di < -5, -30.0).otherwise(3 * di)).when(adx < 20, di / 2).when(adx.isNotNull(), 2 * di)
     score = F.coalesce(align, zero) + F.coalesce(place, zero) + F.coalesce(force, zero) + F.when(macd > 0, 10.0).when(macd <= 0, -10.0).otherwise(0.0)
-    pos = F.row_number().over(w)
-    share = lambda x: F.when((pos > 252) & F.col(x).isNotNull(), trailing_share_below(F.col(x), w, 253)).otherwise(50.0)
-    df = ind.withColumns({"trend_score": F.round(score, 6), "vol_percentile": F.round((share("atr_14") + share("realized_vol_20") + share("bb_width")) / 3, 6), "pos": pos})
+    share = lambda m: F.when((F.col("pos") > YEAR) & F.col(m).isNotNull(), F.col(f"below_{m}") / (YEAR + 1) * 100).otherwise(50.0)
+    df = ind.withColumns({"trend_score": F.round(score, 6), "vol_percentile": F.round(sum((share(m) for m in measures[1:]), share(measures[0])) / 3, 6)})
     up, down = F.coalesce(s20 > s50, F.lit(False)), F.coalesce(s20 < s50, F.lit(False))
     flat = ~up & ~down
     vr, rsi = F.coalesce(F.col("volume_ratio"), F.lit(1.0)), F.coalesce(F.col("rsi_14"), F.lit(50.0))
@@ -149,7 +157,8 @@ def market_regimes(ind: DataFrame) -> DataFrame:
         .when((t == "downtrend") & ph.isin("distribution", "markdown"), F.when(v == "low", "bear_put_spread").otherwise("long_put")).when(v == "high", F.when(t == "ranging", "short_straddle").otherwise("long_straddle"))
         .when(ph == "accumulation", "bull_call_spread").when(ph == "distribution", "bear_put_spread").otherwise("neutral_strategy"),
     )
-    return run_length(df, "ticker", "trade_date", ["trend_regime", "volatility_regime", "market_phase"], "days_in_regime")
+    df = stored(df.withColumn("span", span_of("pos", SPAN)).select("ticker", "trade_date", "close", "pos", "span", *[c for c in REGIMES if c not in ("ticker", "trade_date", "days_in_regime")]))
+    return run_lengths(df, "ticker", "pos", ["trend_regime", "volatility_regime", "market_phase"], "days_in_regime")
 
 
 REGIMES = {"ticker": None, "trade_date": None, "trend_score": 4, "trend_strength": 4, "trend_regime": None, "vol_percentile": 4, "volatility_regime": None, "market_phase": None, "phase_confidence": None, "support": 4, "resistance": 4, "support_strength": 4, "resistance_strength": 4, "strategy": None, "days_in_regime": None}

@@ -159,7 +159,7 @@ def model_ablation(spark, sf_dir):
     known = train.agg(F.coalesce(F.avg("y"), F.lit(0.5)).alias("p"), F.count_distinct("y").alias("classes")).first()
     parts = [rows.where("split <> 'train'").withColumns({"model": F.lit("share"), "p_up": F.lit(float(known["p"]))})]
     if known["classes"] == 2:
-        for name, features in {"all": MODEL_FEATURES} | {f"without {f}": [x for x in MODEL_FEATURES if x != f] for f in MODEL_FEATURES}.items():
+        for name, features in ({"all": MODEL_FEATURES} | {f"without {f}": [x for x in MODEL_FEATURES if x != f] for f in MODEL_FEATURES}).items():
             scored = fitted(train, features).transform(rows.where("split <> 'train'"))
             parts.append(scored.withColumns({"model": F.lit(name), "p_up": vector_to_array("probability")[1]}))
     every = parts[0].select("model", "y", "p_up")

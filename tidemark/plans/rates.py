@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from tidemark.functions import pricing
 from tidemark.functions.dates import dow0
 from tidemark.functions.numbers import safe_div
+from tidemark.operators.quantiles import exact_percentile
 from tidemark.plans.gold_chain import CHAIN, chain_of, select_rounded, sql_rounded
 from tidemark.plans.registry import register
 from tidemark.plans.strategies import daily_state
+from tidemark.session import stored
 from tidemark.sources import adapters
 
 # Terms of the curve in years, the rate before the first one is known, volatility where none is, the dividend
@@ -94,8 +96,9 @@ def two_passes(chain: DataFrame) -> DataFrame:
     x = x.withColumn("market_price", pricing.price(kind, s, k, t, r, F.col("implied_volatility")))
     near = F.abs(F.col("market_price") - paid) <= paid * F.when(deep, DEEP_ERROR).otherwise(ERROR)
     x = x.withColumn("iv1", F.when(timed & market & near, F.col("implied_volatility")))
-    median = x.groupBy("trade_date").agg(F.coalesce(F.median("iv1"), F.lit(DEFAULT_IV)).alias("median_iv"))
-    x = x.join(median, "trade_date").withColumn("is_estimated", F.coalesce(paid <= 0, F.lit(True)))
+    x = stored(x)  # read for the medians, which are over all contracts of a day, and again
+    median = exact_percentile(x, ["trade_date"], "iv1", 0.5, "median_iv")
+    x = x.join(median, "trade_date", "left").withColumn("median_iv", F.coalesce("median_iv", F.lit(DEFAULT_IV))).withColumn("is_estimated", F.coalesce(paid <= 0, F.lit(True)))
     x = x.withColumn("iv", F.when(F.col("is_estimated"), F.col("median_iv")).otherwise(F.col("iv1")))
     iv = F.col("iv")
     x = x.withColumn("estimated_price", F.when(F.col("is_estimated"), pricing.price(kind, s, k, t, r, iv)))

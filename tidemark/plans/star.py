@@ -87,8 +87,8 @@ MERGED = dict.fromkeys(["ticker", "option_type", "strike", "expiry_date", "trade
     "silver_chain_merged",
     f"""
 WITH {CHAIN},{SOURCES_CTE},
-e AS (SELECT * FROM src2 QUALIFY row_number() OVER (PARTITION BY ticker, option_type, strike, expiry_date, trade_date ORDER BY scrape DESC) = 1),
-j AS (SELECT e.*, bid, ask, coalesce(last_price, close_price) AS last, greatest(CASE option_type WHEN 'Call' THEN e.underlying_price - strike ELSE strike - e.underlying_price END, 0) AS intrinsic_value FROM e LEFT JOIN src1 USING (ticker, option_type, strike, expiry_date, trade_date)),
+e AS MATERIALIZED (SELECT * FROM src2 QUALIFY row_number() OVER (PARTITION BY ticker, option_type, strike, expiry_date, trade_date ORDER BY scrape DESC) = 1),
+j AS MATERIALIZED (SELECT e.*, bid, ask, coalesce(last_price, close_price) AS last, greatest(CASE option_type WHEN 'Call' THEN e.underlying_price - strike ELSE strike - e.underlying_price END, 0) AS intrinsic_value FROM e LEFT JOIN src1 USING (ticker, option_type, strike, expiry_date, trade_date)),
 m AS (SELECT *, CASE WHEN bid > 0 AND ask > 0 THEN (bid + ask) / 2 END AS mid_price, CASE WHEN bid > 0 AND ask > 0 THEN ask - bid END AS spread_abs, greatest(last - intrinsic_value, 0) AS time_value, underlying_price / strike AS moneyness, bid IS NOT NULL AS has_quotes FROM j),
 p AS (SELECT *, spread_abs / nullif(mid_price, 0) * 100 AS spread_pct FROM m)
 SELECT {sql_rounded(MERGED)} FROM p""",

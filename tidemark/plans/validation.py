@@ -10,6 +10,7 @@ from tidemark.functions.numbers import safe_div
 from tidemark.plans.events import ATR_STOP, ATR_TARGET, EVENT_CTE, FEE, HOLD, SIZE, TRADE_CTE, all_events, all_trades, hourly, labelled, score, trades, window_features
 from tidemark.plans.gold_chain import select_rounded, sql_rounded
 from tidemark.plans.registry import register
+from tidemark.session import stored
 from tidemark.sources import adapters
 
 HOURLY = adapters.oracle("bars_hourly")
@@ -163,6 +164,9 @@ def top_performers(spark, sf_dir):
 MODEL_FEATURES = ["range_pct", "up_volume_share", "clv_mean", "pos_end", "upper_wick", "lower_wick", "net_return", "r_pre"]
 
 
+BOOSTING_ROUNDS = 200
+
+
 @register("trained_signals")
 def trained_signals(spark, sf_dir):
     """Boosted trees fitted on the events up to the 70th percentile of time and scored on the later ones. No oracle: the fit is
@@ -174,11 +178,11 @@ def trained_signals(spark, sf_dir):
 
     ev, base = all_events(hourly(spark, sf_dir))
     rows = labelled(ev, base).where("label <> 'NO_RESOLVE'").join(window_features(ev, base), ["ticker", "run"]).withColumn("y", (F.col("label") == "UP_RESOLVE").cast("double")).na.fill(0.0, MODEL_FEATURES)
-    rows = rows.withColumn("at", F.col("t_end").cast("timestamp").cast("long"))
+    rows = stored(rows.withColumn("at", F.col("t_end").cast("timestamp").cast("long")))  # each of the rounds reads them
     cut = rows.select(F.percentile_approx("at", 0.7)).first()[0]
     if rows.where((F.col("at") <= cut)).select("y").distinct().count() < 2:
         return rows.where(F.col("at") > cut).select("ticker", "t_end", F.lit(0.5).alias("p_up"), "y")
-    fitted = Pipeline(stages=[VectorAssembler(inputCols=MODEL_FEATURES, outputCol="x"), GBTClassifier(featuresCol="x", labelCol="y", maxDepth=3, maxIter=10, seed=1)]).fit(rows.where(F.col("at") <= cut))
+    fitted = Pipeline(stages=[VectorAssembler(inputCols=MODEL_FEATURES, outputCol="x"), GBTClassifier(featuresCol="x", labelCol="y", maxDepth=3, maxIter=BOOSTING_ROUNDS, seed=1)]).fit(rows.where(F.col("at") <= cut))
     return fitted.transform(rows.where(F.col("at") > cut)).select("ticker", "t_end", F.round(vector_to_array("probability")[1], 6).alias("p_up"), "y")
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +28,21 @@ def build_session(app: str = "tidemark", cores: int | None = None, shuffle_parti
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written once as Parquet into the folder that all executors share and read again: what has several readers is worked out
+    once, and a lost executor costs a reread. The folder is spark.checkpoint.dir, on a local session without one a temporary
+    one; the files go when the driver ends."""
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="spark-")
+        spark.sparkContext.setCheckpointDir(shared)
+    path = f"{shared.rstrip('/')}/table-{uuid.uuid4().hex}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
