@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tidemark.functions import dates, pricing, text
 from tidemark.operators import rows, series
-from tidemark.plans import models, registry, star
+from tidemark.plans import models, registry, star, validation
 from tidemark.sources import io
 from tidemark.streaming import bars
 
@@ -63,8 +63,10 @@ def test_implied_volatility_reprices(spark):
     df = star.priced(registry_chain(spark)).where("iv_ok")
     assert df.count() > 1000
     assert df.agg(F.max(F.abs(F.col("repriced") - F.col("last_price")))).first()[0] < 1e-4
-    none = pricing.solve_vol(np.array([True]), *(np.array([float(x)]) for x in (150, 100, 100, 1, 0.05)))
-    assert np.isnan(none[0])
+    none = [pricing.implied_vol(F.lit(kind), *(F.lit(x) for x in args)) for kind, *args in (("Call", 150.0, 100.0, 100.0, 1.0, 0.05), ("Call", 0.0, 100.0, 100.0, 1.0, 0.05), ("Put", 5.0, 100.0, 105.0, 0.0, 0.05), ("Put", 5.0, 100.0, 105.0, 0.01, 0.0))]
+    assert [x is None for x in one(spark, **{f"x{i}": c for i, c in enumerate(none)})] == [True] * 4  # dear, free, expired, worth its exercise alone
+    null = spark.createDataFrame([(None,)], "p double").select(pricing.implied_vol(F.lit("Call"), F.col("p"), F.lit(100.0), F.lit(100.0), F.lit(1.0), F.lit(0.05)).alias("v"))
+    assert null.first().v is None
 
 
 def registry_chain(spark):
@@ -147,6 +149,11 @@ def test_streams_match_batch(spark, tmp_path):
     assert sorted(map(tuple, newest.collect())) == sorted(map(tuple, want.collect()))
     bars.run_available(bars.read(spark, src, events.schema, 1), str(tmp_path / "c3"), bars.keep_states(str(tmp_path / "s"), ["event_type"], ["value"]))
     states = {r.event_type: (r.n, round(r.value, 6)) for r in bars.read_states(spark, str(tmp_path / "s"), ["event_type"], ["value"]).collect()}
+    bars.run_available(bars.read(spark, src, events.schema, 1), str(tmp_path / "c4"), bars.keep_states(str(tmp_path / "s2"), ["event_type"], ["value"], ["user_id"], ["value"]))
+    kept = {r.event_type: r for r in bars.read_states(spark, str(tmp_path / "s2"), ["event_type"], ["value"], ["user_id"], ["value"]).collect()}
+    for r in events.groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"), F.percentile_approx("value", [0.45, 0.55], 10000).alias("around")).collect():
+        assert kept[r.event_type].n == r.n and abs(kept[r.event_type].distinct_user_id - r.users) <= 0.08 * r.users
+        assert r.around[0] <= kept[r.event_type].p50_value <= r.around[1]
     assert states == {r.event_type: (r.n, round(r.v, 6)) for r in events.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("v")).collect()}
 
 
@@ -199,15 +206,24 @@ def test_session_hours_and_lists(spark):
     assert sessions.of_universe(df, ["US"], "market").count() == 4 and sessions.of_universe(df, None).count() == 9
 
 
-def test_newton_finds_the_volatility():
-    s, k, t = np.meshgrid([60.0, 100.0, 140.0], [80.0, 100.0, 120.0], [0.02, 0.5, 3.0])
-    s, k, t = s.ravel(), k.ravel(), t.ravel()
-    r, call = np.full(len(s), 0.03), np.arange(len(s)) % 2 == 0
-    for v in (0.08, 0.3, 1.2):
-        paid = np.array([float(bs(c, *x, v)) for c, *x in zip(call, s, k, t, r)])
-        got = pricing.solve_vol(call, paid, s, k, t, r)
-        again = np.array([float(bs(c, *x, g)) for c, *x, g in zip(call, s, k, t, r, got)])
-        assert np.nanmax(np.abs(again - paid)) < 2e-5
+def test_the_solver_finds_the_volatility(spark):
+    grid = [(c, s, k, t, v) for c in (True, False) for s in (60.0, 100.0, 140.0) for k in (80.0, 100.0, 120.0) for t in (0.02, 0.5, 3.0) for v in (0.08, 0.3, 1.2, 4.0)]
+    rows = [("Call" if c else "Put", s, k, t, float(bs(c, s, k, t, 0.03, v)), v) for c, s, k, t, v in grid]
+    df = spark.createDataFrame(rows, "kind string, s double, k double, t double, paid double, v double")
+    got = df.withColumn("iv", pricing.implied_vol(*(F.col(c) for c in ("kind", "paid", "s", "k", "t")), F.lit(0.03))).collect()
+    solved = [r for r in got if r.iv is not None]
+    assert len(solved) > 150 and all(abs(float(bs(r.kind == "Call", r.s, r.k, r.t, 0.03, r.iv)) - r.paid) < 3e-5 for r in solved)
+    assert all(abs(r.iv - r.v) < 1e-5 for r in solved if r.t >= 0.5 and r.v in (0.3, 1.2))
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
+def test_queries_without_sql_run(spark, name, monkeypatch):
+    monkeypatch.setattr(validation, "BOOSTING_ROUNDS", 3)  # the fit itself is tried in the bench
+    rows = registry.QUERIES[name](spark, D.replace("sf0.001", "sf0.01")).collect()
+    assert rows
+    if name == "model_ablation":
+        by = {r.model: r for r in rows}
+        assert set(by) == {"share", "all", *(f"without {f}" for f in validation.MODEL_FEATURES)} and len({r.n for r in rows}) == 1
 
 
 def bs(call, s, k, t, r, v):

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -107,53 +105,70 @@ def greeks(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Colu
     )
 
 
+BRENT_STEPS, BRENT_TOLERANCE, MACHINE_EPS = 60, 1e-12, 2.220446049250313e-16
+_FIELDS = ("a", "b", "c", "fa", "fb", "fc", "d", "e", "x", "y")
+LOW, HIGH, GOING, DONE, NONE = range(5)  # stages of the search: price at the lower end, at the upper one, steps, found, nothing to find
+
+
 def implied_vol(kind: Column, paid: Column, s: Column, k: Column, t: Column, r: Column) -> Column:
-    """Volatility at which the model gives the price; null where no volatility in [1e-4, 5] does. An iteration is out of
-    reach of one expression without writing the formula out at every step, so this one runs on Arrow batches."""
-    return _solver()(kind, paid.cast("double"), s.cast("double"), k.cast("double"), t.cast("double"), r.cast("double"))
-
-
-def _solver():
-    @F.pandas_udf("double")
-    def solve(kind: pd.Series, paid: pd.Series, s: pd.Series, k: pd.Series, t: pd.Series, r: pd.Series) -> pd.Series:
-        return pd.Series(solve_vol(kind.to_numpy() == "Call", *(x.to_numpy(float) for x in (paid, s, k, t, r))))
-
-    return solve
-
-
-def solve_vol(call: np.ndarray, paid: np.ndarray, s: np.ndarray, k: np.ndarray, t: np.ndarray, r: np.ndarray, steps: int = 60) -> np.ndarray:
-    """Newton steps on whole arrays, by the same formulas as the columns, kept within a bracket that shrinks with each value:
-    where a step would leave it or the slope is nothing, it is halved. NaN where there is no solution."""
-
-    def parts(x):
-        u, density = 1 / (1 + CDF_SCALE * np.abs(x)), np.exp(-x * x / 2) / math.sqrt(2 * math.pi)
-        tail = density * u * (CDF[0] + u * (CDF[1] + u * (CDF[2] + u * (CDF[3] + u * CDF[4]))))
-        return np.where(x >= 0, 1 - tail, tail), density
-
-    with np.errstate(all="ignore"):
-        disc, root, inner = np.exp(-r * t), np.sqrt(t), np.maximum(np.where(call, s - k, k - s), 0)
-
-        def value(v):
-            a = np.clip((np.log(s / k) + (r + v * v / 2) * t) / (v * root), -10, 10)
-            (n1, density), (n2, _) = parts(a), parts(a - v * root)
-            c = s * n1 - k * disc * n2
-            return np.maximum(np.where(call, c, c - s + k * disc), inner), s * density * root
-
-        lo, hi = np.full(len(s), SIGMA_LOW), np.full(len(s), SIGMA_HIGH)
-        fine = (t > EPS) & (paid > 0) & (s > 0) & (k > 0) & (paid >= value(lo)[0]) & (paid <= value(hi)[0])
-        near = np.abs(s / k - 1) <= 0.05
-        v = np.clip(np.where(near, np.sqrt(2 * math.pi / t) * paid / s, 0.3), 2 * SIGMA_LOW, 0.9 * SIGMA_HIGH)
-        for _ in range(steps):
-            now, slope = value(v)
-            low = now < paid
-            lo, hi = np.where(low, v, lo), np.where(low, hi, v)
-            step = v - (now - paid) / slope
-            new = np.where((step > lo) & (step < hi), step, (lo + hi) / 2)
-            if not np.any(fine & (np.abs(new - v) > 1e-12)):
-                v = new
-                break
-            v = new
-        return np.where(fine, v, np.nan)
+    """Volatility in [1e-4, 5] at which the model gives the price; null where none does, or where the price is no more than that of
+    the smallest one, which tells nothing of the volatility.
+
+    Bracketed steps (inverse quadratic or linear interpolation, else halving) as a machine that one fold runs: settle the bracket,
+    choose a step, move, and work the price out in four parts. Each phase reads the state's fields alone, so no formula is written
+    out more than once, and no row leaves the JVM."""
+    paid, s, k, t, r = (x.cast("double") for x in (paid, s, k, t, r))
+    usable = (t > EPS) & (paid > 0) & (s > 0) & (k > 0)
+    start = F.struct(*[F.lit({"a": SIGMA_LOW, "b": SIGMA_LOW, "c": SIGMA_HIGH, "d": SIGMA_HIGH - SIGMA_LOW, "e": SIGMA_HIGH - SIGMA_LOW}.get(n, 0.0)).alias(n) for n in _FIELDS], F.when(usable, LOW).otherwise(NONE).alias("stage"), F.lit(3).alias("phase"))
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(8 * (BRENT_STEPS + 2))), start, lambda x, _: _brent(x, kind, paid, s, k, t, r), lambda x: F.when(x["stage"].isin(GOING, DONE), x["b"]))
+    return end
+
+
+def _brent(z: Column, kind: Column, paid: Column, s: Column, k: Column, t: Column, r: Column) -> Column:
+    """The next state. b is the best point, [b, c] holds the root, a was b before; d is this step, e the one before; x and y are
+    parts of the price at b."""
+    a, b, c, fa, fb, fc, d, e, x, y = (z[n] for n in _FIELDS)
+    stage, phase, root = z["stage"], z["phase"], F.sqrt(t)
+
+    def state(**new) -> Column:
+        value = lambda n: new[n] if n in new else z[n]
+        typed = lambda v, kind: (v if isinstance(v, Column) else F.lit(v)).cast(kind)
+        return F.struct(*[typed(value(n), "double").alias(n) for n in _FIELDS], *[typed(value(n), "int").alias(n) for n in ("stage", "phase")])
+
+    # 0: where b and c lie on one side, c becomes a; the better of b and c becomes b
+    same = F.signum(fb) == F.signum(fc)
+    c0, fc0 = F.when(same, a).otherwise(c), F.when(same, fa).otherwise(fc)
+    swap = F.abs(fc0) < F.abs(fb)
+    settle = state(
+        a=F.when(swap, b).otherwise(a), b=F.when(swap, c0).otherwise(b), c=F.when(swap, b).otherwise(c0), fa=F.when(swap, fb).otherwise(fa), fb=F.when(swap, fc0).otherwise(fb), fc=F.when(swap, fb).otherwise(fc0),
+        d=F.when(same, b - a).otherwise(d), e=F.when(same, b - a).otherwise(e), phase=1,
+    )
+    # 1: the step: p / q by interpolation where it stays well within the bracket and shrinks, else half the bracket
+    tol, half = 2 * MACHINE_EPS * F.abs(b) + BRENT_TOLERANCE / 2, (c - b) / 2
+    u, v, w = fb / fa, fa / fc, fb / fc
+    p = F.when(a == c, 2 * half * u).otherwise(u * (2 * half * v * (v - w) - (b - a) * (w - 1)))
+    q = F.when(a == c, 1 - u).otherwise((v - 1) * (w - 1) * (u - 1))
+    step = -p / F.nullif(q, F.lit(0.0))
+    inside = (F.abs(e) >= tol) & (F.abs(fa) > F.abs(fb)) & (F.signum(step) == F.signum(half)) & (F.abs(step) < 1.5 * F.abs(half)) & (F.abs(step) < F.abs(e) / 2)
+    taken = F.coalesce(inside, F.lit(False))
+    choose = state(e=F.when(taken, d).otherwise(half), d=F.when(taken, step).otherwise(half), stage=F.when((F.abs(half) <= tol) | (fb == 0), DONE).otherwise(stage), phase=2)
+    # 2: b moves by the step, but by the tolerance at least
+    move = state(a=b, fa=fb, b=b + F.when(F.abs(d) > tol, d).otherwise(F.signum(half) * tol), phase=3)
+    # 3 to 6: d1, its distribution, that of d2, the price less the one paid
+    disc = F.exp(-r * t)
+    call = F.when(s / k > 10, s - k * disc).when(k / s > 10, F.lit(0.0)).otherwise(s * x - k * disc * y)
+    put = F.when(k / s > 10, k * disc - s).when(s / k > 10, F.lit(0.0)).otherwise(k * disc * (1 - y) - s * (1 - x))
+    off = F.when(kind == "Call", F.greatest(call, s - k, F.lit(0.0))).otherwise(F.greatest(put, k - s, F.lit(0.0))) - paid
+    parts = [state(y=d1(s, k, t, r, b), phase=4), state(x=norm_cdf(y), phase=5), state(y=norm_cdf(y - b * root), phase=6), state(fb=off, phase=7)]
+    # 7: at the ends of the range, on to the other end or to the first step
+    ends = state(
+        a=F.lit(SIGMA_LOW), fa=F.when(stage == LOW, fb).otherwise(fa), b=F.lit(SIGMA_HIGH), c=F.lit(SIGMA_HIGH), fc=fb,
+        stage=F.when(stage == LOW, F.when(fb < 0, HIGH).otherwise(NONE)).otherwise(F.when(fb >= 0, GOING).otherwise(NONE)), phase=F.when(stage == LOW, 3).otherwise(0),
+    )
+    out = F.when((stage == DONE) | (stage == NONE), z)
+    for n, part in enumerate([settle, choose, move, *parts]):
+        out = out.when(phase == n, part)
+    return out.when(stage < GOING, ends).otherwise(state(phase=0))
 
 
 def price_with_yield(kind: Column, s: Column, k: Column, t: Column, r: Column, sigma: Column, q: Column) -> Column:

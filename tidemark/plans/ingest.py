@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import dow0, fiscal_quarter
 from tidemark.functions.numbers import half_step, interpolate, safe_div
 from tidemark.functions.text import call_put_totals, market_of, parse_date, parse_expiry, parse_percent
+from tidemark.operators import sketches
 from tidemark.operators.rows import filled_from, insert_absent, replace_range, upsert
 from tidemark.plans.gold_chain import CHAIN, chain_of, select_rounded, sql_rounded
 from tidemark.plans.registry import register
@@ -142,6 +143,30 @@ def daily_by_expiry(spark, sf_dir):
     return select_rounded(merged_states(first.unionByName(second)), DAILY)
 
 
+SKETCHED = {"sums": ["l_quantity"], "distinct": ["l_partkey"], "ranked": ["l_extendedprice"]}
+DELIVERIES, DISTINCT_ERROR, RANK_ERROR = 4, 0.08, 0.03  # five times the sketches' usual error
+
+
+@register(
+    "delivery_sketches",
+    """
+SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity, count(DISTINCT l_partkey) AS parts, true AS distinct_in_bound, true AS median_in_bound
+FROM lineitem GROUP BY l_returnflag, l_linestatus""",
+)
+def delivery_sketches(spark, sf_dir):
+    """States of four deliveries, merged two by two and then together: counts and sums, and whether the distinct count and the
+    median of the merged sketches are as near to the exact ones as they have to be."""
+    keys = ["l_returnflag", "l_linestatus"]
+    lines = table(spark, sf_dir, "lineitem").select(*keys, "l_orderkey", "l_partkey", "l_extendedprice", F.col("l_quantity").cast("long").alias("l_quantity"))
+    parts = [sketches.states(lines.where(F.pmod("l_orderkey", F.lit(DELIVERIES)) == i), keys, **SKETCHED) for i in range(DELIVERIES)]
+    pairs = [sketches.merged(a.unionByName(b), keys, **SKETCHED) for a, b in zip(parts[::2], parts[1::2])]
+    found = sketches.figures(sketches.merged(pairs[0].unionByName(pairs[1]), keys, **SKETCHED), SKETCHED["distinct"], SKETCHED["ranked"])
+    below = F.avg((F.col("l_extendedprice") < F.col("p50_l_extendedprice")).cast("double"))
+    exact = lines.join(found.select(*keys, "p50_l_extendedprice"), keys).groupBy(*keys).agg(F.count_distinct("l_partkey").alias("parts"), below.alias("share_below"))  # a row a key is found: broadcast while it is small
+    near = F.abs(F.col("distinct_l_partkey") - F.col("parts")) <= DISTINCT_ERROR * F.col("parts")
+    return found.join(exact, keys).select(*keys, "n", F.col("l_quantity").alias("quantity"), "parts", near.alias("distinct_in_bound"), (F.abs(F.col("share_below") - 0.5) <= RANK_ERROR).alias("median_in_bound"))
+
+
 MART = dict.fromkeys(["ticker", "trade_date", "expiry_date", "call_oi", "put_oi", "n_strikes"]) | {"net_delta": 4, "net_gamma": 6, "net_vega": 4, "put_call_oi": 6, "mean_iv": 6}
 
 

@@ -12,6 +12,7 @@ from tidemark.functions.numbers import safe_div
 from tidemark.operators.quantiles import exact_percentile
 from tidemark.plans.gold_chain import CHAIN, chain_of, select_rounded, sql_rounded
 from tidemark.plans.registry import register
+from tidemark.plans.star import solved, solved_sql, valued_sql
 from tidemark.plans.strategies import daily_state
 from tidemark.session import stored
 from tidemark.sources import adapters
@@ -82,29 +83,32 @@ def price_for_greeks(intrinsic: Column) -> Column:
 
 
 def two_passes(chain: DataFrame) -> DataFrame:
-    """Contracts with a price keep the volatility that the market gives them if it passes the gates; the others are priced at
-    the day's median of those, or DEFAULT_IV, and marked as estimated. Greeks that fail a gate are null."""
+    """Contracts with a price keep the volatility solved from it if it passes the gates; the others are priced at the day's median
+    of those, or DEFAULT_IV, and marked as estimated. Greeks that fail a gate are null.
+
+    The chain with what is solved is stored once; the medians, over all contracts of a day, read it, and so does the second pass.
+    d1, the distributions and prices are columns of their own, so that no generated method outgrows the compiler."""
     s, k, kind = F.col("underlying_price"), F.col("strike"), F.col("option_type")
-    t = F.greatest(F.col("days_to_expiry"), F.lit(1)) / 365.0
     inner = F.greatest(F.when(kind == "Call", s - k).otherwise(k - s), F.lit(0.0))
-    x = chain.withColumns({"t": t, "inner": inner}).withColumn("paid", price_for_greeks(F.col("inner")))
+    x = chain.withColumns({"t": F.greatest(F.col("days_to_expiry"), F.lit(1)) / 365.0, "inner": inner}).withColumn("paid", price_for_greeks(F.col("inner")))
     m = s / k
     deep = (m > 1 + DEEP) | (m < 1 - DEEP)
-    t, r, paid = F.col("t"), F.col("rate"), F.col("paid")
-    timed = (paid > 0) & m.between(0.1, 10) & (paid - F.col("inner") >= F.when(deep, DEEP_TIME).otherwise(LEAST_TIME))
-    market = F.col("implied_volatility").between(0.05, F.when(deep, 5.0).otherwise(2.0))
-    x = x.withColumn("market_price", pricing.price(kind, s, k, t, r, F.col("implied_volatility")))
+    t, r, paid, iv = F.col("t"), F.col("rate"), F.col("paid"), F.col("iv")
+    least = F.when(deep, DEEP_TIME).otherwise(LEAST_TIME)
+    x = solved(x, paid, t, r)
+    x = x.withColumn("d1", pricing.d1(s, k, t, r, iv)).withColumn("market_price", pricing.price(kind, s, k, t, r, iv, F.col("d1")))
+    timed = (paid > 0) & m.between(0.1, 10) & (paid - F.col("inner") >= least)
+    market = iv.between(0.05, F.when(deep, 5.0).otherwise(2.0))
     near = F.abs(F.col("market_price") - paid) <= paid * F.when(deep, DEEP_ERROR).otherwise(ERROR)
-    x = x.withColumn("iv1", F.when(timed & market & near, F.col("implied_volatility")))
-    x = stored(x)  # read for the medians, which are over all contracts of a day, and again
+    x = stored(x.withColumn("iv1", F.when(timed & market & near, iv)).drop("iv", "d1"))
     median = exact_percentile(x, ["trade_date"], "iv1", 0.5, "median_iv")
     x = x.join(median, "trade_date", "left").withColumn("median_iv", F.coalesce("median_iv", F.lit(DEFAULT_IV))).withColumn("is_estimated", F.coalesce(paid <= 0, F.lit(True)))
     x = x.withColumn("iv", F.when(F.col("is_estimated"), F.col("median_iv")).otherwise(F.col("iv1")))
-    iv = F.col("iv")
-    x = x.withColumn("estimated_price", F.when(F.col("is_estimated"), pricing.price(kind, s, k, t, r, iv)))
-    enough = ~F.col("is_estimated") | (m.between(0.1, 10) & (F.col("estimated_price") > 0) & (F.col("estimated_price") - F.col("inner") >= F.when(deep, DEEP_TIME).otherwise(LEAST_TIME)))
-    x = x.withColumn("iv", F.when(enough, iv))
-    return x.withColumns({"delta": pricing.delta(kind, s, k, t, r, iv), "gamma": F.when(iv.isNotNull(), pricing.gamma(s, k, t, r, iv)), "vega": F.when(iv.isNotNull(), pricing.vega(s, k, t, r, iv))})
+    x = x.withColumn("d1", pricing.d1(s, k, t, r, iv)).withColumn("estimated_price", F.when(F.col("is_estimated"), pricing.price(kind, s, k, t, r, iv, F.col("d1"))))
+    enough = ~F.col("is_estimated") | (m.between(0.1, 10) & (F.col("estimated_price") > 0) & (F.col("estimated_price") - F.col("inner") >= least))
+    x = x.withColumn("iv", F.when(enough, iv)).withColumn("d1", F.when(iv.isNotNull(), F.col("d1")))
+    d = F.col("d1")
+    return x.withColumns({"delta": pricing.delta(kind, s, k, t, r, iv, d), "gamma": F.when(iv.isNotNull(), pricing.gamma(s, k, t, r, iv, d)), "vega": F.when(iv.isNotNull(), pricing.vega(s, k, t, r, iv, d))})
 
 
 PASSES = dict.fromkeys(["ticker", "option_type", "strike", "expiry_date", "trade_date", "is_estimated"]) | {"paid": 4, "median_iv": 6, "iv": 6, "estimated_price": 4, "delta": 6, "gamma": 6, "vega": 6}
@@ -125,13 +129,14 @@ def _hidden(chain: DataFrame) -> DataFrame:
 @register(
     "two_pass_greeks",
     adapters.doubles(f"""
-WITH {CHAIN},{CURVE_CTE},
-a AS (SELECT o.* EXCLUDE (last_price, ask), CASE WHEN bid IS NOT NULL THEN last_price END AS last_price, CASE WHEN bid IS NOT NULL THEN ask END AS ask, greatest(days_to_expiry, 1) / 365.0 AS t, greatest(CASE option_type WHEN 'Call' THEN underlying_price - strike ELSE strike - underlying_price END, 0.0) AS inner_value,
+WITH RECURSIVE {CHAIN},{CURVE_CTE},
+a AS (SELECT row_number() OVER () AS id, o.* EXCLUDE (last_price, ask), CASE WHEN bid IS NOT NULL THEN last_price END AS last_price, CASE WHEN bid IS NOT NULL THEN ask END AS ask, greatest(days_to_expiry, 1) / 365.0 AS t, greatest(CASE option_type WHEN 'Call' THEN underlying_price - strike ELSE strike - underlying_price END, 0.0) AS inner_value,
         {_rate_sql("(greatest(days_to_expiry, 1) / 365.0)")} AS rate, (underlying_price / strike > 1.02 OR underlying_price / strike < 0.98) AS deep FROM option_chain o JOIN cf USING (trade_date)),
 b AS (SELECT *, CASE WHEN last_price > 0 THEN last_price ELSE (bid + ask) / 2 END AS base FROM a),
-c AS MATERIALIZED (SELECT *, CASE WHEN base < inner_value AND ask IS NOT NULL THEN ask ELSE base END AS paid, {_D1.format(v="implied_volatility")} AS da FROM b),
-d AS MATERIALIZED (SELECT *, {_price_sql("da", "implied_volatility")} AS market_price FROM c),
-e AS (SELECT *, CASE WHEN paid > 0 AND underlying_price / strike BETWEEN 0.1 AND 10 AND paid - inner_value >= if(deep, {DEEP_TIME}, {LEAST_TIME}) AND implied_volatility BETWEEN 0.05 AND if(deep, 5.0, 2.0) AND abs(market_price - paid) <= paid * if(deep, {DEEP_ERROR}, {ERROR}) THEN implied_volatility END AS iv1 FROM d),
+c AS MATERIALIZED (SELECT *, CASE WHEN base < inner_value AND ask IS NOT NULL THEN ask ELSE base END AS paid FROM b),
+{solved_sql("c")},
+{valued_sql("iv", "c_iv", "market_price")},
+e AS MATERIALIZED (SELECT * EXCLUDE (iv), CASE WHEN paid > 0 AND underlying_price / strike BETWEEN 0.1 AND 10 AND paid - inner_value >= if(deep, {DEEP_TIME}, {LEAST_TIME}) AND iv BETWEEN 0.05 AND if(deep, 5.0, 2.0) AND abs(market_price - paid) <= paid * if(deep, {DEEP_ERROR}, {ERROR}) THEN iv END AS iv1 FROM c_iv_market_price),
 m AS (SELECT trade_date, coalesce(median(iv1), {DEFAULT_IV}) AS median_iv FROM e GROUP BY trade_date),
 f AS MATERIALIZED (SELECT e.*, median_iv, coalesce(paid <= 0, true) AS is_estimated, CASE WHEN coalesce(paid <= 0, true) THEN median_iv ELSE iv1 END AS iv0 FROM e JOIN m USING (trade_date)),
 g AS MATERIALIZED (SELECT *, {_D1.format(v="iv0")} AS db FROM f),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import pricing
@@ -12,6 +12,7 @@ from tidemark.operators.rows import latest_by, nth_by
 from tidemark.operators.series import next_and_previous
 from tidemark.plans.gold_chain import CHAIN, chain_of, select_rounded, sql_rounded
 from tidemark.plans.registry import register
+from tidemark.session import stored
 from tidemark.sources import adapters
 
 CONTRACT = ["ticker", "option_type", "strike", "expiry_date"]
@@ -141,24 +142,93 @@ def event_features_query(spark, sf_dir):
 # Pricing over the whole chain
 
 
+GREEKS = ("delta", "gamma", "theta", "vega", "rho", "vanna", "charm")
+
+
+def solved(chain: DataFrame, paid: Column, t: Column, rate: Column) -> DataFrame:
+    """chain with iv, the volatility solved from the price paid. Rows are small but dear, so they are dealt out evenly, and what is
+    solved is stored: later columns must not solve it again."""
+    parts = int(chain.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(chain.repartition(parts).withColumn("iv", pricing.implied_vol(F.col("option_type"), paid, F.col("underlying_price"), F.col("strike"), t, rate)))
+
+
 def priced(chain: DataFrame, rate: float = adapters.RATE) -> DataFrame:
-    """Implied volatility from the traded price, the price at it, and all Greeks; nulls where no volatility gives the price."""
+    """Implied volatility from the traded price, the price at it, and all Greeks; nulls where no volatility gives the price or the
+    volatility fails the gates."""
     s, k, t, r, kind = F.col("underlying_price"), F.col("strike"), F.col("days_to_expiry") / 365, F.lit(rate), F.col("option_type")
     inner = F.greatest(F.when(kind == "Call", s - k).otherwise(k - s), F.lit(0.0))
     some = chain.where((F.col("days_to_expiry") > 0) & s.between(0.3 * k, 5 * k) & (F.col("last_price") > 0.01))
-    iv = some.withColumns({"iv": F.nanvl(pricing.implied_vol(kind, F.col("last_price"), s, k, t, r), F.lit(None).cast("double")), "inner": inner})
+    iv = solved(some, F.col("last_price"), t, r).withColumn("inner", inner)
     v = F.col("iv")
     d = F.col("d1")
     out = iv.withColumn("d1", pricing.d1(s, k, t, r, v)).withColumns({"repriced": pricing.price(kind, s, k, t, r, v, d), "g": pricing.greeks(kind, s, k, t, r, v, d)})
     good = v.between(0.05, 2.0) & (F.abs(F.col("repriced") - F.col("last_price")) <= 0.01 * F.col("last_price")) & (F.col("last_price") - F.col("inner") >= -0.05)
-    return out.withColumns({"iv_ok": F.coalesce(good, F.lit(False)), **{n: F.when(good, F.col(f"g.{n}")) for n in ("delta", "gamma", "theta", "vega", "rho", "vanna", "charm")}})
+    return out.withColumns({"iv_ok": F.coalesce(good, F.lit(False)), **{n: F.when(good, F.col(f"g.{n}")) for n in GREEKS}})
+
+
+FROM_PRICES = dict.fromkeys(["ticker", "option_type", "strike", "expiry_date", "trade_date", "iv_ok"]) | {"iv": 4, "repriced": 4} | dict.fromkeys(GREEKS, 4)
+HALVINGS = 48
+
+
+def d1_sql(v: str) -> str:
+    return f"least(greatest((ln(underlying_price / strike) + (rate + {v} * {v} / 2.0) * t) / ({v} * sqrt(t)), -10.0), 10.0)"
+
 
+def price_from(n1: str, n2: str) -> str:
+    disc = "strike * exp(-rate * t)"
+    return f"CASE option_type WHEN 'Call' THEN greatest(underlying_price * {n1} - {disc} * {n2}, underlying_price - strike, 0.0) ELSE greatest({disc} * (1.0 - {n2}) - underlying_price * (1.0 - {n1}), strike - underlying_price, 0.0) END"
 
-@register("greeks_from_prices")
+
+def valued_sql(v: str, source: str, name: str) -> str:
+    """Common table expressions that add <name>, the model's price at v, to the rows of source; the last is called <source>_<name>."""
+    x = f"{source}_{name}"
+    return f"""
+{x}_d AS MATERIALIZED (SELECT *, {d1_sql(v)} AS x1 FROM {source}),
+{x}_n AS MATERIALIZED (SELECT *, {pricing.cdf_sql("x1")} AS n1, {pricing.cdf_sql(f"(x1 - {v} * sqrt(t))")} AS n2 FROM {x}_d),
+{x} AS MATERIALIZED (SELECT * EXCLUDE (x1, n1, n2), {price_from("n1", "n2")} AS {name} FROM {x}_n)"""
+
+
+def solved_sql(source: str) -> str:
+    """Common table expressions that add iv by halving to the rows (id, option_type, underlying_price, strike, rate, t, paid) of
+    source; the last is called <source>_iv. To stand in a WITH RECURSIVE."""
+    low, high = "0.0001", "5.0"
+    return f"""
+{valued_sql(low, source, "least")},
+{valued_sql(high, f"{source}_least", "most")},
+{source}_open AS MATERIALIZED (SELECT id, option_type, underlying_price, strike, rate, t, paid FROM {source}_least_most WHERE t > 0 AND paid > 0 AND least < paid AND most >= paid),
+{source}_halved AS (
+  SELECT id, 0 AS n, {low} AS lo, {high} AS hi FROM {source}_open
+  UNION ALL
+  SELECT id, n + 1, CASE WHEN at_mid < paid THEN mid ELSE lo END, CASE WHEN at_mid < paid THEN hi ELSE mid END FROM (
+    SELECT id, n, lo, hi, mid, paid, {price_from("n1", "n2")} AS at_mid FROM (
+      SELECT *, {pricing.cdf_sql("x1")} AS n1, {pricing.cdf_sql("(x1 - mid * sqrt(t))")} AS n2 FROM (
+        SELECT *, {d1_sql("mid")} AS x1 FROM (SELECT q.*, n, lo, hi, (lo + hi) / 2.0 AS mid FROM {source}_halved JOIN {source}_open q USING (id) WHERE n < {HALVINGS}))))),
+{source}_found AS MATERIALIZED (SELECT id, (lo + hi) / 2.0 AS iv FROM {source}_halved WHERE n = {HALVINGS}),
+{source}_iv AS MATERIALIZED (SELECT s.*, iv FROM {source} s LEFT JOIN {source}_found USING (id))"""
+
+
+@register(
+    "greeks_from_prices",
+    adapters.doubles(f"""
+WITH RECURSIVE {CHAIN},
+q AS MATERIALIZED (SELECT row_number() OVER () AS id, ticker, option_type, strike, expiry_date, trade_date, underlying_price, last_price AS paid, days_to_expiry / 365.0 AS t, {adapters.RATE} AS rate, greatest(CASE option_type WHEN 'Call' THEN underlying_price - strike ELSE strike - underlying_price END, 0.0) AS inner_value
+  FROM option_chain WHERE days_to_expiry > 0 AND underlying_price BETWEEN 0.3 * strike AND 5 * strike AND last_price > 0.01),
+{solved_sql("q")},
+a AS MATERIALIZED (SELECT *, {d1_sql("iv")} AS x1 FROM q_iv),
+b AS MATERIALIZED (SELECT *, x1 - iv * sqrt(t) AS x2, exp(-x1 * x1 / 2.0) / sqrt(2.0 * pi()) AS pdf, strike * exp(-rate * t) AS fk FROM a),
+c AS MATERIALIZED (SELECT *, {pricing.cdf_sql("x1")} AS n1, {pricing.cdf_sql("x2")} AS n2 FROM b),
+d AS MATERIALIZED (SELECT *, {price_from("n1", "n2")} AS model FROM c),
+e AS MATERIALIZED (SELECT *, coalesce(iv BETWEEN 0.05 AND 2.0 AND abs(model - paid) <= 0.01 * paid AND paid - inner_value >= -0.05, false) AS iv_ok,
+       (-underlying_price * pdf * iv / (2.0 * sqrt(t)) + CASE option_type WHEN 'Call' THEN -rate * fk * n2 ELSE rate * fk * (1.0 - n2) END) / 365.0 AS decay, pdf / (underlying_price * iv * sqrt(t)) AS bend, underlying_price * pdf * sqrt(t) / 100.0 AS lift FROM d),
+f AS (SELECT ticker, option_type, strike, expiry_date, trade_date, iv_ok, CASE WHEN iv_ok THEN iv END AS iv, CASE WHEN iv_ok THEN model END AS repriced, CASE WHEN iv_ok THEN n1 - CASE option_type WHEN 'Call' THEN 0.0 ELSE 1.0 END END AS delta, CASE WHEN iv_ok THEN CASE WHEN bend > 1 THEN 0.0 ELSE bend END END AS gamma,
+       CASE WHEN iv_ok THEN CASE WHEN abs(decay) > model THEN 0.0 ELSE decay END END AS theta, CASE WHEN iv_ok THEN CASE WHEN lift > underlying_price THEN 0.0 ELSE lift END END AS vega, CASE WHEN iv_ok THEN t * fk / 100.0 * CASE option_type WHEN 'Call' THEN n2 ELSE n2 - 1.0 END END AS rho,
+       CASE WHEN iv_ok THEN -pdf * x2 / iv / 100.0 END AS vanna, CASE WHEN iv_ok THEN -pdf * (2.0 * rate * t - x2 * iv * sqrt(t)) / (2.0 * t * iv * sqrt(t)) / 365.0 END AS charm FROM e)
+SELECT {", ".join(c if n is None else f"round({c} + 3e-7, {n}) + 0.0 AS {c}" for c, n in FROM_PRICES.items())} FROM f"""),
+)
 def greeks_from_prices(spark, sf_dir):
-    """No oracle: the volatility comes out of an iteration; its repricing is tested instead."""
+    """Volatilities solved from last prices with all Greeks, each only where the volatility passes the gates."""
     out = priced(chain_of(spark, sf_dir).drop("delta", "gamma", "vega"))
-    return out.select(*CONTRACT, "trade_date", *[F.round(c, 6).alias(c) for c in ("iv", "repriced", "delta", "gamma", "theta", "vega", "rho", "vanna", "charm")], "iv_ok")
+    return select_rounded(out.withColumns({c: F.when(F.col("iv_ok"), F.col(c)) for c in ("iv", "repriced")}), FROM_PRICES).withColumns({c: F.col(c) + 0.0 for c in GREEKS})  # no negative zero
 
 
 MODEL = dict.fromkeys(["ticker", "option_type", "strike", "expiry_date", "trade_date"]) | {"model_price": 4, "model_delta": 6, "model_gamma": 6, "model_vega": 6, "parity_gap": 6}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.operators import sketches
 from tidemark.operators.rows import upsert
 
 
@@ -60,19 +61,19 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return _newest(spark, path).drop("bucket", "epoch")
 
 
-def keep_states(path: str, keys: list[str], sums: list[str]) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: each batch's counts and sums per key as one epoch of states, so a summary is kept up with every
-    delivery and no row is read again. read_states() adds them up."""
+def keep_states(path: str, keys: list[str], sums: list[str], distinct: list[str] = (), ranked: list[str] = ()) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: each batch's counts, sums and sketches per key as one epoch of states, so a summary is kept up with every
+    delivery and no row is read again. read_states() merges them."""
 
     def add(batch: DataFrame, epoch: int) -> None:
-        states = batch.groupBy(*keys).agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in sums]).withColumn("epoch", F.lit(epoch))
-        states.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path)
+        part = sketches.states(batch, keys, sums, distinct, ranked).withColumn("epoch", F.lit(epoch))
+        part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path)
 
     return add
 
 
-def read_states(spark: SparkSession, path: str, keys: list[str], sums: list[str]) -> DataFrame:
-    return spark.read.parquet(path).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", *sums)])
+def read_states(spark: SparkSession, path: str, keys: list[str], sums: list[str], distinct: list[str] = (), ranked: list[str] = ()) -> DataFrame:
+    return sketches.figures(sketches.merged(spark.read.parquet(path), keys, sums, distinct, ranked), distinct, ranked)
 
 
 CLOSED = "ticker string, trade_id string, entry_ts timestamp, exit_ts timestamp, exit_type string, exit_price double, bars_held int"
