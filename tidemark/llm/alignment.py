@@ -31,7 +31,7 @@ from tidemark.llm.bpe import byte_letters
 from tidemark.llm.common import stored, table
 
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-BLOCK_CHARS, BLOCK_ROWS, SLICE = 4_000_000, 20_000, 5_000
+BLOCK_CHARS, BLOCK_ROWS, RUN, SLICE = 4_000_000, 20_000, 50, 500
 BREAKS = "".join(map(chr, [*range(9, 14), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))  # white space but for the blank
 STRETCH = re.compile(f"[ {BREAKS}]*[^ {BREAKS}]+(?:[{BREAKS}][ {BREAKS}]*[^ {BREAKS}]*)*|[ {BREAKS}]+")
 CROSSES = re.compile(f"[^ {BREAKS}] ")
@@ -54,10 +54,11 @@ def coalesce(starts: np.ndarray, ends: np.ndarray, is_b: np.ndarray) -> tuple[np
 
 
 class Alignment(NamedTuple):
-    """Of each stretch: whether it comes back whole, its numbers of tokens, groups, overlapping pairs and links, and its groups as
-    text, each closed by a semicolon; and the links' pairs of ids, end to end. What doesn't come back has zeros."""
+    """The kinds of stretch that come back whole and those that don't; of each of the former its numbers of tokens, groups,
+    overlapping pairs and links, and its groups as text, each closed by a semicolon; and the links' pairs of ids, end to end."""
 
-    whole: np.ndarray
+    kinds: list[str]
+    lost: list[str]
     n_a: np.ndarray
     n_b: np.ndarray
     n_groups: np.ndarray
@@ -90,24 +91,58 @@ class Aligner:
         self.cuts &= len(self.lead) == 1
         self.marked = [f"{i}{m}" for i in range(max(size, len(self.bytes_b))) for m in ",|;"]
 
-    def ids(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both for stretches of space + text. B adds a space of its own, so a stretch that doesn't start with one is read
-        behind a letter whose token is taken off again. What A's library says besides ids is large: it goes slice by slice."""
-        a: list[list[int]] = []
-        for at in range(0, len(stretches), SLICE):
-            a += [x.ids for x in self.a.encode_batch(stretches[at : at + SLICE], add_special_tokens=False)]
-        plain = [x.startswith(" ") and len(x) > 1 for x in stretches]
-        b = self.b.encode([x[1:] if p else "a" + x for x, p in zip(stretches, plain)], num_threads=1)
-        return a, [x if p else x[1:] for x, p in zip(b, plain)]
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        """A's ids. What its library says besides ids is large, so texts go slice by slice."""
+        return [x.ids for at in range(0, len(texts), SLICE) for x in self.a.encode_batch_fast(texts[at : at + SLICE], add_special_tokens=False)]
+
+    def encode_b(self, texts: list[str]) -> list[list[int]]:
+        """B's ids of texts as they stand. B adds a space of its own, so a text that doesn't start with one is read behind a letter
+        whose token is taken off again."""
+        plain = [x.startswith(" ") and len(x) > 1 for x in texts]
+        ids = self.b.encode([x[1:] if p else "a" + x for x, p in zip(texts, plain)], num_threads=1)
+        return [x if p else x[1:] for x, p in zip(ids, plain)]
+
+    def whole(self, text: str, ids_a: list[int], ids_b: list[int]) -> bool:
+        """Whether both sides give a text back byte for byte."""
+        raw = text.encode()
+        return all(b"".join(map(names.__getitem__, ids)) == raw for names, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b)))
+
+    def tokens(self, stretches: list[str]) -> tuple[list[str], list[str], list[np.ndarray], list[np.ndarray]]:
+        """(kinds, lost, [ids of A, of B], [how many of each kind]): the stretches that come back whole, those that don't, and the
+        tokens of the former, end to end. Stretches that can stand behind one another are encoded in runs of RUN; a run that
+        doesn't come back whole is encoded one by one, as are the others."""
+        joined = [s for s in stretches if s[0] == " " and len(s) > 1 and s[-1] != " " and s[-1] not in BREAKS] if self.cuts else []
+        alone = list(set(stretches).difference(joined))
+        runs = [joined[i : i + RUN] for i in range(0, len(joined), RUN)]
+        texts = ["".join(r) for r in runs]
+        kinds, lost, ids_a, ids_b = [], [], [], []
+        for run, text, x, y in zip(runs, texts, self.encode_a(texts), self.encode_b(texts)):
+            if self.whole(text, x, y):
+                kinds += run
+                ids_a.append(x)
+                ids_b.append(y)
+            else:
+                alone += run
+        for s, x, y in zip(alone, self.encode_a(alone), self.encode_b(alone)):
+            if self.whole(s, x, y):
+                kinds.append(s)
+                ids_a.append(x)
+                ids_b.append(y)
+            else:
+                lost.append(s)
+        flat = [np.fromiter(chain.from_iterable(x), np.int64) for x in (ids_a, ids_b)]
+        ends = np.cumsum(np.fromiter((len(s.encode()) for s in kinds), np.int64, len(kinds)))
+        counts = []
+        for ids, lengths in zip(flat, (self.len_a, self.len_b)):
+            reach = np.cumsum(lengths[ids])
+            upto = np.searchsorted(reach, ends) + 1  # a token ends where the kind does
+            assert (reach[upto - 1] == ends).all()
+            counts.append(np.diff(upto, prepend=0))
+        return kinds, lost, flat, counts
 
     def align(self, stretches: list[str]) -> Alignment:
         """Groups and links of stretches, all coalesced together: each lies behind the one before."""
-        all_a, all_b = self.ids(stretches)
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (all_a, all_b))
-        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in ((all_a, n_a), (all_b, n_b)))
-        whole = self._whole(stretches, all_a, all_b, n_a, n_b, flat_a, flat_b)
-        flat_a, flat_b = flat_a[np.repeat(whole, n_a)], flat_b[np.repeat(whole, n_b)]
-        n_a, n_b = n_a * whole, n_b * whole
+        kinds, lost, (flat_a, flat_b), (n_a, n_b) = self.tokens(stretches)
         # joined bytes are the same on both sides, so both sides' ends run on from stretch to stretch alike
         ends_a, ends_b = np.cumsum(self.len_a[flat_a]), np.cumsum(self.len_b[flat_b])
         ends = np.concatenate([ends_a, ends_b])
@@ -115,25 +150,11 @@ class Aligner:
         is_b = np.repeat(np.array([0, 1], np.int8), [len(flat_a), len(flat_b)])
         order, group, left, right = coalesce(starts, ends, is_b)
         together = ends[left] == ends[right]
-        owner = np.concatenate([np.repeat(np.arange(len(stretches)), n) for n in (n_a, n_b)])
-        count = lambda of: np.bincount(of, minlength=len(stretches))
+        owner = np.concatenate([np.repeat(np.arange(len(kinds)), n) for n in (n_a, n_b)])
+        count = lambda of: np.bincount(of, minlength=len(kinds))
         links = flat_a[left[together]] << 16 | flat_b[right[together] - len(flat_a)]
         first = np.r_[True, group[1:] != group[:-1]] if len(group) else np.zeros(0, bool)
-        return Alignment(whole, n_a, n_b, count(owner[order[first]]), count(owner[left]), count(owner[left[together]]), links, self._texts(order, group, is_b, np.concatenate([flat_a, flat_b]), n_a + n_b))
-
-    def _whole(self, stretches, all_a, all_b, n_a, n_b, flat_a, flat_b) -> np.ndarray:
-        """Which stretches both sides give back byte for byte."""
-        raw = [s.encode() for s in stretches]
-        size = np.fromiter(map(len, raw), np.int64, len(raw))
-        out = np.ones(len(raw), bool)
-        for ids, n, flat, lengths, names in ((all_a, n_a, flat_a, self.len_a, self.bytes_a), (all_b, n_b, flat_b, self.len_b, self.bytes_b)):
-            owner = np.repeat(np.arange(len(raw)), n)
-            out &= np.bincount(owner, lengths[flat], minlength=len(raw)).astype(np.int64) == size
-            if out.all() and b"".join(map(names.__getitem__, flat.tolist())) == b"".join(raw):
-                continue
-            for i in np.nonzero(out)[0].tolist():
-                out[i] = b"".join(map(names.__getitem__, ids[i])) == raw[i]
-        return out
+        return Alignment(kinds, lost, n_a, n_b, count(owner[order[first]]), count(owner[left]), count(owner[left[together]]), links, self._texts(order, group, is_b, np.concatenate([flat_a, flat_b]), n_a + n_b))
 
     def _texts(self, order, group, is_b, flat, sizes) -> list[str]:
         """Each stretch's groups as text: a group's A ids, then its B ids, each id with the mark that follows it."""
@@ -187,12 +208,12 @@ def block_rows(a: Aligner, block: int, ids: pa.Array, texts: list[str]) -> pa.Re
     cut = [a.stretches(t) if t else [] for t in texts]
     per = np.fromiter(map(len, cut), np.int64, n)
     flat = list(chain.from_iterable(cut))
-    kinds = list(dict.fromkeys(flat))
-    number = dict(zip(kinds, range(len(kinds))))
+    found = a.align(list(dict.fromkeys(flat)))
+    kinds = found.kinds
+    number = dict(zip(kinds, range(len(kinds)))) | dict.fromkeys(found.lost, -1)
     kind = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
-    found = a.align(kinds)
     doc = np.repeat(np.arange(n), per)
-    whole = (np.bincount(doc[~found.whole[kind]], minlength=n) == 0) & (per > 0)
+    whole = (np.bincount(doc[kind < 0], minlength=n) == 0) & (per > 0)
     held = whole[doc]
     doc, kind = doc[held], kind[held]
     sums = [np.bincount(doc, x[kind], minlength=n).astype(np.int64) for x in (found.n_a, found.n_b, found.n_groups, found.n_links, found.n_overlaps)]
