@@ -1,4 +1,4 @@
-"""Line de-duplication, whitening and token alignment against brute force."""
+"""Line de-duplication, whitening and token alignment against brute force; what extraction keeps of an article."""
 
 import hashlib
 import random
@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import alignment, lines, whitening
+from tidemark.llm import alignment, html, lines, whitening
 
 
 # lines
@@ -180,3 +180,26 @@ def test_coalesce_groups_and_overlaps():
     of = dict(zip(order.tolist(), group.tolist()))
     assert [of[i] for i in range(6)] == [0, 0, 1, 0, 0, 1]
     assert sorted(zip(a.tolist(), b.tolist())) == [(0, 3), (1, 3), (1, 4), (2, 5)]
+
+
+# what op3 keeps of an article
+
+BODY = "<h1>Title here</h1><p>One two three four five six seven.</p><p>More words in a second paragraph of text.</p>"
+TEXT = "Title here\nOne two three four five six seven.\nMore words in a second paragraph of text."
+
+
+@pytest.mark.parametrize("wrap", ['<section data-title="the hidden cost of x">{}</section>', '<div style="overflow: hidden !important">{}</div>', '<div class="content hidden md:block">{}</div>', "<div title='display: none'>{}</div>"])
+def test_values_that_only_name_hiding_hide_nothing(wrap):
+    assert html.extract("<nav><a>Home</a></nav>" + wrap.format(BODY)) == TEXT
+
+
+@pytest.mark.parametrize("hidden", ["hidden", 'hidden=""', 'aria-hidden="true"', "ARIA-HIDDEN='true'", 'style="display:none"', "style='color: red; visibility : hidden'"])
+def test_hidden_elements_are_left_out(hidden):
+    assert html.extract(f"<article>{BODY}<div {hidden}>gone</div></article>") == TEXT
+
+
+def test_blocks_of_an_article_stay_whole():
+    parts = '<p title="a hidden gem">gem</p><p class="form-text">form words</p><p class="editor-notice">note words</p>'
+    assert html.extract(f"<article>{BODY}{parts}<p class='advert'>Buy!</p></article><footer>x</footer>") == TEXT + "\ngem\nform words\nnote words"
+    assert html.extract(f"<article><h1>Title</h1><table><tr><td>1<td>2</table>{BODY}<p>End.</article><p>Far</p>") == "Title\n1\n2\n" + TEXT + "\nEnd."
+    assert html.extract(f"<article>{BODY}</article><article><p>Other</p></article>").startswith(TEXT)

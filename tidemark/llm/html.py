@@ -42,8 +42,11 @@ NOISE = (
     "subscription signup login toolbar pagination pager skip copyright legal search form contentinfo complementary"
 ).split()
 APART = {"comment", "comments", "discussion", "disqus", "respond", "replies", "related", "recommended"}
+NOISE_WORDS = set(NOISE)
 NOISY = re.compile(r"(?<![a-z])(?:" + "|".join(NOISE) + r")(?![a-z])")
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
+UNSEEN = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+TEXTUAL = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"}  # an article's own blocks
 MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: A quote opens a value after = alone, and one that is never closed is a plain character: only the page's last quote of
 #: each sort can be unclosed, so the scan stays linear.
@@ -144,16 +147,31 @@ def _skipped(name: str, attrs: str, inside: bool) -> str:
     """Why an element is not read: "always", or "often" for what may wrap the content, "mostly" for what hardly does."""
     if name in ("body", "html") or name in MAIN:
         return ""
-    if attrs and HIDDEN.search(attrs):
+    if attrs and _hidden(attrs):
         return "always"
-    if attrs and (noise := _noisy(attrs)):
+    if attrs and (noise := _noisy(attrs, whole=name in TEXTUAL)):
         return "mostly" if noise & APART else "often"
     return "mostly" if name in ("nav", "footer") else "often" if name in SKIP and not (name == "header" and inside) else ""
 
 
-def _noisy(attrs: str) -> set[str]:
-    """The words of the fixed list that the class, id and role hold."""
+def _hidden(attrs: str) -> bool:
+    """Whether an element isn't shown: by an attribute of that name, aria-hidden="true", or its style. Other values don't count."""
+    low = attrs.lower()
+    if "hidden" not in low and "none" not in low:
+        return False
+    for m in ATTRIBUTE.finditer(low):
+        name, value = m[1], next(filter(None, m.groups()[1:]), "")
+        if name == "hidden" or name == "aria-hidden" and value.strip() == "true" or name == "style" and UNSEEN.search(value):
+            return True
+    return False
+
+
+def _noisy(attrs: str, whole: bool = False) -> set[str]:
+    """The words of the fixed list that the class, id and role hold. With `whole` a class of several parts, such as form-text, is
+    none of them: it tells how a block of text looks, not what it is."""
     values = (re.sub(r"([a-z])([A-Z])", r"\1 \2", next(filter(None, m.groups()), "")).lower() for m in MARKED.finditer(attrs))
+    if whole:
+        return {w for v in values for w in v.split() if w in NOISE_WORDS}
     return set().union(*map(NOISY.findall, values))
 
 
@@ -246,6 +264,19 @@ def best_run(values: list[float]) -> tuple[int, int]:
     return found
 
 
+def _within_article(toks: list[tuple[str, str]], start: int, end: int) -> tuple[int, int]:
+    """The run, taken on to the ends of the page's only article (or main element, where it has no article) that it meets: a heading
+    of one word or a small table at its edge costs more tags than it has words."""
+    for name in ("article", "main"):
+        opened = [i for i, (kind, _) in enumerate(toks) if kind == name]
+        if len(opened) == 1:
+            close = next((i for i in range(len(toks) - 1, opened[0], -1) if toks[i][0] == "/" + name), len(toks))
+            return (min(start, opened[0]), max(end, close)) if start < close and end > opened[0] else (start, end)
+        if opened:
+            break
+    return start, end
+
+
 def extract(page: str | None, weights: dict[str, float] | None = None) -> str:
     """The main text: blocks in page order joined by line breaks, white space within a block made one blank.
 
@@ -261,7 +292,7 @@ def extract(page: str | None, weights: dict[str, float] | None = None) -> str:
             w = default_weight(kind)
         values.append(w * len(text.split()) if kind in (WORD, LINK_WORD) else w)
     blocks, now, breaks = [], [], 0
-    for kind, text in toks[slice(*best_run(values))]:
+    for kind, text in toks[slice(*_within_article(toks, *best_run(values)))]:
         if kind in (WORD, LINK_WORD):
             now.append(text)
             if not text.isspace():
