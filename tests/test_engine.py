@@ -5,6 +5,7 @@ import datetime as dt
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -134,6 +135,44 @@ def test_sources(spark, tmp_path):
     assert {(r.t, r.v) for r in io.read_newest_version(spark, str(tmp_path / "v"), "t").collect()} == {("A", 9), ("B", 2)}
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_versions_and_buckets_need_neither_old_files_nor_exchanges(spark, tmp_path):
+    df = spark.range(100).select((F.col("id") % 5).cast("string").alias("t"), F.col("id").alias("v"))
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        io.write_as_of(df, str(tmp_path / "v"), day, "t")
+    newest = io.read_newest_version(spark, str(tmp_path / "v"), "t")
+    assert "dynamicpruning" in plan_of(newest) and sorted(r.v for r in newest.collect()) == list(range(100))
+    for name, n in (("bucketed_a", 1000), ("bucketed_b", 700)):
+        rows = spark.range(n).select((F.col("id") % 50).alias("k"), F.col("id").alias("at"))
+        io.write_bucketed(rows, name, str(tmp_path / name), ["k"], ["k", "at"], 4)
+    a, b = spark.table("bucketed_a"), spark.table("bucketed_b")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = a.groupBy("k").agg(F.count("*").alias("n")).join(b.groupBy("k").agg(F.max("at").alias("last")), "k")
+        windowed = a.withColumn("nth", F.row_number().over(Window.partitionBy("k").orderBy("at")))
+        assert "SortMergeJoin" in plan_of(joined) and "Exchange" not in plan_of(joined) + plan_of(windowed)
+        assert {(r.k, r.n, r.last) for r in joined.collect()} == {(k, 20, 650 + k) for k in range(50)} and windowed.where("nth = 20").count() == 50
+        spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+        assert a.select("k").unionByName(b.select("k")).groupBy("k").count().count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.unionOutputPartitioning")
+        spark.sql("DROP TABLE bucketed_a")
+        spark.sql("DROP TABLE bucketed_b")
+
+
+def test_dense_ids_follow_the_highest(spark):
+    rng = np.random.default_rng(1)
+    new = spark.createDataFrame([(int(x), "n") for x in rng.permutation(500)], "k long, s string").repartition(7)
+    old = spark.createDataFrame([(900 + i, "o", i + 1) for i in range(40)], "k long, s string, id long")
+    got = {r.k: r.id for r in rows.continue_ids(old, new, ["k"], "id").collect()}
+    assert got == {900 + i: i + 1 for i in range(40)} | {k: 41 + k for k in range(500)}
+    assert rows.continue_ids(old.limit(0), new.limit(0), ["k"], "id").count() == 0
+
+
 def test_streams_match_batch(spark, tmp_path):
     events = spark.read.parquet(f"{D}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     src = str(tmp_path / "in")

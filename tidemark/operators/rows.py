@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stored
+
 
 def ranked(df: DataFrame, keys: list[str], order: list[Column], name: str = "rn") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
@@ -45,3 +47,20 @@ def filled_from(df: DataFrame, other: DataFrame, keys: list[str], column: str, f
     else by the fallback."""
     known = other.where(F.col(column).isNotNull()).groupBy(*keys).agg(F.max(column).alias("_from"))
     return df.join(known, keys, "left").withColumn(column, F.coalesce(column, "_from", fallback)).drop("_from")
+
+
+def with_dense_ids(df: DataFrame, order: list[str], name: str, start: int = 0) -> DataFrame:
+    """df with ids start + 1, start + 2, ... in the order of columns that tell all rows apart. Rows are dealt out by ranges and
+    stored so; the ranges' counts, a row each, are summed up, and each range numbers its own rows, so no task holds them all."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = stored(df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()))
+    counts = ranges.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = counts.select("_range", (F.sum("_n").over(Window.partitionBy().orderBy("_range")) - F.col("_n")).alias("_before"))  # a row a range
+    nth = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranges.withColumn("_nth", nth).join(before, "_range").withColumn(name, (F.col("_before") + F.col("_nth") + F.lit(start)).cast("long")).drop("_range", "_nth", "_before")
+
+
+def continue_ids(old: DataFrame, new: DataFrame, order: list[str], name: str) -> DataFrame:
+    """old, whose rows have ids, and the rows of new with the ids that follow old's highest one."""
+    highest = old.agg(F.coalesce(F.max(name), F.lit(0))).first()[0]
+    return old.unionByName(with_dense_ids(new, order, name, highest).select(*old.columns))

@@ -10,7 +10,7 @@ from tidemark.functions.dates import dow0, fiscal_quarter
 from tidemark.functions.numbers import half_step, interpolate, safe_div
 from tidemark.functions.text import call_put_totals, market_of, parse_date, parse_expiry, parse_percent
 from tidemark.operators import sketches
-from tidemark.operators.rows import filled_from, insert_absent, replace_range, upsert
+from tidemark.operators.rows import continue_ids, filled_from, insert_absent, replace_range, upsert, with_dense_ids
 from tidemark.plans.gold_chain import CHAIN, chain_of, select_rounded, sql_rounded
 from tidemark.plans.registry import register
 from tidemark.session import table
@@ -143,6 +143,24 @@ def daily_by_expiry(spark, sf_dir):
     return select_rounded(merged_states(first.unionByName(second)), DAILY)
 
 
+FIRST_LINES = 4  # lines up to this one come with the first delivery
+
+
+@register(
+    "surrogate_keys",
+    f"""
+WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS line_id FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem) WHERE l_linenumber <= {FIRST_LINES}),
+b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) + (SELECT max(line_id) FROM a) AS line_id FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem) WHERE l_linenumber > {FIRST_LINES})
+SELECT * FROM a UNION ALL SELECT * FROM b""",
+)
+def surrogate_keys(spark, sf_dir):
+    """Dense ids of two deliveries, the second one's following the first one's highest."""
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    lines = table(spark, sf_dir, "lineitem").select(*key).distinct()
+    first = with_dense_ids(lines.where(F.col("l_linenumber") <= FIRST_LINES), key, "line_id")
+    return continue_ids(first, lines.where(F.col("l_linenumber") > FIRST_LINES), key, "line_id")
+
+
 SKETCHED = {"sums": ["l_quantity"], "distinct": ["l_partkey"], "ranked": ["l_extendedprice"]}
 DELIVERIES, DISTINCT_ERROR, RANK_ERROR = 4, 0.08, 0.03  # five times the sketches' usual error
 

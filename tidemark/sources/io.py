@@ -23,9 +23,19 @@ def write_as_of(df: DataFrame, path: str, as_of: str, *by: str) -> None:
 
 
 def read_newest_version(spark: SparkSession, path: str, *by: str) -> DataFrame:
+    """The newest version of each key's folders. The newest ones, a row for each folder of those that the driver lists anyway, are
+    broadcast, and their values prune the scan: older versions' files are not read. A comparison that always holds marks them as
+    selective, without which Spark does not prune."""
     df = spark.read.parquet(path)
-    newest = df.groupBy(*by).agg(F.max("as_of").alias("as_of"))
-    return df.join(newest, [*by, "as_of"], "left_semi")
+    newest = df.groupBy(*by).agg(F.max("as_of").alias("as_of")).where(F.col("as_of").cast("string") >= "")
+    return df.join(F.broadcast(newest), [*by, "as_of"], "left_semi")
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], order: list[str], buckets: int) -> None:
+    """A catalog table at path with one sorted file a bucket: joins, groupings and windows on the keys need no exchange. Before a
+    union of such tables is grouped by the keys set spark.sql.unionOutputPartitioning to false, or join them instead: Spark 4.1
+    takes the union for bucketed too and groups its parts each alone."""
+    df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*order).saveAsTable(name)
 
 
 def latest_on_or_before(df: DataFrame, day: Column, column: str = "trade_date") -> DataFrame:
