@@ -196,24 +196,6 @@ def test_streams_match_batch(spark, tmp_path):
     assert states == {r.event_type: (r.n, round(r.v, 6)) for r in events.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("v")).collect()}
 
 
-def test_trades_close_over_a_stream(spark, tmp_path):
-    t = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
-    bar = lambda k, h, high, low, close: (k, t(h), "bar", None, None, None, None, high, low, close)
-    batches = [
-        [("a", t(0), "signal", "t1", "LONG", 11.0, 9.0, None, None, None), bar("a", 1, 10.5, 9.5, 10.0), ("b", t(0), "signal", "t2", "SHORT", 9.0, 11.0, None, None, None)],
-        [bar("a", 2, 12.0, 8.0, 10.0), bar("b", 1, 10.5, 9.5, 10.0), bar("b", 2, 11.5, 9.5, 11.0), ("b", t(2), "signal", "t3", "LONG", 20.0, 5.0, None, None, None)],
-        [bar("b", 3, 12.0, 11.0, 11.5), bar("b", 4, 12.0, 11.0, 11.7), bar("b", 5, 12.0, 11.0, 11.8)],
-    ]
-    schema = "ticker string, ts timestamp, kind string, trade_id string, side string, target double, stop double, high double, low double, close double"
-    src = tmp_path / "in"
-    got = []
-    for i, rows_ in enumerate(batches):  # one delivery after another, the state kept in the checkpoint
-        spark.createDataFrame(rows_, schema).coalesce(1).write.mode("append").parquet(str(src))
-        stream = bars.closed_trades(bars.read(spark, str(src), spark.read.parquet(str(src)).schema), hold=3)
-        bars.run_available(stream, str(tmp_path / "c"), lambda b, _: got.extend(map(tuple, b.select("trade_id", "exit_type", "exit_price", "bars_held").collect())))
-    assert sorted(got) == [("t1", "TARGET", 11.0, 2), ("t2", "STOP", 11.0, 2), ("t3", "TIME", 11.8, 3)]
-
-
 def test_reports_pages_json_and_bundles(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long")
     io.write_report(df, str(tmp_path / "c"), "csv")
