@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import safe_div
-from tidemark.plans.events import all_events, hourly, labelled, window_features
+from tidemark.plans import validation
+from tidemark.plans.events import EVENT_CTE, all_events, hourly, labelled, window_features
 from tidemark.plans.gold_chain import select_rounded, sql_rounded
 from tidemark.plans.registry import ORACLES, QUERIES, register
 from tidemark.plans.validation import HOURLY, MODEL_FEATURES, SCORED_CTE, scored_labels
+from tidemark.session import stored
 
 # Last day of training and of validation, the gap after each in hours, first day and number of days of a fold.
 TRAIN_TO, VALID_TO, EMBARGO, FOLD_FROM, FOLD_DAYS = "2024-01-18", "2024-01-24", 40, "2024-01-10", 5
@@ -168,6 +170,108 @@ def model_ablation(spark, sf_dir):
     return every.groupBy("model").agg(F.count("*").alias("n"), F.round(F.avg(((F.col("p_up") >= 0.5) == (F.col("y") == 1)).cast("double")), 6).alias("accuracy"), F.round(F.avg(F.pow(F.col("p_up") - F.col("y"), 2)), 6).alias("brier"))
 
 
+# Expanding folds: fold k is tested on FOLD_DAYS days, less the embargo at their start, and trained on all events before them
+
+
+def fold_of(at: Column) -> Column:
+    """The fold whose days hold the event, -1 before the first: it trains every later fold."""
+    return F.greatest(F.floor(F.datediff(F.to_date(at), F.lit(FOLD_FROM).cast("date")) / FOLD_DAYS), F.lit(-1)).cast("long")
+
+
+def foldable(spark, sf_dir) -> DataFrame:
+    """Training rows with their fold and whether it tests them; those in its embargo train later folds alone."""
+    at = F.col("t_end").cast("timestamp")
+    start = F.date_add(F.lit(FOLD_FROM).cast("date"), (F.col("fold") * FOLD_DAYS).cast("int")).cast("timestamp")
+    rows = training_rows(spark, sf_dir).withColumn("fold", fold_of(at))
+    return rows.withColumn("tested", (F.col("fold") >= 0) & (at >= start + F.expr(f"INTERVAL {EMBARGO} HOUR"))).select("ticker", "t_end", "fold", "tested", "y", *MODEL_FEATURES)
+
+
+def fold_shares(rows: DataFrame) -> DataFrame:
+    """Per fold that tests any: how many train it and the share of 1 among them (one half where none does), by running sums
+    over one row a fold. Folds in which no event falls are not listed."""
+    per = rows.groupBy("fold").agg(F.count("*").alias("n"), F.sum("y").alias("up"), F.count(F.when(F.col("tested"), 1)).alias("n_test"))
+    before = Window.orderBy("fold").rowsBetween(Window.unboundedPreceding, -1)  # a row a fold
+    out = per.withColumns({"n_train": F.coalesce(F.sum("n").over(before), F.lit(0)), "up_train": F.sum("up").over(before)})
+    return out.where("fold >= 0 and n_test > 0").select("fold", "n_train", "n_test", "up_train", F.coalesce(safe_div(F.col("up_train"), F.col("n_train")), F.lit(0.5)).alias("share"))
+
+
+def fold_scores(rows: DataFrame, kinds: tuple[str, ...] = ("logistic", "boosted"), rounds: int = 200, parallel: int = 4) -> DataFrame:
+    """Scores out of fold (fold, model, n_train, y, p_up) by the share of the training labels and by each kind of model, fitted
+    anew on every fold's past; a fold whose past holds one label alone is scored by its share. rows should be stored: each fit reads
+    them. The fits of so many (fold, model) pairs run at once, each of them spread over the cluster."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.ml.functions import vector_to_array
+
+    known = {r.fold: r for r in fold_shares(rows).collect()}  # a row a fold
+    tested = rows.where("tested")
+    if not known:
+        return tested.select("fold", F.lit("share").alias("model"), F.lit(0).cast("long").alias("n_train"), "y", F.lit(0.5).alias("p_up"))
+
+    def one(pair):
+        k, kind = pair
+        r = known[k]
+        test = tested.where(F.col("fold") == k)
+        if kind == "share" or not 0 < r.up_train < r.n_train:
+            scored = test.withColumn("p_up", F.lit(float(r.share)))
+        else:
+            scored = fitted(rows.where(F.col("fold") < k), MODEL_FEATURES, kind, rounds).transform(test).withColumn("p_up", vector_to_array("probability")[1])
+        return scored.select("fold", F.lit(kind).alias("model"), F.lit(r.n_train).cast("long").alias("n_train"), "y", "p_up")
+
+    with ThreadPoolExecutor(parallel) as pool:
+        parts = list(pool.map(one, [(k, kind) for k in sorted(known) for kind in ("share", *kinds)]))
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    return every
+
+
+def fold_figures(scores: DataFrame) -> DataFrame:
+    """Per model and fold, and over all folds pooled (fold null): training and tested events, accuracy, Brier score, and the area
+    under the ROC curve by ranks, ties sharing their mean rank."""
+    both = scores.withColumn("part", F.explode(F.array(F.col("fold"), F.lit(None).cast("long"))))
+    n = Window.partitionBy("model", "part")
+    ranked = both.groupBy("model", "part", "p_up").agg(F.count("*").alias("n"), F.sum("y").alias("up"), F.max("n_train").alias("n_train"))  # equal scores first become one row
+    ranked = ranked.withColumn("below", F.sum("n").over(n.orderBy("p_up").rowsBetween(Window.unboundedPreceding, -1)))
+    mean_rank = F.coalesce("below", F.lit(0)) + (F.col("n") + 1) / 2
+    down = F.col("n") - F.col("up")
+    out = ranked.groupBy("model", F.col("part").alias("fold")).agg(
+        F.max("n_train").alias("n_train"), F.sum("n").alias("n_test"), F.sum("up").alias("ups"), F.sum(down).alias("downs"), F.sum(F.when(F.col("p_up") >= 0.5, F.col("up")).otherwise(down)).alias("right"),
+        F.sum(F.col("up") * F.pow(F.col("p_up") - 1, 2) + down * F.pow("p_up", 2)).alias("squares"), F.sum(F.col("up") * mean_rank).alias("ranks"),
+    )
+    return out.select("model", "fold", "n_train", "n_test", (F.col("right") / F.col("n_test")).alias("accuracy"), (F.col("squares") / F.col("n_test")).alias("brier"), safe_div(F.col("ranks") - F.col("ups") * (F.col("ups") + 1) / 2, F.col("ups") * F.col("downs")).alias("auc"))
+
+
+FOLDS = {"model": None, "fold": None, "n_train": None, "n_test": None, "accuracy": 6, "brier": 6, "auc": 6}
+
+
+@register("fold_models")
+def fold_models(spark, sf_dir):
+    """The share of the training labels, scaled logistic regression and boosted trees over the expanding folds. No oracle: the
+    fits are not reproducible in SQL; fold_baseline is the share's part with one."""
+    scores = fold_scores(stored(foldable(spark, sf_dir)), rounds=validation.BOOSTING_ROUNDS)
+    return select_rounded(fold_figures(scores), FOLDS)
+
+
+@register(
+    "fold_baseline",
+    f"""
+WITH {HOURLY},{EVENT_CTE},
+f AS (SELECT greatest(CAST(floor((CAST(t_end AS DATE) - DATE '{FOLD_FROM}') / {FOLD_DAYS}) AS BIGINT), -1) AS fold, t_end, CASE WHEN label = 'UP_RESOLVE' THEN 1 ELSE 0 END AS y FROM event_rows WHERE label <> 'NO_RESOLVE'),
+t AS (SELECT *, fold >= 0 AND t_end >= CAST(DATE '{FOLD_FROM}' + CAST(fold * {FOLD_DAYS} AS INTEGER) AS TIMESTAMP) + INTERVAL {EMBARGO} HOUR AS tested FROM f),
+s AS (SELECT k.fold, (SELECT count(*) FROM t p WHERE p.fold < k.fold) AS n_train, coalesce((SELECT avg(y) FROM t p WHERE p.fold < k.fold), 0.5) AS p_up FROM (SELECT DISTINCT fold FROM t WHERE tested) k),
+o AS (SELECT t.fold, n_train, p_up, y FROM t JOIN s USING (fold) WHERE tested),
+b AS (SELECT * FROM o UNION ALL SELECT NULL, n_train, p_up, y FROM o),
+r AS (SELECT *, rank() OVER (PARTITION BY fold ORDER BY p_up) + (count(*) OVER (PARTITION BY fold, p_up) - 1) / 2.0 AS rk FROM b),
+g AS (SELECT 'share' AS model, fold, max(n_train) AS n_train, count(*) AS n_test, avg(if((p_up >= 0.5) = (y = 1), 1, 0)) AS accuracy, avg(power(p_up - y, 2)) AS brier,
+        (sum(rk) FILTER (y = 1) - CAST(sum(y) AS DOUBLE) * (sum(y) + 1) / 2) / nullif(CAST(sum(y) AS DOUBLE) * (count(*) - sum(y)), 0) AS auc FROM r GROUP BY fold)
+SELECT {sql_rounded(FOLDS)} FROM g""",
+)
+def fold_baseline(spark, sf_dir):
+    """What a model that knows only the share of the labels before a fold scores on it."""
+    return select_rounded(fold_figures(fold_scores(stored(foldable(spark, sf_dir)), kinds=())), FOLDS)
+
+
 def write_bundle(spark, path: str, features: list[str], config: dict, metrics: dict, model=None) -> None:
     """What production needs: the ordered features, the decision rule and the figures as JSON, the model beside them."""
     text = json.dumps({"features": features, "config": config, "metrics": metrics}, sort_keys=True)
