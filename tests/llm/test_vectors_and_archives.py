@@ -1,5 +1,6 @@
 """Vector near-duplicates, WARC archives, components, the registry and the pipeline."""
 
+import datetime as dt
 import random
 
 import numpy as np
@@ -97,6 +98,43 @@ def test_loser_tree_sorts(k):
     assert list(warc.LoserTree(lists, key=lambda x: (x,))) == sorted(x for xs in lists for x in xs)
 
 
+def test_loser_tree_holds_one_item_a_stream():
+    taken = []
+
+    def stream(n):
+        for x in range(n, 300, 3):
+            taken.append(x)
+            yield x
+
+    tree = iter(warc.LoserTree([stream(i) for i in range(3)], key=lambda x: x))
+    assert [next(tree) for _ in range(30)] == list(range(30)) and len(taken) <= 33
+
+
+def test_captures_of_one_url_are_ordered_by_time_over_many_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "HEAD_ROWS", 1)
+    monkeypatch.setattr(warc, "FILE_RECORDS", 50)
+    rng = random.Random(3)
+    start = dt.datetime(2024, 1, 1)
+    urls = ["http://hot.example.com/"] * 6 + ["http://b.example.com/x", "https://www.a.example.com/é"]
+    rows = [(i, rng.choice(urls), f"{rng.randrange(40)}" + "y" * 150, start + dt.timedelta(hours=rng.randrange(200))) for i in range(900)]
+    rows += [(7, urls[0], "again", start)] * 40  # one record many times
+    pages = spark.createDataFrame(rows, PAGES + ", at timestamp").repartition(6)
+    path = str(tmp_path / "w")
+    warc.write(pages, path, time_col="at")
+    ordered = warc.index(spark, path, range_rows=20)
+    assert ordered.rdd.getNumPartitions() > 40
+    sizes = [r["count"] for r in ordered.groupBy("part").count().collect()]
+    assert max(sizes) <= 120 and sum(sizes) == 940  # near 20 captures a range, the hot URL and the repeated record cut as well
+    got = sorted(warc.positioned(ordered).collect(), key=lambda r: r["position"])
+    assert [r["position"] for r in got] == list(range(1, 941))
+    want = sorted((warc.url_key(u), f"{t:%Y-%m-%dT%H:%M:%SZ}", i) for i, u, _, t in rows)
+    assert [(r["url_key"], r["captured"], r["page_id"]) for r in got] == want
+    seen = {}
+    for r in got:
+        seen[r["url_key"]] = seen.get(r["url_key"], 0) + 1
+        assert r["nth_of_url"] == seen[r["url_key"]]
+
+
 def test_every_operator_is_registered_once():
     assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
     assert 4 <= len(corpus_pipeline.STAGES) <= 5

@@ -3,9 +3,11 @@
 Writing: ids and digests are grouped apart from the payloads, which are not shuffled: each row learns from the small table of
 revisits whether it is one. Spark's text writer puts one record a row, the record separator being its line separator, in gzip
 files of at most FILE_BYTES: pages of up to SMALL_BYTES lie FILE_RECORDS to a file, larger ones so many as fit by the largest.
-Reading: archives are parsed record by record by their lengths. Index: each task sorts the captures that it reads into a run;
-ranges of (URL key, time, record) are dealt out, and a loser tree merges each range's runs, so the parts in order are one
-ordered history, and a host that holds most captures is still cut into many ranges.
+Reading: archives are parsed record by record by their lengths. Index: each task sorts the captures that it reads into a run,
+written to the shared folder; ranges of (URL key, time, record, place in the archives) of about RANGE_ROWS captures are dealt
+out, Spark's own sort brings each range's runs one after the other, and a loser tree merges them from Arrow batches, of which
+HEAD_ROWS rows over all runs are unpacked at a time. So the parts in order are one ordered history, a task's memory is bounded
+by a range whatever the input, and a host, an URL or a record that holds most captures is still cut into many ranges.
 
 A null payload is an empty one; a null URL gives an empty key; rows without an id are written but refer to nothing and are
 referred to by nothing; rows that repeat the smallest id of a payload are all responses; an empty table gives no archive's
@@ -18,18 +20,20 @@ import hashlib
 import zlib
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import scratch, stored, table
 
 LEAST_BYTES, FILE_RECORDS, SMALL_BYTES, FILE_BYTES = 100, 1000, 1 << 18, 1 << 28
+RANGE_ROWS, HEAD_ROWS = 50_000, 1 << 16
 NO_TIME = "1970-01-01T00:00:00Z"
 URN = "urn:capture:"
 RUN_SCHEMA = "url_key string, captured string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, archive string, offset long, length long, run long, place long"
-INDEX_SCHEMA = RUN_SCHEMA.rsplit(", run", 1)[0]
+INDEX_SCHEMA = RUN_SCHEMA.rsplit(", run", 1)[0] + ", part long, place long, nth long"
 
 
 def decided(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", time_col: str | None = None, least_bytes: int = LEAST_BYTES) -> tuple[DataFrame, int]:
@@ -164,7 +168,7 @@ def runs(spark, path: str) -> DataFrame:
     return files.mapInArrow(parse, RUN_SCHEMA)
 
 
-RUN_TYPES = [(n, {"string": pa.string(), "long": pa.int64()}[t]) for n, t in (x.split(" ") for x in RUN_SCHEMA.split(", "))]
+RUN_TYPES, INDEX_TYPES = ([(n, {"string": pa.string(), "long": pa.int64()}[t]) for n, t in (x.split(" ") for x in s.split(", "))] for s in (RUN_SCHEMA, INDEX_SCHEMA))
 
 
 def batch(rows: list[tuple], types) -> pa.RecordBatch:
@@ -173,18 +177,22 @@ def batch(rows: list[tuple], types) -> pa.RecordBatch:
 
 
 class LoserTree:
-    """Merges k sorted lists: inner nodes hold the losers of the matches below, so each next item costs one path of
-    about log2 k matches.
+    """Merges k sorted streams: inner nodes hold the losers of the matches below, so each next item costs one path of
+    about log2 k matches, and of each stream one item is held.
 
-    >>> list(LoserTree([[1, 4], [], [2, 3]], key=lambda x: x))
+    >>> list(LoserTree([[1, 4], [], iter([2, 3])], key=lambda x: x))
     [1, 2, 3, 4]
     """
 
-    def __init__(self, lists, key):
-        self.lists, self.key, self.k = [x for x in lists if x], key, 0
-        self.k = len(self.lists)
-        self.at = [0] * self.k
-        self.heads = [key(x[0]) for x in self.lists]
+    def __init__(self, streams, key):
+        self.key, self.streams, self.items, self.heads = key, [], [], []
+        for s in map(iter, streams):
+            for item in s:
+                self.streams.append(s)
+                self.items.append(item)
+                self.heads.append(key(item))
+                break
+        self.k = len(self.streams)
         self.losers = [-1] * max(1, self.k)
         self.winner = self._build(1) if self.k else -1
 
@@ -203,9 +211,9 @@ class LoserTree:
 
     def __iter__(self):
         while self.k and self.heads[w := self.winner] is not None:
-            yield self.lists[w][self.at[w]]
-            self.at[w] += 1
-            self.heads[w] = self.key(self.lists[w][self.at[w]]) if self.at[w] < len(self.lists[w]) else None
+            yield self.items[w]
+            self.items[w] = next(self.streams[w], None)
+            self.heads[w] = None if self.items[w] is None else self.key(self.items[w])
             node = (w + self.k) // 2
             while node:
                 if self._beats(self.losers[node], w):
@@ -214,47 +222,85 @@ class LoserTree:
             self.winner = w
 
 
-def merged(captures: DataFrame) -> DataFrame:
-    """The captures of all runs in order of (url_key, captured, page_id), part after part."""
+def by_run(batches, column: int) -> dict[int, list[pa.RecordBatch]]:
+    """Slices of batches that come ordered by run, by run; nothing is copied or unpacked."""
+    found: dict[int, list[pa.RecordBatch]] = {}
+    for b in batches:
+        ends = b.column(column).to_numpy()
+        cuts = [0, *(np.flatnonzero(ends[1:] != ends[:-1]) + 1).tolist(), b.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if hi > lo:
+                found.setdefault(int(ends[lo]), []).append(b.slice(lo, hi - lo))
+    return found
+
+
+def rows_of(slices: list[pa.RecordBatch], step: int):
+    """Rows of one run as tuples, so many unpacked at a time."""
+    for b in slices:
+        for lo in range(0, b.num_rows, step):
+            yield from zip(*(c.to_pylist() for c in b.slice(lo, step).columns))
+
+
+def merged(captures: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """The captures of all runs in order of (url_key, captured, page_id, archive, offset), with the part, the place
+    within it, and how many of its URL it is there: parts are numbered in order. captures should be stored; they are counted first."""
     n = len(RUN_TYPES) - 2
+    ranges = captures.sparkSession.sparkContext.defaultParallelism + captures.count() // range_rows
 
     def merge(batches):
-        by_run: dict[int, list] = {}
-        for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
-                by_run.setdefault(row[n], []).append(row)
-        lists = []
-        for rows in by_run.values():
-            rows.sort(key=lambda r: r[n + 1])  # the shuffle may have interleaved what a run sent
-            lists.append(rows)
-        out = []
-        for row in LoserTree(lists, order):
-            out.append(row[:n])
-            if len(out) == 20_000:
-                yield batch(out, RUN_TYPES[:n])
+        runs = by_run(batches, n)
+        part, step = TaskContext.get().partitionId(), max(16, HEAD_ROWS // max(1, len(runs)))
+        out, place, nth, url = [], 0, 0, None
+        for row in LoserTree([rows_of(slices, step) for slices in runs.values()], order):
+            nth, url = nth + 1 if row[0] == url else 1, row[0]
+            out.append((*row[:n], part, place, nth))
+            place += 1
+            if len(out) == 10_000:
+                yield batch(out, INDEX_TYPES)
                 out = []
-        yield batch(out, RUN_TYPES[:n])
+        yield batch(out, INDEX_TYPES)
 
-    return captures.repartitionByRange("url_key", "captured", "page_id").mapInArrow(merge, INDEX_SCHEMA)
+    dealt = captures.repartitionByRange(ranges, "url_key", "captured", "page_id", "archive", "offset")
+    return dealt.sortWithinPartitions("run", "place").mapInArrow(merge, INDEX_SCHEMA)
 
 
-def index(spark, path: str) -> DataFrame:
+def index(spark, path: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """The ordered index of the archives at path. Runs are written once, so finding the ranges reads no archive again."""
-    return merged(stored(runs(spark, path)))
+    return merged(stored(runs(spark, path)), range_rows)
+
+
+def positioned(ordered: DataFrame) -> DataFrame:
+    """The index with each capture's position, from 1, in the whole history, and in its URL's (nth_of_url). Both are the numbers
+    within the part, shifted by what windows over one row a part say of the parts before; captures of one URL stand together, so
+    only the first URL of a part can have begun before it, and a URL that holds most captures meets in no task."""
+    rows = stored(ordered)
+    parts = rows.groupBy("part").agg(F.count("*").alias("n"), F.min_by("url_key", "place").alias("first_url"), F.max_by("url_key", "place").alias("last_url"), F.max_by("nth", "place").alias("n_last"))
+    in_order = Window.orderBy("part")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumns({"before": F.coalesce(F.sum("n").over(earlier), F.lit(0)), "goes_on": F.coalesce(F.col("first_url") == F.lag("last_url").over(in_order), F.lit(False))})
+    began = F.when(~(F.col("goes_on") & (F.col("n_last") == F.col("n"))), F.col("before") + F.col("n") - F.col("n_last") + 1)
+    parts = parts.withColumn("began", began).select("part", "before", F.when(F.col("goes_on"), F.last("began", ignorenulls=True).over(earlier)).alias("since"))
+    start = F.when(F.col("nth") == F.col("place") + 1, F.col("since"))  # of the part's first URL
+    position = F.col("before") + F.col("place") + 1
+    numbered = rows.join(F.broadcast(parts), "part").withColumns({"position": position, "nth_of_url": F.coalesce(position - start + 1, F.col("nth"))})
+    return numbered.drop("part", "place", "nth", "before", "since")
 
 
 def op10_warc(spark, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     write(table(spark, sf_dir, "pages"), path)
-    return index(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
-
-
-ORACLE = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
-d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
-f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
-SELECT d.page_id, d.payload_bytes, d.payload_digest,
-       CASE WHEN f.first <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN f.first <> d.page_id THEN f.first END AS refers_to
-FROM d LEFT JOIN f USING (payload_digest)
+    return positioned(index(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "position", "nth_of_url")
+
+
+ORACLE = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, coalesce(url, '') AS url FROM pages),
+d AS (SELECT page_id, url, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest),
+u AS (SELECT *, regexp_extract(url, '^[A-Za-z]+://([^/?#:]*)(:[0-9]*)?([^?#]*)(\?[^#]+)?', ['host', 'port', 'path', 'query']) AS x FROM d),
+k AS (SELECT *, array_to_string(list_reverse(string_split(regexp_replace(lower(x.host), '^www\.', ''), '.')), ',') || ')' || CASE WHEN x.path = '' THEN '/' ELSE x.path END || x.query AS url_key FROM u)
+SELECT k.page_id, k.payload_bytes, k.payload_digest,
+       CASE WHEN f.first <> k.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first <> k.page_id THEN f.first END AS refers_to,
+       url_key, row_number() OVER (ORDER BY url_key, k.page_id) AS position, row_number() OVER (PARTITION BY url_key ORDER BY k.page_id) AS nth_of_url
+FROM k LEFT JOIN f USING (payload_digest)
 """
