@@ -254,3 +254,21 @@ def bs(call, s, k, t, r, v):
     n = lambda x: (1 + erf(x / sqrt(2))) / 2
     c = s * n(a) - k * exp(-r * t) * n(a - v * sqrt(t))
     return max(c if call else c - s + k * exp(-r * t), (s - k) if call else (k - s), 0)
+
+
+def test_smile_events_and_tenors(spark):
+    from tidemark.plans import strategies as st
+
+    cases = [("Put", 0.95, -0.1, 0.2 + 0.025 * 1.05), ("Put", 0.95, 0.1, 0.225), ("Put", 0.85, 0.0, 0.24), ("Put", 0.9, None, 0.25), ("Put", 1.2, -0.1, 0.2), ("Call", 1.05, -0.1, 0.195), ("Call", 1.3, 0.0, 0.19), ("Call", 0.8, 0.0, 0.2)]
+    df = spark.createDataFrame(cases, "kind string, m double, r double, want double")
+    assert all(abs(r.got - r.want) < 1e-12 for r in df.select("want", st.skewed(F.lit(0.2), F.col("kind"), F.col("m"), F.col("r")).alias("got")).collect())
+    days = [(7, None, 0.025), (14, None, 0.0), (0, 0, 0.0), (1, 1, 0.05 * 13 / 14 + 0.015 * 6 / 7), (15, 8, 0.0), (None, 3, 0.015 * 4 / 7), (None, None, 0.0)]
+    df = spark.createDataFrame(days, "e int, x int, want double")
+    assert all(abs(r.got - r.want) < 1e-12 for r in df.select("want", st.event_rise(F.col("e"), F.col("x")).alias("got")).collect())
+    got = spark.range(1).select(st.at_tenor(F.lit(0.06), 120, F.lit(1)).alias("low"), st.at_tenor(F.lit(0.2), 120, F.lit(120)).alias("same")).first()
+    assert got.low == 0.05 and got.same == 0.2
+    state = spark.createDataFrame([("a", dt.date(2024, 1, d), 100.0) for d in (1, 2)] + [("b", dt.date(2024, 1, 1), 50.0)], "ticker string, trade_date date, close double")
+    none = spark.createDataFrame([], "ticker string, earnings_date date, ex_dividend_date date")
+    rows_ = st.volatility_smiles(st.calibrated_state(state), none, none).collect()  # too few returns: the stated volatility, no event
+    assert len(rows_) == 3 and all(0.2 < r.simulated_iv < 0.5 and r.rise == 0 and r.days_to_exdiv is None for r in rows_)
+    assert st.volatility_smiles(st.calibrated_state(state.limit(0)), none, none).count() == 0

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import pricing
 from tidemark.functions.numbers import safe_div
-from tidemark.operators.series import forward, numbered, series, streamed
+from tidemark.operators.series import forward, next_and_previous, numbered, series, streamed
 from tidemark.plans.gold_chain import CHAIN, chain_of, select_rounded, sql_rounded
 from tidemark.plans.registry import register
 from tidemark.sources import adapters
@@ -37,9 +37,25 @@ def total(legs_: Column, value) -> Column:
     return F.aggregate(F.transform(legs_, lambda x: x["quantity"] * value(x["kind"], x["strike"])), F.lit(0.0), lambda a, b: a + b)
 
 
-def skewed(iv: Column, strike: Column, spot: Column, slope: float = -0.25) -> Column:
-    """Volatility off the money, by a line in log moneyness, five points at least."""
-    return F.greatest(iv + slope * F.log(strike / spot), F.lit(0.05))
+# Fixed values of the smile, in volatility: a put's premium per unit of distance below the money and deep below it, a call's discount and
+# where it ends, how much a fall of the spot steepens the puts; and of events: rise before earnings and ex-dividend days, days ahead.
+PUT_SLOPE, PUT_DEEP, DEEP, CALL_SLOPE, CALL_END, STEEPER = 0.5, 0.04, 0.9, -0.1, 1.1, 0.5
+EARNINGS_RISE, EARNINGS_DAYS, EXDIV_RISE, EXDIV_DAYS = 0.05, 14, 0.015, 7
+
+
+def skewed(iv: Column, kind: Column, moneyness: Column, recent: Column | None = None) -> Column:
+    """Volatility off the money (moneyness is strike over spot): puts dearer, by a flat premium deep below, calls a little cheaper;
+    the puts' premium grows with a recent fall of the spot (its return, negative). In the money nothing is added."""
+    put = F.when(moneyness < DEEP, F.lit(PUT_DEEP)).otherwise(PUT_SLOPE * F.greatest(1 - moneyness, F.lit(0.0)))
+    steeper = 1 - STEEPER * F.least(F.coalesce(recent, F.lit(0.0)), F.lit(0.0)) if recent is not None else F.lit(1.0)
+    return iv + F.when(kind == "Put", put * steeper).otherwise(CALL_SLOPE * (F.greatest(F.least(moneyness, F.lit(CALL_END)), F.lit(1.0)) - 1))
+
+
+def event_rise(to_earnings: Column, to_exdiv: Column) -> Column:
+    """What the days before earnings and ex-dividend days add to a day's volatility, the more the nearer; the day itself and
+    those without an event in reach add nothing."""
+    one = lambda days, rise, reach: F.when((days > 0) & (days <= reach), rise * (reach - days) / reach).otherwise(0.0)
+    return one(to_earnings, EARNINGS_RISE, EARNINGS_DAYS) + one(to_exdiv, EXDIV_RISE, EXDIV_DAYS)
 
 
 def at_tenor(iv: Column, base: float, target: Column, slope: float = 0.02) -> Column:
@@ -131,15 +147,15 @@ def strangle_summary(spark, sf_dir):
     return select_rounded(strategy_summary(held_strategy(chain_of(spark, sf_dir), "strangle")), STRANGLE)
 
 
-def volatility_paths(state: DataFrame, beta: float = 0.5, pull: float = 0.1, noise: float = 0.02, seed: int = 7) -> DataFrame:
-    """Simulated at-the-money volatility: pulled to its mean, moved by realised volatility and seeded noise, five points at
-    least. The recursion streams along each ticker's series."""
+def volatility_paths(state: DataFrame, beta: float = 0.5, pull: float = 0.1, noise: float = 0.02, seed: int = 7, rise: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Simulated at-the-money volatility: pulled to its mean, moved by realised volatility, seeded noise and the column `rise`,
+    five points at least. The recursion streams along each ticker's series. The columns `keep` are carried along."""
     w = Window.partitionBy("ticker").orderBy("trade_date")
     rows = state.withColumn("ret", F.log(F.col("spot") / F.lag("spot").over(w)))
     rows = rows.withColumn("rv", F.when(F.count("ret").over(w.rowsBetween(-19, 0)) >= 2, F.stddev_samp("ret").over(w.rowsBetween(-19, 0))) * F.sqrt(F.lit(252.0)))
     draw = (F.conv(F.substring(F.md5(F.concat_ws("|", "ticker", F.col("trade_date").cast("string"), F.lit(str(seed)))), 1, 8), 16, 10).cast("double") / 4294967296.0 - 0.5) * 3.4641  # unit spread, fixed by key and seed
-    rows = rows.withColumns({"shock": F.coalesce(beta * (F.col("rv") - F.lag("rv").over(w)), F.lit(0.0)) + noise * draw, "mean": F.avg("iv").over(Window.partitionBy("ticker"))})
-    rows = rows.select("ticker", "trade_date", "iv", "mean", "shock")
+    rows = rows.withColumns({"shock": F.coalesce(beta * (F.col("rv") - F.lag("rv").over(w)), F.lit(0.0)) + noise * draw + (F.col(rise) if rise else F.lit(0.0)), "mean": F.avg("iv").over(Window.partitionBy("ticker"))})
+    rows = rows.select("ticker", "trade_date", "iv", "mean", "shock", *keep)
 
     def work(state: dict, part) -> list:
         out = []
@@ -151,7 +167,7 @@ def volatility_paths(state: DataFrame, beta: float = 0.5, pull: float = 0.1, noi
         state["last"] = last
         return [pa.array(out, pa.float64())]
 
-    return streamed(rows, "ticker", "trade_date", "simulated_iv double", work).select("ticker", "trade_date", "iv", "simulated_iv")
+    return streamed(rows, "ticker", "trade_date", "simulated_iv double", work).select("ticker", "trade_date", "iv", "simulated_iv", *keep)
 
 
 _STATE = "n AS (SELECT ticker, trade_date, max(underlying_price) AS spot, arg_min(implied_volatility, row(round(abs(strike - underlying_price), 6), strike, implied_volatility)) AS iv FROM option_chain GROUP BY 1, 2)"
@@ -174,6 +190,56 @@ def volatility_paths_query(spark, sf_dir):
     return select_rounded(volatility_paths(daily_state(chain_of(spark, sf_dir))), PATHS)
 
 
+BASE_TENOR, PREMIUM, UNKNOWN_VOL = 120, 0.02, 0.30
+SMILES = {"ticker": None, "trade_date": None, "days_to_earnings": None, "days_to_exdiv": None} | {c: 6 for c in "rise simulated_iv iv_30d iv_240d put_85 put_95 call_105 call_115".split()}
+
+
+def calibrated_state(bars: DataFrame) -> DataFrame:
+    """Spot per ticker and day, and as its volatility the realised one of 20 returns (30 points where there are not two) with the
+    premium that options carry over it: its mean is what a path is pulled to."""
+    w = series("ticker", "trade_date")
+    rows = bars.select("ticker", "trade_date", F.col("close").alias("spot")).withColumn("ret", F.log(F.col("spot") / F.lag("spot").over(w)))
+    near = w.rowsBetween(-19, 0)
+    rv = F.when(F.count("ret").over(near) >= 2, F.stddev_samp("ret").over(near)) * F.sqrt(F.lit(252.0))
+    return rows.select("ticker", "trade_date", "spot", (F.coalesce(rv, F.lit(UNKNOWN_VOL)) + PREMIUM).alias("iv"))
+
+
+def volatility_smiles(state: DataFrame, earnings: DataFrame, dividends: DataFrame, term_slope: float = 0.02) -> DataFrame:
+    """Simulated volatility with the rises before earnings and ex-dividend days, taken for BASE_TENOR days, shifted to shorter and
+    longer tenors by a line in log time, and off the money by kind, steeper for puts after a fall."""
+    s = next_and_previous(state, earnings, "ticker", "trade_date", "earnings_date", "earnings")
+    s = next_and_previous(s, dividends, "ticker", "trade_date", "ex_dividend_date", "exdiv")
+    s = s.withColumns({"days_to_earnings": F.datediff("earnings_next", "trade_date").cast("long"), "days_to_exdiv": F.datediff("exdiv_next", "trade_date").cast("long")})
+    s = s.withColumns({"rise": event_rise(F.col("days_to_earnings"), F.col("days_to_exdiv")), "recent": F.col("spot") / F.lag("spot").over(series("ticker", "trade_date")) - 1})
+    paths = volatility_paths(s, rise="rise", keep=("rise", "recent", "days_to_earnings", "days_to_exdiv"))
+    iv = F.col("simulated_iv")
+    off = lambda kind, m: skewed(iv, F.lit(kind), F.lit(m), F.col("recent"))
+    return paths.withColumns({"iv_30d": at_tenor(iv, BASE_TENOR, F.lit(30), term_slope), "iv_240d": at_tenor(iv, BASE_TENOR, F.lit(240), term_slope), "put_85": off("Put", 0.85), "put_95": off("Put", 0.95), "call_105": off("Call", 1.05), "call_115": off("Call", 1.15)})
+
+
+@register(
+    "volatility_smiles",
+    f"""
+WITH RECURSIVE {adapters.oracle("bars_daily", "calendar_earnings")},
+n AS (SELECT ticker, trade_date, close AS spot FROM bars_daily),
+g AS MATERIALIZED (SELECT n.*, (SELECT min(earnings_date) FROM calendar_earnings e WHERE e.ticker = n.ticker AND e.earnings_date >= n.trade_date) - trade_date AS days_to_earnings,
+        (SELECT min(ex_dividend_date) FROM calendar_dividends e WHERE e.ticker = n.ticker AND e.ex_dividend_date >= n.trade_date) - trade_date AS days_to_exdiv FROM n),
+h AS (SELECT *, CASE WHEN days_to_earnings BETWEEN 1 AND {EARNINGS_DAYS} THEN {EARNINGS_RISE} * ({EARNINGS_DAYS} - days_to_earnings) / {EARNINGS_DAYS} ELSE 0 END + CASE WHEN days_to_exdiv BETWEEN 1 AND {EXDIV_DAYS} THEN {EXDIV_RISE} * ({EXDIV_DAYS} - days_to_exdiv) / {EXDIV_DAYS} ELSE 0 END AS rise FROM g),
+a AS (SELECT *, ln(spot / lag(spot) OVER w) AS ret, spot / lag(spot) OVER w - 1 AS recent, row_number() OVER w AS bar FROM h WINDOW w AS (PARTITION BY ticker ORDER BY trade_date)),
+b AS (SELECT *, CASE WHEN count(ret) OVER f >= 2 THEN stddev_samp(ret) OVER f END * sqrt(252) AS rv FROM a WINDOW f AS (PARTITION BY ticker ORDER BY trade_date ROWS 19 PRECEDING)),
+c AS MATERIALIZED (SELECT ticker, trade_date, days_to_earnings, days_to_exdiv, rise, recent, bar, avg(coalesce(rv, {UNKNOWN_VOL}) + {PREMIUM}) OVER (PARTITION BY ticker) AS mean, coalesce(0.5 * (rv - lag(rv) OVER (PARTITION BY ticker ORDER BY trade_date)), 0)
+        + 0.02 * ((CAST('0x' || substr(md5(concat_ws('|', ticker, CAST(trade_date AS VARCHAR), '7')), 1, 8) AS BIGINT) / 4294967296.0 - 0.5) * 3.4641) + rise AS shock FROM b),
+p AS (SELECT ticker, bar, greatest(mean + shock, 0.05) AS iv FROM c WHERE bar = 1
+      UNION ALL SELECT c.ticker, c.bar, greatest(p.iv + 0.1 * (mean - p.iv) + shock, 0.05) FROM p JOIN c ON c.ticker = p.ticker AND c.bar = p.bar + 1),
+z AS (SELECT c.*, iv AS simulated_iv, greatest(iv + 0.02 * ln(30 / {BASE_TENOR}), 0.05) AS iv_30d, greatest(iv + 0.02 * ln(240 / {BASE_TENOR}), 0.05) AS iv_240d, 1 - {STEEPER} * least(coalesce(recent, 0), 0) AS steeper FROM c JOIN p USING (ticker, bar)),
+o AS (SELECT *, simulated_iv + {PUT_DEEP} * steeper AS put_85, simulated_iv + {PUT_SLOPE} * (1 - 0.95) * steeper AS put_95, simulated_iv + {CALL_SLOPE} * (1.05 - 1) AS call_105, simulated_iv + {CALL_SLOPE} * ({CALL_END} - 1) AS call_115 FROM z)
+SELECT {sql_rounded(SMILES)} FROM o""",
+)
+def volatility_smiles_query(spark, sf_dir):
+    bars, earnings, dividends = (adapters.load(spark, sf_dir, n) for n in ("bars_daily", "calendar_earnings", "calendar_dividends"))
+    return select_rounded(volatility_smiles(calibrated_state(bars), earnings, dividends), SMILES)
+
+
 # Exits before the time is up
 
 LONGEST, STOP, TAKE = 10, 0.20, 0.20  # sessions held at most, loss and gain at which a position is closed
