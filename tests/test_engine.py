@@ -135,6 +135,26 @@ def test_sources(spark, tmp_path):
     assert {(r.t, r.v) for r in io.read_newest_version(spark, str(tmp_path / "v"), "t").collect()} == {("A", 9), ("B", 2)}
 
 
+@pytest.mark.parametrize("name, searched", [("price_pages", ["(?s)<td[^>]*>", "[Cc]alls?", "regexp_extract(regexp_replace("]), ("chain_pages", ["(?s)<td[^>]*>"])])
+def test_pages_are_searched_once_and_by_all_tasks(spark, name, searched):
+    df = registry.QUERIES[name](spark, D)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    times = {x: plan.count(x) for x in searched}
+    assert times == {x: 4 if x == "[Cc]alls?" else 1 for x in searched}  # that one in the page, then a number each in what was found
+    per_task = df.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(r["count"] for r in per_task) < 0.5 * df.count()
+
+
+def test_price_tables_of_odd_pages(spark):
+    cells = ["<a href='#'> hot\n <b>bo</b>lt </a>", "NL1", "€ 1.234,50", "N.V.T.", *["-"] * 6, "1.000", " ", ""]
+    row = lambda c: "<tr class=x>" + "".join(f"<td class=x>{x}</td>" for x in c) + "</tr>"
+    totals = "<p>Totaal <b>3.000</b> (<i>1.000</i> Calls, 2.000 Puts)</p><p>9 (8 Calls, 1 Put)</p>"
+    pages = spark.createDataFrame([(1, totals + row(cells) + row(cells[:12]) + row([*cells, "x"]) + row(["", "", "12,5", *cells[3:]])), (2, "<table></table>"), (3, None), (4, row(cells))], "id int, html string")
+    got = {(r.id, r.name, r.isin, r.last, r.previous, r.volume, r.open_interest, r.time) for r in io.price_table_from_pages(pages).collect()}
+    assert got == {(1, "hot bolt", "NL1", 1234.5, None, 1000, None, None), (1, None, None, 12.5, None, 1000, None, None), (4, "hot bolt", "NL1", 1234.5, None, 1000, None, None)}
+    assert {tuple(r) for r in io.overview_from_pages(pages).collect()} == {(1, 3000, 1000, 2000), (2, None, None, None), (3, None, None, None), (4, None, None, None)}
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import third_friday
 
-# Texts that stand for a missing number, and month names.
-MISSING = ["n.v.t.", "nvt", "n/a", "-", "--", ""]
+# White space as \s means it, and month names.
+BLANKS = " \t\n\x0b\f\r"
 MONTHS = {
     "januari": 1, "februari": 2, "maart": 3, "april": 4, "mei": 5, "juni": 6, "juli": 7, "augustus": 8, "september": 9, "oktober": 10, "november": 11, "december": 12,
     "january": 1, "february": 2, "march": 3, "may": 5, "june": 6, "july": 7, "august": 8, "october": 10,
@@ -21,15 +21,14 @@ def clean(text: Column) -> Column:
 
 
 def parse_number(text: Column) -> Column:
-    """'1.234,56' -> 1234.56; currency signs, blanks and percent signs are dropped; what is no number is null."""
-    t = F.regexp_replace(F.trim(text), r"[€$%\s]", "")
-    return F.when(F.lower(t).isin(MISSING), None).otherwise(F.replace(F.replace(t, F.lit("."), F.lit("")), F.lit(","), F.lit(".")).try_cast("double"))
+    """'1.234,56' -> 1234.56; currency signs, blanks and percent signs are dropped; what is no number ('n.v.t.', 'n/a', '-', '') is
+    null."""
+    return F.translate(text, ",.€$%" + BLANKS, ".").try_cast("double")
 
 
 def parse_integer(text: Column) -> Column:
-    """Dots and commas separate thousands."""
-    t = F.regexp_replace(F.trim(text), r"[.,\s]", "")
-    return F.when(F.lower(F.trim(text)).isin(MISSING), None).otherwise(t.try_cast("long"))
+    """Dots and commas separate thousands; what is no number is null."""
+    return F.translate(text, ".," + BLANKS, "").try_cast("long")
 
 
 def parse_percent(text: Column) -> Column:
@@ -60,6 +59,8 @@ def market_of(ticker: Column) -> Column:
 
 
 def call_put_totals(text: Column) -> Column:
-    """'12.345 (7.000 Calls, 5.345 Puts)' -> (total, calls, puts)."""
+    """'12.345 (7.000 Calls, 5.345 Puts)' -> (total, calls, puts). The text, often a page worked out on the spot, is searched once:
+    a lambda's variable holds what was found, and the numbers are taken from that."""
     p = r"([0-9.]+)\s*\(\s*([0-9.]+)\s*[Cc]alls?\s*,\s*([0-9.]+)\s*[Pp]uts?\s*\)"
-    return F.struct(*[parse_integer(F.nullif(F.regexp_extract(text, p, i), F.lit(""))).alias(n) for i, n in ((1, "total"), (2, "calls"), (3, "puts"))])
+    numbers = lambda found: F.struct(*[parse_integer(F.regexp_extract(found, p, i)).alias(n) for i, n in ((1, "total"), (2, "calls"), (3, "puts"))])
+    return F.get(F.transform(F.array(F.regexp_extract(text, p, 0)), numbers), F.lit(0))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import dow0, fiscal_quarter
 from tidemark.functions.numbers import half_step, interpolate, safe_div
-from tidemark.functions.text import call_put_totals, market_of, parse_date, parse_expiry, parse_percent
+from tidemark.functions.text import market_of, parse_date, parse_expiry, parse_percent
 from tidemark.operators import sketches
 from tidemark.operators.rows import continue_ids, filled_from, insert_absent, replace_range, upsert, with_dense_ids
 from tidemark.plans.gold_chain import CHAIN, chain_of, select_rounded, sql_rounded
@@ -21,6 +21,12 @@ def dutch(x: Column, digits: int = 2) -> Column:
     return F.translate(F.format_number(x, digits), ",.", ".,")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """df's rows spread evenly by a unique key over as many tasks as shuffles have. Texts are dear to write and parse, while their
+    rows are so small that a million lie in one row group of a file, which is one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 @register(
     "price_pages",
     """
@@ -36,9 +42,10 @@ def price_pages(spark, sf_dir):
     cells = [F.concat(F.lit("<a href='#'> "), "p_name", F.lit(" </a>")), isin, price, F.when(n % 5 == 0, "n.v.t.").otherwise(price), *[F.lit("-")] * 6, dutch(n * 1000, 0), dutch(n * 10, 0), F.lit("17:35")]
     totals = F.concat(F.lit("<p>Totaal <b>"), dutch(n * 30, 0), F.lit("</b> ("), dutch(n * 10, 0), F.lit(" Calls, "), dutch(n * 20, 0), F.lit(" Puts)</p>"))
     page = F.concat(totals, F.lit("<table><tr><th>Naam</th></tr><tr>"), *[td(c) for c in cells], F.lit("</tr></table>"))
-    pages = table(spark, sf_dir, "part").select("p_partkey", page.alias("html"))
-    rows = io.price_table_from_pages(pages.withColumn("page", F.col("html"))).withColumn("t", call_put_totals(F.regexp_replace("page", "<[^>]*>", " ")))
-    return rows.select("p_partkey", "name", "isin", "last", "previous", "volume", "open_interest", F.col("t.total").alias("total"), F.col("t.calls").alias("calls"), F.col("t.puts").alias("puts"))
+    parts = dealt(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice"), "p_partkey")
+    pages = parts.select("p_partkey", page.alias("html"))
+    rows = io.price_table_from_pages(io.overview_from_pages(pages.withColumn("page", F.col("html")), "page"))
+    return rows.select("p_partkey", "name", "isin", "last", "previous", "volume", "open_interest", "total", "calls", "puts")
 
 
 @register(
@@ -52,7 +59,8 @@ def chain_pages(spark, sf_dir):
     """Parts written as sections of an option-chain page, and read back."""
     strike = dutch(F.col("p_size") / 4 + 20)
     row = F.concat(F.lit("<section><h2>December 2025 (AEX / AH)</h2><table><tr><td>1,25</td><td>2,50</td><td>"), strike, F.lit("</td><td>n.v.t.</td><td>2,50</td></tr></table></section>"))
-    return io.chain_from_pages(table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("<main>"), row, F.lit("</main>")).alias("html")))
+    parts = dealt(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
+    return io.chain_from_pages(parts.select("p_partkey", F.concat(F.lit("<main>"), row, F.lit("</main>")).alias("html")))
 
 
 @register(

@@ -3,6 +3,8 @@ and universe JSON."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -69,15 +71,21 @@ def bars_from_json(raw: DataFrame, column: str = "body") -> DataFrame:
     return named.dropna(subset=["open", "high", "low", "close"]).withColumns({"adj_close": F.coalesce("adj_close", "close"), "market": market_of(F.col("ticker")), "timestamp": F.timestamp_seconds("timestamp")})
 
 
+def table_rows(html: Column, fits: Callable[[Column], Column]) -> Column:
+    """The rows of the tables in html as arrays of their cells' texts, null where empty; only rows whose cells fit. They are chosen
+    here, before they are exploded: a filter behind would be pushed below the cells and read each row once more."""
+    cell = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]*>", ""), r"\s+", " "))
+    cells = lambda row: F.transform(F.transform(F.regexp_extract_all(row, F.lit(r"(?s)<td[^>]*>(.*?)</td>"), F.lit(1)), cell), lambda c: F.nullif(c, F.lit("")))
+    return F.filter(F.transform(F.regexp_extract_all(html, F.lit(r"(?s)<tr[^>]*>.*?</tr>"), F.lit(0)), cells), fits)
+
+
 def chain_from_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """Option-chain pages -> one row per contract. A page has sections headed by an expiry text, each with table rows of call
     bid, call ask, strike, put bid, put ask; a row gives a call and a put. Numbers are written the Dutch way."""
     sections = pages.withColumn("section", F.explode(F.split(html, "<section")))
     sections = sections.where(F.col("section").contains("</"))
     sections = sections.withColumn("head", clean(F.regexp_extract("section", r"(?s)<h[1-6][^>]*>(.*?)</h[1-6]>", 1)))
-    rows = sections.withColumn("row", F.explode(F.regexp_extract_all("section", F.lit(r"(?s)<tr[^>]*>.*?</tr>"), F.lit(0))))
-    cells = F.transform(F.regexp_extract_all("row", F.lit(r"(?s)<td[^>]*>(.*?)</td>"), F.lit(1)), lambda c: clean(F.regexp_replace(c, "<[^>]*>", "")))
-    rows = rows.withColumn("c", cells).where(F.size("c") >= 5).withColumn("e", parse_expiry(F.col("head")))
+    rows = sections.withColumn("c", F.explode(table_rows(F.col("section"), lambda c: F.size(c) >= 5))).withColumn("e", parse_expiry(F.col("head")))
     num = lambda i: parse_number(F.get("c", F.lit(i)))
     side = lambda kind, bid, ask: F.struct(F.lit(kind).alias("option_type"), num(bid).alias("bid"), num(ask).alias("ask"))
     keep = [c for c in pages.columns if c != html]
@@ -100,9 +108,7 @@ PRICE_COLUMNS = ["name", "isin", "last", "previous", "change", "change_pct", "hi
 def price_table_from_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """Table rows of thirteen cells by position -> one row each; numbers are written the Dutch way, rows of other lengths
     (headers, totals) are left out."""
-    rows = pages.withColumn("_row", F.explode(F.regexp_extract_all(html, F.lit(r"(?s)<tr[^>]*>.*?</tr>"), F.lit(0))))
-    cells = F.transform(F.regexp_extract_all("_row", F.lit(r"(?s)<td[^>]*>(.*?)</td>"), F.lit(1)), lambda c: clean(F.regexp_replace(c, "<[^>]*>", "")))
-    rows = rows.withColumn("_c", cells).where(F.size("_c") == len(PRICE_COLUMNS))
+    rows = pages.withColumn("_c", F.explode(table_rows(F.col(html), lambda c: F.size(c) == len(PRICE_COLUMNS))))
     text = {"name", "isin", "time"}
     whole = {"volume", "open_interest"}
     value = lambda i, n: F.get("_c", F.lit(i)) if n in text else (parse_integer if n in whole else parse_number)(F.get("_c", F.lit(i)))
